@@ -45,6 +45,12 @@ def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFra
         read(spark, folder, "supplier"), c("l_suppkey") == c("s_suppkey")
     )
     price, tax = c("l_extendedprice"), c("l_tax")
+    # money in whole cents and percents, so that rounding does not depend on binary fractions
+    cents = F.round(price * 100).cast("bigint")
+    plus_tax = F.round(tax * 100).cast("bigint")
+    less_discount = 100 - F.round(c("l_discount") * 100).cast("bigint")
+    tip = F.floor((cents * plus_tax + 50) / 100) / 100
+    total = F.floor((cents * less_discount * (100 + plus_tax) + 5000) / 10000) / 100
     refund = (c("l_returnflag") == "R") & (c("l_linenumber") == 1)
     values = {
         "vendorid": c("l_suppkey") % 2 + 1,
@@ -62,12 +68,10 @@ def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFra
         "fare_amount": price,
         "extra": c("l_discount") * 10,
         "mta_tax": _null_when(c("l_partkey") % 20 == 0, F.lit(0.5)),
-        "tip_amount": F.round(price * tax, 2),
+        "tip_amount": tip,
         "tolls_amount": _null_when(tax == 0, F.round(tax * 10, 2)),
         "improvement_surcharge": F.lit(1.0),
-        "total_amount": F.when(refund, -price).otherwise(
-            F.round(price * (1 - c("l_discount")) * (1 + tax), 2)
-        ),
+        "total_amount": F.when(refund, -price).otherwise(total),
         "congestion_surcharge": _null_when(c("l_suppkey") % 3 == 0, F.lit(2.5)),
         "airport_fee": F.lit(None),
     }

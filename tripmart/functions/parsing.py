@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 # The accepted text formats.
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-MONTH_PATTERN = r"(\d{4}-\d{2})"
+MONTH_IN_FILE_NAME = r"(\d{4}-\d{2})[^/]*$"
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -89,9 +89,9 @@ def is_blank(text: Column, null_is_blank: bool = False) -> Column:
     return F.trim(F.coalesce(text, F.lit(""))) == "" if null_is_blank else F.trim(text) == ""
 
 
-def month_in_name(path: Column) -> Column:
-    """The first ``yyyy-MM`` in a file name, null when there is none."""
-    return F.nullif(F.regexp_extract(path, MONTH_PATTERN, 1), F.lit(""))
+def month_in_name(path: Column, pattern: str = MONTH_IN_FILE_NAME) -> Column:
+    """The ``yyyy-MM`` in a path, null when there is none; by default in the file's own name."""
+    return F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
 
 
 def sanitize_identifier(text: Column) -> Column:

@@ -470,7 +470,8 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
 
 
 def fact_vs_silver_totals(trips: DataFrame, fact: DataFrame) -> DataFrame:
-    """Rows and money of both tables in one row, as scalar subqueries."""
+    """Rows and money of both tables in one row."""
+
     def totals(df: DataFrame, name: str) -> DataFrame:
         return df.agg(
             F.count("*").alias(f"{name}_row_count"),

@@ -202,5 +202,5 @@ def bronze_ready(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.input_file_name())
 
 
-def month_of_file(df: DataFrame, column: str = "source_file") -> DataFrame:
-    return df.withColumn("file_month", parsing.month_in_name(F.col(column)))
+def month_of_file(df: DataFrame, pattern: str = parsing.MONTH_IN_FILE_NAME) -> DataFrame:
+    return df.withColumn("file_month", parsing.month_in_name(F.col("source_file"), pattern))
