@@ -8,7 +8,7 @@ something to do: some amounts and codes are null, one order in 97 appears twice,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -16,6 +16,34 @@ from tripmart.sources.readers import with_source_file
 from tripmart.sources.scope import Scope
 
 DEFAULT_SCOPE = Scope.of("1997-01-01", "1999-12-31")
+# Money is rounded in whole cents and percents, so that the result does not hang on binary fractions.
+_CENTS = "CAST(round(l_extendedprice * 100) AS bigint)"
+_TAX = "CAST(round(l_tax * 100) AS bigint)"
+_DISCOUNT = "CAST(round(l_discount * 100) AS bigint)"
+
+TRIP_VALUES = {
+    "vendorid": "l_suppkey % 2 + 1",
+    "tpep_pickup_datetime": "o_orderdate",
+    "tpep_dropoff_datetime": "l_shipdate",
+    "passenger_count": "CASE WHEN l_partkey % 40 <> 0 THEN l_linenumber END",
+    "trip_distance": "l_quantity",
+    "ratecodeid": "l_orderkey % 6 + 1",
+    "store_and_fwd_flag": "concat(' ', l_linestatus, ' ')",
+    "pulocationid": "c_nationkey",
+    "dolocationid": "s_nationkey",
+    "payment_type": "CASE WHEN l_orderkey % 50 <> 0 THEN (l_linenumber + l_partkey) % 9 - 1 END",
+    "fare_amount": "l_extendedprice",
+    "extra": "l_discount * 10",
+    "mta_tax": "CASE WHEN l_partkey % 20 <> 0 THEN 0.5 END",
+    "tip_amount": f"(({_CENTS} * {_TAX} + 50) div 100) / 100",
+    "tolls_amount": "CASE WHEN l_tax <> 0 THEN round(l_tax * 10, 2) END",
+    "improvement_surcharge": "1.0",
+    "total_amount": "CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -l_extendedprice ELSE"
+    f" (({_CENTS} * (100 - {_DISCOUNT}) * (100 + {_TAX}) + 5000) div 10000) / 100 END",
+    "congestion_surcharge": "CASE WHEN l_suppkey % 3 <> 0 THEN 2.5 END",
+    "airport_fee": "NULL",
+}
+
 INPUTS = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
 
 
@@ -23,10 +51,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _null_when(condition: Column, otherwise: Column) -> Column:
-    return F.when(~condition, otherwise)
-
-
 def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFrame:
     """Typed raw trips with ``source_file`` (null, and never read, without ``lineage``).
 
@@ -44,42 +68,10 @@ def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFra
     rows = lines.join(orders, c("l_orderkey") == c("o_orderkey")).join(
         read(spark, folder, "supplier"), c("l_suppkey") == c("s_suppkey")
     )
-    price, tax = c("l_extendedprice"), c("l_tax")
-    # money in whole cents and percents, so that rounding does not depend on binary fractions
-    cents = F.round(price * 100).cast("bigint")
-    plus_tax = F.round(tax * 100).cast("bigint")
-    less_discount = 100 - F.round(c("l_discount") * 100).cast("bigint")
-    tip = F.floor((cents * plus_tax + 50) / 100) / 100
-    total = F.floor((cents * less_discount * (100 + plus_tax) + 5000) / 10000) / 100
-    refund = (c("l_returnflag") == "R") & (c("l_linenumber") == 1)
-    values = {
-        "vendorid": c("l_suppkey") % 2 + 1,
-        "tpep_pickup_datetime": c("o_orderdate"),
-        "tpep_dropoff_datetime": c("l_shipdate"),
-        "passenger_count": _null_when(c("l_partkey") % 40 == 0, c("l_linenumber") * 1.0),
-        "trip_distance": c("l_quantity"),
-        "ratecodeid": (c("l_orderkey") % 6 + 1) * 1.0,
-        "store_and_fwd_flag": F.concat(F.lit(" "), c("l_linestatus"), F.lit(" ")),
-        "pulocationid": c("c_nationkey"),
-        "dolocationid": c("s_nationkey"),
-        "payment_type": _null_when(
-            c("l_orderkey") % 50 == 0, (c("l_linenumber") + c("l_partkey")) % 9 - 1
-        ),
-        "fare_amount": price,
-        "extra": c("l_discount") * 10,
-        "mta_tax": _null_when(c("l_partkey") % 20 == 0, F.lit(0.5)),
-        "tip_amount": tip,
-        "tolls_amount": _null_when(tax == 0, F.round(tax * 10, 2)),
-        "improvement_surcharge": F.lit(1.0),
-        "total_amount": F.when(refund, -price).otherwise(total),
-        "congestion_surcharge": _null_when(c("l_suppkey") % 3 == 0, F.lit(2.5)),
-        "airport_fee": F.lit(None),
-    }
-    copies = F.array_repeat(F.lit(1), F.when(c("l_orderkey") % 97 == 0, 2).otherwise(1))
-    return rows.select(
-        *[values[f.name].cast(f.type).alias(f.name) for f in S.TRIPS_RAW],
+    return rows.selectExpr(
+        *[f"CAST({TRIP_VALUES[f.name]} AS {f.type}) AS {f.name}" for f in S.TRIPS_RAW],
         "source_file",
-        F.explode(copies).alias("_copy"),
+        "explode(array_repeat(1, CASE WHEN l_orderkey % 97 = 0 THEN 2 ELSE 1 END)) AS _copy",
     ).drop("_copy")
 
 

@@ -12,8 +12,8 @@ from tripmart import schemas as S
 
 def surrogate_key(columns: Sequence[str], separator: str = S.KEY_SEPARATOR) -> Column:
     """SHA-256 over the text of ``columns``; null and empty text give the same key."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(F.concat_ws(separator, *parts), 256)
+    parts = ", ".join(f"coalesce(CAST(`{c}` AS string), '')" for c in columns)
+    return F.expr(f"sha2(concat_ws('{separator}', {parts}), 256)")
 
 
 def payment_label(code: Column) -> Column:

@@ -30,25 +30,29 @@ def parse_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def typed(df: DataFrame, name: str, to: str) -> Column:
-    """Column ``name`` of ``df`` as type ``to``.
+def typed_sql(df: DataFrame, name: str, to: str) -> str:
+    """SQL expression for column ``name`` of ``df`` as type ``to``.
 
     Text is parsed; a column that is typed already (Parquet input) is only narrowed, which
     keeps comparisons on it simple enough to reach the scan.
     """
-    column = F.col(name)
     have = df.schema[name].dataType
     if have.simpleString() == to:
-        return column
+        return f"`{name}`"
+    cast = f"try_cast(`{name}` AS {to})"
     if not isinstance(have, T.StringType):
-        return column.try_cast(to)
+        return cast
     if to == "timestamp_ntz":
-        return parse_timestamp(column)
+        return f"CASE WHEN `{name}` RLIKE r'{TIMESTAMP_PATTERN}' THEN {cast} END"
     if to == "date":
-        return parse_date(column)
+        return f"CASE WHEN `{name}` RLIKE r'{DATE_PATTERN}' THEN {cast} END"
     if to in ("int", "bigint"):
-        return parse_integer(column, to)
-    return column.try_cast(to)
+        return f"coalesce({cast}, try_cast(try_cast(`{name}` AS double) AS {to}))"
+    return cast
+
+
+def typed(df: DataFrame, name: str, to: str) -> Column:
+    return F.expr(typed_sql(df, name, to))
 
 
 def load_timestamp(text: Column) -> Column:

@@ -16,7 +16,9 @@ from tripmart.schemas import Contract
 def ensure_columns(df: DataFrame, names: Sequence[str], kind: str = "string") -> DataFrame:
     """Exactly ``names``, in order; absent ones become typed nulls."""
     have = set(df.columns)
-    return df.select(*[F.col(n) if n in have else F.lit(None).cast(kind).alias(n) for n in names])
+    return df.selectExpr(
+        *[f"`{n}`" if n in have else f"CAST(NULL AS {kind}) AS `{n}`" for n in names]
+    )
 
 
 def rename_ignoring_case(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -37,7 +39,12 @@ def require_columns(df: DataFrame, names: Sequence[str], label: str) -> DataFram
 
 def retype(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Replace columns by their typed form, one projection for all of them."""
-    return df.withColumns({n: parsing.typed(df, n, t) for n, t in types.items()})
+    return df.selectExpr(
+        *[
+            f"{parsing.typed_sql(df, n, types[n])} AS `{n}`" if n in types else f"`{n}`"
+            for n in df.columns
+        ]
+    )
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
@@ -84,4 +91,6 @@ def trim_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def fill_zero(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
+    return df.selectExpr(
+        *[f"coalesce(`{n}`, 0.0D) AS `{n}`" if n in names else f"`{n}`" for n in df.columns]
+    )

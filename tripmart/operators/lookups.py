@@ -26,18 +26,16 @@ def left_lookup(
     """
     wanted = columns if isinstance(columns, Mapping) else {c: c for c in columns}
     marks = {f"_key{i}": right for i, right in enumerate(on.values())}
-    side = table.select(
-        *[F.col(c).alias(mark) for mark, c in marks.items()],
-        *[F.col(c).alias(f"_new_{n}") for n, c in wanted.items()],
+    side = table.selectExpr(
+        *[f"`{c}` AS {mark}" for mark, c in marks.items()],
+        *[f"`{c}` AS `_new_{n}`" for n, c in wanted.items()],
     )
     if row_bound is not None and row_bound <= BROADCAST_ROWS:
         side = F.broadcast(side)
-    condition: list[Column] = [
-        F.col(left) == F.col(mark) for left, mark in zip(on, marks, strict=True)
-    ]
-    kept = [F.col(c) for c in df.columns if c not in wanted]
-    return df.join(side, condition, "left").select(
-        *kept, *[F.col(f"_new_{n}").alias(n) for n in wanted]
+    condition = F.expr(" AND ".join(f"`{x}` = {m}" for x, m in zip(on, marks, strict=True)))
+    kept = [f"`{c}`" for c in df.columns if c not in wanted]
+    return df.join(side, condition, "left").selectExpr(
+        *kept, *[f"`_new_{n}` AS `{n}`" for n in wanted]
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -15,16 +15,16 @@ from tripmart.sources.readers import bronze_ready
 
 def _standard(raw: DataFrame, contract: Contract) -> DataFrame:
     """Contract columns typed (text trimmed) next to the source file, in one projection."""
-    df = bronze_ready(raw)
-    df = ensure_columns(df, [*contract.names, "source_file"])
-    columns = [_value(df, f).alias(f.name) for f in contract]
-    return df.select(*columns, "source_file", F.current_timestamp().alias("bronze_loaded_at"))
-
-
-def _value(df: DataFrame, field: S.Field) -> Column:
-    if field.type == "string":
-        return F.trim(F.col(field.name))
-    return parsing.typed(df, field.name, field.type)
+    df = ensure_columns(bronze_ready(raw), [*contract.names, "source_file"])
+    values = [
+        f"trim(`{f.name}`)" if f.type == "string" else parsing.typed_sql(df, f.name, f.type)
+        for f in contract
+    ]
+    return df.selectExpr(
+        *[f"{v} AS `{n}`" for v, n in zip(values, contract.names, strict=True)],
+        "source_file",
+        "current_timestamp() AS bronze_loaded_at",
+    )
 
 
 def bronze_trips(raw: DataFrame) -> DataFrame:

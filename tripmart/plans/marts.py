@@ -41,17 +41,13 @@ AVERAGES = {
 
 def _measures(contract: Contract) -> list[Column]:
     """Aggregates for the measure columns a mart's contract names."""
-    out = []
-    for name in contract.names:
-        if name == "trip_count":
-            out.append(F.count("*").alias(name))
-        elif name == "negative_total_amount_trip_count":
-            out.append(F.count_if(F.col("total_amount") < 0).alias(name))
-        elif name in TOTALS:
-            out.append(F.sum(TOTALS[name]).alias(name))
-        elif name in AVERAGES:
-            out.append(F.avg(AVERAGES[name]).alias(name))
-    return out
+    known = {
+        "trip_count": "count(*)",
+        "negative_total_amount_trip_count": "count_if(total_amount < 0)",
+        **{name: f"sum({column})" for name, column in TOTALS.items()},
+        **{name: f"avg({column})" for name, column in AVERAGES.items()},
+    }
+    return [F.expr(f"{known[n]} AS {n}") for n in contract.names if n in known]
 
 
 def _serve(df: DataFrame, contract: Contract) -> DataFrame:

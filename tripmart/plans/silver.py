@@ -29,14 +29,11 @@ def trip_quality() -> Column:
     Null comparisons are false in a filter, so the order test also demands both times; they are
     spelled out so that the scan can skip on them.
     """
-    present = ["pickup_datetime", "dropoff_datetime", "pickup_date", "pickup_location_id",
-               "dropoff_location_id"]
-    rule = (F.col("pickup_datetime") < F.col("dropoff_datetime")) & (
-        F.col("trip_duration_minutes") > 0
-    )
-    for name in present:
-        rule = rule & F.col(name).isNotNull()
-    return rule
+    return F.expr("""
+        pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL AND pickup_date IS NOT NULL
+        AND pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL
+        AND pickup_datetime < dropoff_datetime AND trip_duration_minutes > 0
+    """)
 
 
 def rename_trips(bronze: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkS
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture costs about a millisecond per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
