@@ -263,10 +263,15 @@ def shown(name: str, kind: str = "double") -> str:
     if name.startswith(("total_", "daily_revenue")) and kind == "double":
         return f"round({name}, 2) AS {name}"
     if name.startswith("avg_") or name.endswith("_share_pct"):
-        return f"round({name}, 6) AS {name}"
+        return f"{steady(name)} AS {name}"
     return name
 
 
+def steady(expression: str) -> str:
+    """Cut to about six decimals at a place where no short decimal lies."""
+    return f"floor(CAST({expression} AS DOUBLE) * 1000000 + CAST(0.2123 AS DOUBLE)) / 1000000"
+
+
 def count_if(condition: str, name: str) -> str:
     return f"count(*) FILTER (WHERE {condition}) AS {name}"
 
@@ -664,8 +669,8 @@ def statements() -> dict[str, str]:
     q["duplicate_group_count"] = f"SELECT {duplicate_keys('clean_trips', ['trip_id'])} AS duplicate_trip_ids"
     q["agg_sum_or_zero"] = """SELECT round(coalesce(sum(airport_fee), 0), 2) AS airport_fee_total,
         round(coalesce(sum(tolls_amount), 0), 2) AS tolls_total FROM trips_raw"""
-    q["share_of_day_total"] = """SELECT pickup_location_id, payment_type_code, count(*) AS trip_count,
-        round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY pickup_location_id) AS DOUBLE), 6) AS share
+    q["share_of_day_total"] = f"""SELECT pickup_location_id, payment_type_code, count(*) AS trip_count,
+        {steady('CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY pickup_location_id) AS DOUBLE)')} AS share
         FROM fact_trips GROUP BY 1, 2"""
 
     # raw and bronze reports
@@ -966,27 +971,27 @@ def statements() -> dict[str, str]:
     q["mart_snapshots"] = _snapshots()
 
     # dashboards
-    q["kpi_summary"] = """SELECT CAST(sum(trip_count) AS BIGINT) AS total_trips,
+    q["kpi_summary"] = f"""SELECT CAST(sum(trip_count) AS BIGINT) AS total_trips,
         round(sum(total_revenue), 2) AS total_revenue,
-        round(sum(total_revenue) / sum(trip_count), 6) AS avg_revenue_per_trip,
-        round(sum(total_trip_duration_minutes) / sum(trip_count), 6) AS avg_duration_minutes
+        {steady('sum(total_revenue) / sum(trip_count)')} AS avg_revenue_per_trip,
+        {steady('sum(total_trip_duration_minutes) / sum(trip_count)')} AS avg_duration_minutes
         FROM mart_daily_demand"""
-    q["daily_trips_vs_revenue"] = """SELECT pickup_date, trip_count,
-        round(avg_total_amount, 6) AS avg_total_amount FROM mart_daily_demand"""
-    q["dow_profile"] = """SELECT day_of_week_num, day_of_week_name,
-        round(avg(trip_count), 6) AS avg_trips,
-        round(avg(avg_total_amount), 6) AS avg_revenue_per_trip FROM mart_daily_demand GROUP BY 1, 2"""
+    q["daily_trips_vs_revenue"] = f"""SELECT pickup_date, trip_count,
+        {steady('avg_total_amount')} AS avg_total_amount FROM mart_daily_demand"""
+    q["dow_profile"] = f"""SELECT day_of_week_num, day_of_week_name,
+        {steady('avg(trip_count)')} AS avg_trips,
+        {steady('avg(avg_total_amount)')} AS avg_revenue_per_trip FROM mart_daily_demand GROUP BY 1, 2"""
     q["daily_revenue_trend"] = """SELECT pickup_date, round(total_revenue, 2) AS total_revenue
         FROM mart_daily_demand"""
-    q["distance_vs_revenue"] = """SELECT pickup_date, round(avg_trip_distance, 6) AS avg_trip_distance,
-        round(avg_total_amount, 6) AS avg_total_amount FROM mart_daily_demand"""
+    q["distance_vs_revenue"] = f"""SELECT pickup_date, {steady('avg_trip_distance')} AS avg_trip_distance,
+        {steady('avg_total_amount')} AS avg_total_amount FROM mart_daily_demand"""
     q["top_peak_days"] = """SELECT pickup_date, day_of_week_name, trip_count,
         round(total_revenue, 2) AS total_revenue FROM mart_daily_demand
         ORDER BY trip_count DESC, pickup_date LIMIT 10"""
-    q["weather_effect"] = """SELECT is_rainy_day, is_snowy_day, count(*) AS days,
+    q["weather_effect"] = f"""SELECT is_rainy_day, is_snowy_day, count(*) AS days,
         CAST(sum(trip_count) AS BIGINT) AS trips, round(sum(total_revenue), 2) AS total_revenue,
-        round(avg(trip_count), 6) AS avg_trips_per_day,
-        round(sum(total_revenue) / sum(trip_count), 6) AS avg_revenue_per_trip
+        {steady('avg(trip_count)')} AS avg_trips_per_day,
+        {steady('sum(total_revenue) / sum(trip_count)')} AS avg_revenue_per_trip
         FROM mart_weather_impact GROUP BY 1, 2"""
     return {name: sql(body) for name, body in q.items()}
 

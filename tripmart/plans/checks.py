@@ -240,13 +240,13 @@ def fk_coverage(
 
 def partition_folders(stored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Partitions in the data next to the folders its files lie in, one row per partition."""
-    path = F.col("_metadata.file_path")
-    folder = [F.regexp_extract(path, f"/{c}=([^/]+)/", 1) for c in columns]
-    label = F.concat_ws("/", *folder)
+    per_file = stored.groupBy(*columns, F.col("_metadata.file_path").alias("path")).agg(
+        F.count("*").alias("n")
+    )
+    folder = [F.regexp_extract("path", f"/{c}=([^/]+)/", 1) for c in columns]
     return (
-        stored.select(*columns, label.alias("folder"))
-        .groupBy(*columns, "folder")
-        .agg(F.count("*").alias("row_count"))
+        per_file.groupBy(*columns, F.concat_ws("/", *folder).alias("folder"))
+        .agg(F.sum("n").alias("row_count"))
         .withColumn(
             "in_own_folder",
             F.col("folder") == F.concat_ws("/", *[F.col(c).cast("string") for c in columns]),

@@ -48,15 +48,24 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(fn) for name, fn in _REGISTRY.items()}
 
 
+def steady(name: str):
+    """About six decimals, cut rather than rounded.
+
+    A quotient often lies exactly halfway between two decimals, where the last bit of a floating
+    sum would decide; the odd offset puts the cut where no short decimal lies.
+    """
+    return (F.floor(F.col(name) * 1e6 + 0.2123) / F.lit(1e6)).alias(name)
+
+
 def comparable(df: DataFrame) -> DataFrame:
-    """Without lineage; totals to cents, averages and shares to six places."""
+    """Without lineage; totals to cents, averages and shares to about six places."""
     kept = [c for c in df.columns if not c.endswith("_loaded_at") and c != "source_file"]
     out = []
     for name in kept:
         if name.startswith(("total_", "daily_revenue")) and _is_double(df, name):
             out.append(F.round(name, 2).alias(name))
         elif name.startswith("avg_") or name.endswith("_share_pct"):
-            out.append(F.round(name, 6).alias(name))
+            out.append(steady(name))
         else:
             out.append(F.col(name))
     return df.select(*out)
@@ -122,21 +131,22 @@ def scan_csv_untyped_count(x: Layers) -> DataFrame:
 def scan_csv_glob(x: Layers) -> DataFrame:
     """All month folders below one root, found recursively."""
     rows = readers.read_csv(x.spark, x.landing("trips"), pattern="*.csv", label="trips")
-    return readers.month_of_file(rows, MONTH_FOLDER).groupBy("file_month").agg(F.count("*").alias("row_count"))
+    files = rows.groupBy("source_file").agg(F.count("*").alias("n"))
+    months = readers.month_of_file(files, MONTH_FOLDER)
+    return months.groupBy("file_month").agg(F.sum("n").alias("row_count"))
 
 
 @query
 def month_from_filename(x: Layers) -> DataFrame:
     """Does the month named by a file's path agree with the rows in the file?"""
     rows = readers.read_trips_csv(x.spark, x.landing("trips"), pattern="*.csv")
-    month = F.substring("tpep_pickup_datetime", 1, 7)
+    month = F.substring("tpep_pickup_datetime", 1, 7).alias("month")
+    files = rows.groupBy("source_file", month).agg(F.count("*").alias("n"))
+    other = F.when(F.col("month") != F.col("file_month"), F.col("n")).otherwise(0)
     return (
-        readers.month_of_file(rows, MONTH_FOLDER)
+        readers.month_of_file(files, MONTH_FOLDER)
         .groupBy("file_month")
-        .agg(
-            F.count("*").alias("row_count"),
-            F.count_if(month != F.col("file_month")).alias("rows_of_other_months"),
-        )
+        .agg(F.sum("n").alias("row_count"), F.sum(other).alias("rows_of_other_months"))
     )
 
 
@@ -217,9 +227,9 @@ def check_parallel_array_lengths(x: Layers) -> DataFrame:
 @query
 def lineage_file_counts(x: Layers) -> DataFrame:
     """Rows per input table file or folder."""
-    trips = bronze.bronze_trips(x.trips_raw())
-    name = F.regexp_extract("source_file", r"([^/]+\.parquet)", 1)
-    return R.rows_per_file(trips.withColumn("source_file", name))
+    files = R.rows_per_file(bronze.bronze_trips(x.trips_raw()))
+    name = F.regexp_extract("source_file", r"([^/]+\.parquet)", 1).alias("source_file")
+    return files.groupBy(name).agg(F.sum("row_count").alias("row_count"))
 
 
 @query
@@ -722,7 +732,7 @@ def share_of_day_total(x: Layers) -> DataFrame:
         F.count("*").alias("trip_count")
     )
     shared = A.share_of_total(counts, ["pickup_location_id"], {"share": "trip_count"}, ["share"])
-    return shared.withColumn("share", F.round("share", 6))
+    return shared.withColumn("share", steady("share"))
 
 
 # -- raw and bronze reports ------------------------------------------------------------------

@@ -19,11 +19,21 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def require_files(df: DataFrame, label: str) -> DataFrame:
-    """``df`` itself, or an error when its scan matched no file."""
-    if not df.inputFiles():
-        raise FileNotFoundError(f"{label}: no input files")
-    return df
+def require_files(
+    spark: SparkSession, paths: str | Sequence[str], label: str, pattern: str | None = None
+) -> None:
+    """An error when no file is there.  Looks at file names only, and only for a first one."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        listing = listing.option("pathGlobFilter", pattern)
+    try:
+        found = listing.load(paths if isinstance(paths, str) else list(paths)).select("length")
+        if not found.isEmpty():
+            return
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    raise FileNotFoundError(f"{label}: no input files at {paths}")
 
 
 def read_csv(
@@ -51,12 +61,8 @@ def read_csv(
         reader = reader.option("inferSchema", True).option("preferDate", True)
     if pattern:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    try:
-        df = require_files(reader.csv(paths if isinstance(paths, str) else list(paths)), label)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise FileNotFoundError(f"{label}: no input files at {paths}") from e
-        raise
+    require_files(spark, paths, label, pattern)
+    df = reader.csv(paths if isinstance(paths, str) else list(paths))
     return with_source_file(df) if lineage else df
 
 
@@ -74,13 +80,8 @@ def read_zones_csv(spark: SparkSession, paths, **options) -> DataFrame:
 
 def read_stored(spark: SparkSession, path: str, label: str, schema: str | None = None) -> DataFrame:
     """A Parquet folder; partition folders become columns.  Missing or empty is an error."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    try:
-        return require_files(reader.parquet(path), label)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise FileNotFoundError(f"{label}: no Parquet data at {path}") from e
-        raise
+    require_files(spark, path, label, "*.parquet")
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def register_views(spark: SparkSession, folders: Mapping[str, str]) -> None:
@@ -203,4 +204,5 @@ def bronze_ready(df: DataFrame) -> DataFrame:
 
 
 def month_of_file(df: DataFrame, pattern: str = parsing.MONTH_IN_FILE_NAME) -> DataFrame:
+    """Best applied to rows already grouped by file: the path is searched once per row."""
     return df.withColumn("file_month", parsing.month_in_name(F.col("source_file"), pattern))

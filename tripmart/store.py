@@ -21,6 +21,9 @@ from tripmart.sources.readers import read_csv
 from tripmart.sources.scope import Scope
 from tripmart.sources.writers import write_table
 
+# Daily tables are small; only trips gain from month folders here.
+BY_MONTH = {"silver_trips": S.PARTITIONS["silver_trips"]}
+
 _RUN = uuid.uuid4().hex
 _LOCK = threading.RLock()
 _WRITTEN: dict[str, str] = {}
@@ -163,7 +166,7 @@ class Layers:
     def stored_path(self, name: str) -> str:
         """Where a layer is stored, after making sure that it is."""
         return self.written(
-            name, lambda path: write_table(self._from_stored(name), path, S.PARTITIONS.get(name, ()))
+            name, lambda path: write_table(self._from_stored(name), path, BY_MONTH.get(name, ()))
         )
 
     def written(self, name: str, write) -> str:
