@@ -6,9 +6,9 @@ repeated run gives the same tables.  Row counts come from the writes themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -34,6 +34,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.scope = scope
         self.months = month_list(months)
+        self._raw_rows: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.split('_')[0]}/{name}"
@@ -58,9 +59,16 @@ class Warehouse:
     # -- steps -------------------------------------------------------------------------------
 
     def to_bronze(self, trips: DataFrame, weather: DataFrame, zones: DataFrame) -> None:
-        self._save("bronze_trips", self._this_run(bronze.bronze_trips(trips)))
-        self._save("bronze_weather", bronze.bronze_weather(weather))
-        self._save("bronze_zones", bronze.bronze_zones(zones))
+        """Raw rows are counted as they pass, for the row-count check that follows."""
+        steps = {
+            "trips": lambda raw: self._this_run(bronze.bronze_trips(raw)),
+            "weather": bronze.bronze_weather,
+            "zones": bronze.bronze_zones,
+        }
+        for kind, raw in {"trips": trips, "weather": weather, "zones": zones}.items():
+            seen = Observation()
+            self._save(f"bronze_{kind}", steps[kind](raw.observe(seen, F.count("*").alias("rows"))))
+            self._raw_rows[kind] = seen.get["rows"]
 
     def to_silver(self) -> None:
         trips = self._this_run(self.read("bronze_trips"))
@@ -104,21 +112,24 @@ class Warehouse:
 
     # -- checks ------------------------------------------------------------------------------
 
-    def check_bronze(self, raw: Mapping[str, DataFrame]) -> DataFrame:
-        """``raw`` holds the trips, weather and zones inputs; only trips may lose rows."""
+    def check_bronze(self) -> DataFrame:
+        """Contracts, and rows against the raw inputs of this run; only trips may lose rows."""
         parts = []
-        for kind, source in raw.items():
+        for kind in ("trips", "weather", "zones"):
             name = f"bronze_{kind}"
             stored = self.read(name)
             parts.append(checks.contract_suite(stored, name))
-            if not (self.months and kind == "trips"):
-                parts.append(checks.rowcount_relation(source, stored, name, kind == "trips"))
-        return stacked(parts)
+            if kind in self._raw_rows and not (self.months and kind == "trips"):
+                parts.append(
+                    checks.rowcount_relation(self._raw_rows[kind], stored, name, kind == "trips")
+                )
+        return stacked([*parts, self._folders("bronze_trips"), self._folders("bronze_weather")])
 
     def check_silver(self) -> DataFrame:
         parts = [
             checks.silver_suite(self.read("silver_trips"), self.read("bronze_trips")),
             self._folders("silver_trips"),
+            self._folders("silver_weather"),
         ]
         for kind in ("weather", "zones"):
             name = f"silver_{kind}"
@@ -154,8 +165,7 @@ class Warehouse:
         """Raw to marts; a failed check stops before the next layer.  Returns the warnings."""
         warnings = []
         self.to_bronze(trips, weather, zones)
-        raw = {"trips": trips, "weather": weather, "zones": zones}
-        warnings += checks.enforce(self.check_bronze(raw))
+        warnings += checks.enforce(self.check_bronze())
         self.to_silver()
         warnings += checks.enforce(self.check_silver())
         self.to_gold()

@@ -105,10 +105,18 @@ def columns_match(df: DataFrame, dataset: str, expected: Sequence[str]) -> DataF
 
 
 def rowcount_relation(
-    source: DataFrame, target: DataFrame, dataset: str, may_shrink: bool = True
+    source: DataFrame | int, target: DataFrame, dataset: str, may_shrink: bool = True
 ) -> DataFrame:
-    """Target rows above source rows is an error; below is a warning, or an error if not allowed."""
-    counts = row_counts({"source_rows": source, "target_rows": target})
+    """Target rows above source rows is an error; below is a warning, or an error if not allowed.
+
+    ``source`` may be a count already taken, such as one observed while the target was written.
+    """
+    if isinstance(source, int):
+        counts = target.agg(
+            F.lit(source).cast("bigint").alias("source_rows"), F.count("*").alias("target_rows")
+        )
+    else:
+        counts = row_counts({"source_rows": source, "target_rows": target})
     grown = F.greatest(F.col("target_rows") - F.col("source_rows"), F.lit(0))
     shrunk = F.greatest(F.col("source_rows") - F.col("target_rows"), F.lit(0))
     row = counts.select(
