@@ -669,9 +669,9 @@ def statements() -> dict[str, str]:
     q["duplicate_group_count"] = f"SELECT {duplicate_keys('clean_trips', ['trip_id'])} AS duplicate_trip_ids"
     q["agg_sum_or_zero"] = """SELECT round(coalesce(sum(airport_fee), 0), 2) AS airport_fee_total,
         round(coalesce(sum(tolls_amount), 0), 2) AS tolls_total FROM trips_raw"""
-    q["share_of_day_total"] = f"""SELECT pickup_location_id, payment_type_code, count(*) AS trip_count,
-        {steady('CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY pickup_location_id) AS DOUBLE)')} AS share
-        FROM fact_trips GROUP BY 1, 2"""
+    share = "CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY pickup_date) AS DOUBLE)"
+    q["share_of_day_total"] = f"""SELECT pickup_date, pickup_location_id, count(*) AS trip_count,
+        {steady(share)} AS share FROM fact_trips GROUP BY 1, 2"""
 
     # raw and bronze reports
     q["raw_row_counts"] = union(

@@ -726,12 +726,11 @@ def agg_sum_or_zero(x: Layers) -> DataFrame:
 
 @query
 def share_of_day_total(x: Layers) -> DataFrame:
-    """Each payment code's share of the trips of a place."""
-    fact = x.table("fact_trips")
-    counts = fact.groupBy("pickup_location_id", "payment_type_code").agg(
+    """Each pickup place's share of the trips of its day."""
+    counts = x.table("fact_trips").groupBy("pickup_date", "pickup_location_id").agg(
         F.count("*").alias("trip_count")
     )
-    shared = A.share_of_total(counts, ["pickup_location_id"], {"share": "trip_count"}, ["share"])
+    shared = A.share_of_total(counts, ["pickup_date"], {"share": "trip_count"}, ["share"])
     return shared.withColumn("share", steady("share"))
 
 

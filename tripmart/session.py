@@ -14,6 +14,9 @@ def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkS
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # inputs of one row group leave all shuffled rows with one map task; a local read of
+        # that shuffle would leave them with one task again
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         # call-site capture costs about a millisecond per column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -171,7 +171,7 @@ class Layers:
 
     def written(self, name: str, write) -> str:
         """Run ``write(path)`` once per input state; later calls only return the path."""
-        path = f"{self.root()}/{name}"
+        path = f"{self.root() or self._no_folder()}/{name}"
         with _LOCK:
             if path not in _WRITTEN:
                 write(path)
@@ -180,8 +180,7 @@ class Layers:
 
     def scratch(self, name: str) -> str:
         """A fresh shared folder for a sink to write to."""
-        base = self.root() or self._no_folder()
-        return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+        return f"{self.root() or self._no_folder()}/scratch/{name}-{uuid.uuid4().hex}"
 
     def landing(self, name: str) -> str:
         """Raw text files of an input, as the source system would deliver them."""
@@ -190,17 +189,15 @@ class Layers:
             if name == "trips":
                 month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
                 df = bindings.trips_text(self.spark, self.folder).withColumn("month", month)
-                df.drop("source_file").hint("rebalance", "month").write.partitionBy("month").option(
-                    "header", True
-                ).csv(path)
+                df.drop("source_file").hint("rebalance", "month").write.mode("overwrite").partitionBy(
+                    "month"
+                ).option("header", True).csv(path)
             else:
                 df = self.weather_raw() if name == "weather" else self.zones_raw()
-                df.drop("source_file").write.option("header", True).option(
+                df.drop("source_file").write.mode("overwrite").option("header", True).option(
                     "ignoreLeadingWhiteSpace", False
                 ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
-        if self.root() is None:
-            self._no_folder()
         return self.written(f"landing_{name}", write)
 
     def landed(self, name: str) -> DataFrame:
