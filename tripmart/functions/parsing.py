@@ -26,10 +26,6 @@ def parse_integer(text: Column, to: str = "bigint") -> Column:
     return F.coalesce(text.try_cast(to), text.try_cast("double").try_cast(to))
 
 
-def parse_number(text: Column) -> Column:
-    return text.try_cast("double")
-
-
 def typed_sql(df: DataFrame, name: str, to: str) -> str:
     """SQL expression for column ``name`` of ``df`` as type ``to``.
 

@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def count_rows() -> Column:
-    return F.count("*")
-
-
 def total_or_zero(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0.0))
 

@@ -92,21 +92,18 @@ def silver_trips(bronze: DataFrame, scope: Scope | None = None, lineage: bool =
 
 def silver_weather(bronze: DataFrame) -> DataFrame:
     """One row per date; a flag stays null where its amount is null."""
-    days = (
-        bronze.withColumnsRenamed(S.WEATHER_RENAMES)
-        .filter(F.col("weather_date").isNotNull())
+    days = bronze.withColumnsRenamed(S.WEATHER_RENAMES).filter(F.col("weather_date").isNotNull())
+    measures = [*S.WEATHER_RAW.without("date").names, "source_file"]
+    order = [S.WEATHER_RENAMES.get(m, m) for m in measures]
+    return (
+        dedupe_by_key(days, ["weather_date"], order)
         .withColumns(
             {
                 "is_rainy_day": F.col("precipitation_sum") > 0,
                 "is_snowy_day": F.col("snowfall_sum") > 0,
+                "silver_loaded_at": F.current_timestamp(),
             }
         )
-    )
-    measures = [*S.WEATHER_RAW.without("date").names, "source_file"]
-    order = [S.WEATHER_RENAMES.get(m, m) for m in measures]
-    return (
-        dedupe_by_key(days, ["weather_date"], order)
-        .withColumn("silver_loaded_at", F.current_timestamp())
         .select(*S.SILVER_WEATHER.names)
     )
 

@@ -20,7 +20,7 @@ from tripmart.operators import columns as C
 from tripmart.operators.dedupe import dedupe_by_key
 from tripmart.operators.lookups import keyset_difference, missing_keys, orphan_rows
 from tripmart.plans import audit as R
-from tripmart.plans import bronze, dashboards as D, gold, silver
+from tripmart.plans import bronze, dashboards as D, silver
 from tripmart.plans import checks as K
 from tripmart.sources import readers, writers
 from tripmart.sources.scope import in_months
@@ -706,7 +706,7 @@ _REGISTRY["dedupe_by_key"] = _REGISTRY.pop("dedupe")
 def having_duplicates(x: Layers) -> DataFrame:
     """Trip keys that occur more than once before deduplication."""
     trips = silver.clean_trips(_bronze(x), x.scope)
-    return A.duplicate_groups(trips, ["trip_id"])
+    return R.repeated_keys(trips, ["trip_id"])
 
 
 @query
