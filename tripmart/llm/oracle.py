@@ -2,8 +2,34 @@
 
 from __future__ import annotations
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    f" 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}')"
+)
+
 STATEMENTS: dict[str, str] = {}
 
+STATEMENTS["op2_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k,
+    array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS t
+  FROM i, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS u(s) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (
+  SELECT r, k, s, array_to_string(w[s : s + k - 1], ' ') AS t
+  FROM d, ks, unnest(range(1, len(w) - k + 2)) AS u(s)),
+h AS (SELECT r, s, k, item FROM dw JOIN iw USING (k, t)),
+p AS (SELECT r, count(DISTINCT s + j) AS n_hit FROM h, unnest(range(0, k)) AS v(j) GROUP BY r),
+n AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN n USING (r)
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

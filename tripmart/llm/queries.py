@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.decontaminate import benchmark_overlap, with_digest
 from tripmart.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +38,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
     )
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_digest(
+        benchmark_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    )
