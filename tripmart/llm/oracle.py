@@ -30,6 +30,47 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(item
 FROM d LEFT JOIN p USING (r) LEFT JOIN n USING (r)
 """
 
+# Kinds in their order, patterns, least length (of the second group for assign).
+_KINDS = [
+    ("assign", r"(?i:password|passwd|secret|token|api_?key)[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)", 1, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", 0, 1),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
+    ("host_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^/:@\x00-\x20]{1,100}:[^/:@\x00-\x20]{1,100}@", 0, 1),
+]
+
+
+def _secrets() -> str:
+    each = "\nUNION ALL\n".join(
+        f"""SELECT r, '{kind}' AS kind, {rank} AS rank, unnest(p) AS gap, unnest(m) AS width, unnest(g) AS checked,
+  {least} AS least, unnest(range(1, len(p) + 1)) AS place
+FROM (SELECT r, list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) AS p,
+  list_transform(regexp_extract_all(t, '{pattern}'), lambda x: length(x)) AS m,
+  list_transform(regexp_extract_all(t, '{pattern}', {group}), lambda x: length(x)) AS g FROM d
+  WHERE regexp_matches(t, '{pattern}'))"""
+        for rank, (kind, pattern, group, least) in enumerate(_KINDS)
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+e AS ({each}),
+f AS (
+  SELECT *, sum(gap) OVER w + coalesce(sum(width) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM e WINDOW w AS (PARTITION BY r, kind ORDER BY place)),
+s AS (
+  SELECT r, kind, rank, b::BIGINT AS b, kind || ':' || b::BIGINT || ':' || (b + width)::BIGINT AS span
+  FROM f WHERE width IS NOT NULL AND checked >= least)
+SELECT doc_id, count(span) FILTER (kind = 'assign') AS n_assign,
+  count(span) FILTER (kind = 'access') AS n_access, count(span) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY b, rank) FILTER (rank < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY b, rank), '') AS spans
+FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id
+"""
+
+
+STATEMENTS["op7_secret_scan"] = _secrets()
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

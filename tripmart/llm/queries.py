@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.decontaminate import benchmark_overlap, with_digest
+from tripmart.llm import decontaminate, secrets
+from tripmart.llm.common import new_folder
 from tripmart.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_digest(
-        benchmark_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.with_digest(
+        decontaminate.benchmark_overlap(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        )
     )
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secrets.BlobLedger(spark, new_folder(spark, "secret-ledger"))
+    return secrets.with_digest(secrets.secret_findings(table(spark, sf_dir, "documents"), ledger))
