@@ -46,3 +46,33 @@ def count_rows(df: DataFrame) -> int:
 def sha256_of_list(values: Column) -> Column:
     """Lower-case hex of the values joined by commas."""
     return F.sha2(F.concat_ws(",", values), 256)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the position of every row in the order, from 0, as ``name``; no task sees all rows.
+
+    Rows are dealt by ranges of the order; only the ranges' row counts reach the driver.
+    """
+    ranged = stored(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
+        "numbered",
+    )
+    sizes = sorted(map(tuple, ranged.groupBy("_part").agg(F.count(F.lit(1))).collect()))
+    before, offsets = 0, []
+    for part, size in sizes:
+        offsets.append((part, before))
+        before += size
+    starts = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
+    return (
+        ranged.join(F.broadcast(starts), "_part")  # one row per partition
+        .withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
+    )
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null; the keys appear once."""
+    right = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    return left.join(right, same, how).drop(*[f"_same_{k}" for k in keys])

@@ -71,6 +71,50 @@ FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id
 
 STATEMENTS["op7_secret_scan"] = _secrets()
 
+# Quotients are listed in full and ranked; sources at their limit are found in order of size / weight.
+STATEMENTS["op8_source_mix"] = """
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+    md5('0:' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+n AS (SELECT sum(size)::BIGINT AS total, greatest(1, ((sum(size) + 524287) // 524288)::BIGINT) AS shards FROM d),
+e AS MATERIALIZED (SELECT d.*, ('0x' || substr(place, 1, 8))::BIGINT % shards AS shard FROM d, n),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM e GROUP BY source),
+o AS (
+  SELECT s.*, 3 * total - coalesce(4 * sum(source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS r2,
+    sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+    row_number() OVER w AS k
+  FROM s, n WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST)),
+f AS (SELECT min(k) AS k FROM o WHERE weight * r2 <= 4 * source_size * open_weight),
+l AS (SELECT (r2 / 2.0)::DOUBLE AS level, open_weight FROM o JOIN f USING (k)),
+t AS MATERIALIZED (
+  SELECT source, source_size, CASE WHEN o.k < f.k THEN (2 * source_size)::DOUBLE
+    ELSE o.weight * level / l.open_weight::DOUBLE END AS target FROM o, f, l),
+b AS (SELECT floor(total * 1.5 / 64 + 0.5)::BIGINT AS blocks FROM n),
+q AS (
+  SELECT source, row_number() OVER (ORDER BY target / (2 * a + 1) DESC, source NULLS LAST, a) AS place
+  FROM t, b, unnest(range(0, (2 * target / 64)::BIGINT + 22)) AS u(a) WHERE target > 0),
+g AS (SELECT source, count(*) AS seats FROM q, b WHERE place <= blocks GROUP BY source),
+c AS MATERIALIZED (SELECT source, shard, sum(size)::BIGINT AS cell_size FROM e GROUP BY source, shard),
+h AS (
+  SELECT c.source, shard, seats,
+    row_number() OVER (PARTITION BY c.source ORDER BY cell_size::DOUBLE / (2 * a + 1) DESC, shard, a) AS place
+  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source, unnest(range(0, seats)) AS u(a) WHERE cell_size > 0),
+i AS (SELECT source, shard, count(*) AS quota FROM h WHERE place <= seats GROUP BY source, shard),
+p AS (
+  SELECT c.source, c.shard, cell_size, least(coalesce(quota, 0) * 64, 2 * cell_size) AS amount
+  FROM c LEFT JOIN i ON c.source IS NOT DISTINCT FROM i.source AND c.shard = i.shard),
+v AS (
+  SELECT e.*, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM e)
+SELECT doc_id, v.size, t.source_size, t.target,
+  (CASE WHEN v.size > 0 THEN amount // cell_size * v.size
+    + greatest(0, least(v.size, amount % cell_size - start)) ELSE 0 END)::BIGINT AS taken
+FROM v JOIN p ON v.source IS NOT DISTINCT FROM p.source AND v.shard = p.shard
+JOIN t ON v.source IS NOT DISTINCT FROM t.source
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

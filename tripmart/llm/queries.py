@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
+from tripmart.llm.mixing import mix_sources
 from tripmart.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +55,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secrets.BlobLedger(spark, new_folder(spark, "secret-ledger"))
     return secrets.with_digest(secrets.secret_findings(table(spark, sf_dir, "documents"), ledger))
+
+
+@query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
