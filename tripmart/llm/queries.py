@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
 from tripmart.llm.mixing import mix_sources
+from tripmart.llm.quality import judge_quality
 from tripmart.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secrets.BlobLedger(spark, new_folder(spark, "secret-ledger"))
