@@ -115,6 +115,37 @@ FROM v JOIN p ON v.source IS NOT DISTINCT FROM p.source AND v.shard = p.shard
 JOIN t ON v.source IS NOT DISTINCT FROM t.source
 """
 
+# Each capture's keys against the last change of each entry up to its fetch day.
+STATEMENTS["op6_url_filters"] = """
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id, url, (page_id * 37) % 365 AS day,
+    coalesce(lower(rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.')), '') AS host,
+    list_filter(string_split(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS steps
+  FROM pages),
+h AS (SELECT host, min(page_id) AS m, string_split(host, '.') AS labels FROM p WHERE host <> '' GROUP BY host),
+e AS (
+  SELECT 'hosts' AS list, 'block' AS verdict, host AS key, 'add' AS action, m * 13 % 200 AS since FROM h
+  UNION ALL SELECT 'hosts', 'block', host, 'remove', m * 13 % 200 + 20 + m % 50 FROM h
+  UNION ALL SELECT 'hosts', 'block', host, 'add', m * 13 % 200 + 90 FROM h
+  UNION ALL SELECT 'sections', 'allow', host || '/' || ['en', 'de', 'fr', 'es'][m % 4 + 1], 'add', m * 13 % 200 + 10 FROM h
+  UNION ALL SELECT 'sections', 'allow', host || '/' || ['en', 'de', 'fr', 'es'][m % 4 + 1], 'remove', m * 13 % 200 + 120 FROM h
+  UNION ALL SELECT 'domains', 'block', array_to_string(labels[greatest(1, len(labels) - 2) :], '.'), 'add', m * 13 % 200 + 150 FROM h
+  UNION ALL SELECT 'domains', 'block', array_to_string(labels[greatest(1, len(labels) - 2) :], '.'), 'remove', m * 13 % 200 + 170 + m % 50 FROM h),
+c AS (SELECT list, verdict, key, since, bool_and(action = 'add') AS active FROM e GROUP BY ALL),
+k AS (
+  SELECT DISTINCT r, day, array_to_string(string_split(host, '.')[i :], '.') AS key
+  FROM p, unnest(range(1, len(string_split(host, '.')) + 1)) AS u(i) WHERE host <> ''
+  UNION SELECT r, day, host || '/' || array_to_string(steps[1 : i], '/') FROM p, unnest(range(1, len(steps) + 1)) AS u(i) WHERE host <> ''),
+s AS (
+  SELECT r, key, list, verdict, arg_max(active, since) AS active FROM k JOIN c USING (key) WHERE since <= day
+  GROUP BY r, key, list, verdict),
+a AS (
+  SELECT r, count(*) AS n_active, max({'n': length(key), 'key': key, 'block': (verdict = 'block')::INT}) AS best
+  FROM s WHERE active GROUP BY r)
+SELECT page_id, url, host, coalesce(n_active, 0) AS n_active, best.key AS matched, coalesce(best.block, 0) = 1 AS blocked
+FROM p LEFT JOIN a USING (r)
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

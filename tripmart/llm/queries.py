@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
+from tripmart.llm.html_text import page_texts
 from tripmart.llm.mixing import mix_sources
 from tripmart.llm.quality import judge_quality
 from tripmart.llm.tokens import token_counts
+from tripmart.llm.urls import url_host, url_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +62,39 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def captures_and_lists(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures with a fetch day and list changes, both worked out from the pages themselves.
+
+    The given pages have no dates and come with no lists, so page p is fetched on day 37 p mod 365 of
+    2024, and the lists change on days that follow from a host's first page.
+    """
+    day = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), c.cast("int")).cast("timestamp")
+    captures = pages.select("page_id", "url", day(F.col("page_id") * 37 % 365).alias("fetched_at"))
+    hosts = (
+        pages.select("page_id", "url", url_host(F.col("url")).alias("host"))
+        .filter("host <> ''").groupBy("host").agg(F.min("page_id").alias("m"))
+    )
+    path = F.concat_ws("/", "host", F.element_at(F.array(*map(F.lit, ["en", "de", "fr", "es"])), (F.col("m") % 4 + 1).cast("int")))
+    opened, closed, again = F.col("m") * 13 % 200, F.col("m") * 13 % 200 + 20 + F.col("m") % 50, F.col("m") * 13 % 200 + 90
+    change = lambda name, verdict, key, action, at: F.struct(
+        F.lit(name).alias("list"), F.lit(verdict).alias("verdict"), key.alias("key"), F.lit(action).alias("action"), day(at).alias("at"))
+    entries = hosts.select(F.explode(F.array(
+        change("hosts", "block", F.col("host"), "add", opened),
+        change("hosts", "block", F.col("host"), "remove", closed),
+        change("hosts", "block", F.col("host"), "add", again),
+        change("sections", "allow", path, "add", opened + 10),
+        change("sections", "allow", path, "remove", again + 30),
+        change("domains", "block", F.substring_index("host", ".", -3), "add", opened + 150),
+        change("domains", "block", F.substring_index("host", ".", -3), "remove", closed + 150),
+    )).alias("e")).select("e.*")
+    return captures, entries
+
+
+@query
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(*captures_and_lists(table(spark, sf_dir, "pages"))).drop("fetched_at")
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secrets.BlobLedger(spark, new_folder(spark, "secret-ledger"))
@@ -69,3 +104,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(table(spark, sf_dir, "pages"))
