@@ -48,6 +48,7 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 
 _BLANK = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Za-z]+")
+_CUT_OFF = re.compile(r"<!--(?!.*-->).*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)
 
 
 class _Lines(HTMLParser):
@@ -130,6 +131,9 @@ class _Lines(HTMLParser):
         self._text.append(data)
 
     def finish(self) -> None:
+        # a tag or comment that the page's end cuts off is markup, not text
+        if not self.cdata_elem:
+            self.rawdata = _CUT_OFF.sub("", self.rawdata)
         self.close()
         self._flush()
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
 from tripmart.llm.html_text import page_texts
+from tripmart.llm.lines import repeated_runs
 from tripmart.llm.mixing import mix_sources
 from tripmart.llm.quality import judge_quality
 from tripmart.llm.tokens import token_counts
+from tripmart.llm.units import repeated_passages
 from tripmart.llm.urls import url_host, url_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +56,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_runs(table(spark, sf_dir, "documents")).drop("version")
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).select(
@@ -109,3 +116,8 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("version")

@@ -24,15 +24,16 @@ class Words:
 
     def __init__(self, texts: list[str | None]):
         data = "\n".join(t or "" for t in texts).encode("utf-8", "surrogatepass")
-        self.data = _LOWER[np.frombuffer(data, np.uint8)]
+        self.raw = np.frombuffer(data, np.uint8)
+        self.data = _LOWER[self.raw]
         inside = np.zeros(len(self.data) + 2, np.int8)
         inside[1:-1] = _IN_WORD[self.data]
         step = np.diff(inside)
         self.begin, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         self.keys = span_keys(self.data, self.begin, self.end)
         size = np.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts], np.int64)
-        text_at = np.concatenate([[0], np.cumsum(size + 1)])
-        edge = np.searchsorted(self.begin, text_at)
+        self.text_at = np.concatenate([[0], np.cumsum(size + 1)])
+        edge = np.searchsorted(self.begin, self.text_at)
         self.first = edge[:-1]
         self.counts = np.diff(edge)
         self.text_of = np.repeat(np.arange(len(texts)), self.counts)
