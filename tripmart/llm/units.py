@@ -37,10 +37,12 @@ def unit_starts(words: Words, reach: int) -> np.ndarray:
     starts[1:] |= at[1:] != at[:-1]
     if n > 2 * reach:
         key = span_keys(words.keys, np.arange(n - 1), np.arange(n - 1) + 2)
-        low = np.ones(n - 1, bool)
+        text = words.text_of
+        low = text[1:] == text[:-1]
         for d in range(1, reach + 1):
-            low[d:] &= key[d:] < key[:-d]
-            low[:-d] &= key[:-d] <= key[d:]
+            other = text[d + 1 :] != text[: -d - 1]  # not within one text: no say
+            low[d:] &= other | (key[d:] < key[:-d])
+            low[:-d] &= other | (key[:-d] <= key[d:])
         starts[:-1] |= low
     return np.flatnonzero(starts)
 
