@@ -13,6 +13,7 @@ from tripmart.llm.html_text import page_texts
 from tripmart.llm.lines import repeated_runs
 from tripmart.llm.mixing import mix_sources
 from tripmart.llm.quality import judge_quality
+from tripmart.llm.similar import similar_texts
 from tripmart.llm.tokens import token_counts
 from tripmart.llm.units import repeated_passages
 from tripmart.llm.urls import url_host, url_verdicts
@@ -56,6 +57,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_texts(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @query
 def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_runs(table(spark, sf_dir, "documents")).drop("version")
