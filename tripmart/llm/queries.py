@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
 from tripmart.llm.html_text import page_texts
@@ -127,3 +128,8 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("version")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
