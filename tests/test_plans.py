@@ -28,7 +28,7 @@ def plan_of(df):
 
 def test_scope_reaches_the_scan_and_unused_columns_do_not(spark):
     plan = plan_of(Layers(spark, FOLDER).plan("mart_daily_demand"))
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate,1997-01-01", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate,1990-01-01", plan)
     orders = re.search(r"FileScan parquet \[(o_orderkey[^\]]*)\]", plan).group(1)
     assert "o_totalprice" not in orders and "o_orderpriority" not in orders
     assert "file_path" not in plan  # lineage is not read for a mart

@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tripmart import oracle
+from tripmart.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-EXPECTED = entry_point.oracle_sql()
+QUERIES = all_queries()
+EXPECTED = oracle.statements()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the given tables")
 
@@ -31,6 +33,8 @@ def plain(value):
 
 def test_every_query_has_an_expected_result():
     assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(EXPECTED) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -15,7 +15,10 @@ from tripmart import schemas as S
 from tripmart.sources.readers import with_source_file
 from tripmart.sources.scope import Scope
 
-DEFAULT_SCOPE = Scope.of("1997-01-01", "1999-12-31")
+# Wider than the given tables (1995-2001): as a scope should, it removes only impossible dates.
+DEFAULT_SCOPE = Scope.of("1990-01-01", "2009-12-31")
+# For the queries that show what a scope leaves out.
+NARROW_SCOPE = Scope.of("1997-01-01", "1999-12-31")
 # Money is rounded in whole cents and percents, so that the result does not hang on binary fractions.
 _CENTS = "CAST(round(l_extendedprice * 100) AS bigint)"
 _TAX = "CAST(round(l_tax * 100) AS bigint)"

@@ -10,6 +10,7 @@ import re
 
 from tripmart import schemas as S
 
+WIDE_LO, WIDE_HI = "DATE '1990-01-01'", "DATE '2009-12-31'"
 LO, HI = "DATE '1997-01-01'", "DATE '1999-12-31'"
 MONTHS_IN_SCOPE = "1,2,3,4,5,6,7,8,9,10,11,12"
 
@@ -105,7 +106,7 @@ CTES["clean_trips"] = f"""
     WHERE pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL AND pickup_date IS NOT NULL
       AND pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL
       AND pickup_datetime < dropoff_datetime AND trip_duration_minutes > 0
-      AND pickup_date BETWEEN {LO} AND {HI}"""
+      AND pickup_date BETWEEN {WIDE_LO} AND {WIDE_HI}"""
 
 CTES["silver_trips"] = """
     SELECT * FROM clean_trips
@@ -521,7 +522,7 @@ def statements() -> dict[str, str]:
     # sinks
     q["sink_overwrite_roundtrip"] = _rows("dim_weather")
     q["sink_dynamic_partition_overwrite"] = """SELECT pickup_date, pickup_year, pickup_month,
-        trip_count + CASE WHEN pickup_year = 1999 THEN 1000 ELSE 0 END AS trip_count
+        trip_count + CASE WHEN pickup_year = (SELECT max(pickup_year) FROM mart_daily_demand) THEN 1000 ELSE 0 END AS trip_count
         FROM mart_daily_demand"""
     q["sink_flat_export"] = _layer("mart_zone_demand")
     q["export_rowcount_reconcile"] = union(
@@ -903,6 +904,17 @@ def statements() -> dict[str, str]:
         count(*) AS row_count FROM silver_weather
         WHERE {outside('weather_date')} OR {outside_month('weather_year', 'weather_month')}
         GROUP BY 1, 2, 3"""
+    beyond = f"{outside('pickup_date')} OR {outside_month('pickup_year', 'pickup_month')}"
+    q["scope_violations_detail_trips"] = f"""SELECT pickup_date, pickup_year, pickup_month,
+        count(*) AS row_count FROM silver_trips WHERE {beyond} GROUP BY 1, 2, 3"""
+    q["scope_violations_detail_fact"] = f"""SELECT pickup_date, weather_date, pickup_year,
+        pickup_month, count(*) AS row_count FROM fact_trips
+        WHERE {beyond} OR {outside('weather_date')} GROUP BY 1, 2, 3, 4"""
+    q["scope_violations_detail_marts"] = union(
+        f"""SELECT '{m}' AS dataset, pickup_date, pickup_year, pickup_month, count(*) AS row_count
+        FROM {m} WHERE {beyond} GROUP BY 1, 2, 3, 4"""
+        for m in MARTS
+    )
     silver_nulls = [c for c in S.REQUIRED["silver_trips"] if c != "trip_duration_minutes"]
     q["silver_quality_profile"] = profile("silver_trips", {**nulls(silver_nulls), **TIME_ORDER, **PARTS})
     q["silver_weather_profile"] = profile(

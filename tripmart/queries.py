@@ -286,7 +286,7 @@ def sink_dynamic_partition_overwrite(x: Layers) -> DataFrame:
     by = S.PARTITIONS["mart_daily_demand"]
     mart = x.table("mart_daily_demand").select("pickup_date", *by, "trip_count")
     writers.write_table(mart, path, by)
-    last = mart.filter(F.col("pickup_year") == x.scope.last.year)
+    last = mart.join(mart.agg(F.max("pickup_year").alias("pickup_year")), "pickup_year", "left_semi")
     writers.write_table(last.withColumn("trip_count", F.col("trip_count") + 1000), path, by)
     stored = x.spark.read.schema(mart.schema).parquet(path)
     return stored.select("pickup_date", *by, "trip_count")
@@ -418,14 +418,15 @@ def filter_trip_quality(x: Layers) -> DataFrame:
 
 @query
 def filter_date_scope(x: Layers) -> DataFrame:
-    trips = _bronze(x).filter(x.scope.has_day(F.col("pickup_date")))
+    trips = _bronze(x).filter(bindings.NARROW_SCOPE.has_day(F.col("pickup_date")))
     return trips.groupBy("pickup_date").agg(F.count("*").alias("row_count"))
 
 
 @query
 def partition_scope_violations(x: Layers) -> DataFrame:
     return R.scope_summary(
-        _bronze(x), "bronze_trips", x.scope, ["pickup_date"], ["pickup_year", "pickup_month"]
+        _bronze(x), "bronze_trips", bindings.NARROW_SCOPE, ["pickup_date"],
+        ["pickup_year", "pickup_month"],
     )
 
 
@@ -746,7 +747,7 @@ def raw_row_counts(x: Layers) -> DataFrame:
 
 @query
 def raw_trip_quality(x: Layers) -> DataFrame:
-    return R.raw_trip_quality(_trips(x), x.scope)
+    return R.raw_trip_quality(_trips(x), bindings.NARROW_SCOPE)
 
 
 @query
@@ -1095,17 +1096,41 @@ _SCOPED = {
 def scope_violations_summary(x: Layers) -> DataFrame:
     return A.stacked(
         [
-            R.scope_summary(x.table(n), n, x.scope, dates, S.PARTITIONS[n] if parts else None)
+            R.scope_summary(
+                x.table(n), n, bindings.NARROW_SCOPE, dates, S.PARTITIONS[n] if parts else None
+            )
             for n, (dates, parts) in _SCOPED.items()
         ]
     )
 
 
+def _outside(x: Layers, name: str, dates: list[str]) -> DataFrame:
+    """Dates and months of a layer outside the narrow scope, with their rows."""
+    return R.scope_detail(x.table(name), bindings.NARROW_SCOPE, dates, S.PARTITIONS[name])
+
+
 @query
 def scope_violations_detail(x: Layers) -> DataFrame:
-    """Weather is kept for all dates, so its days outside the trip scope are listed."""
-    return R.scope_detail(
-        x.table("silver_weather"), x.scope, ["weather_date"], S.PARTITIONS["silver_weather"]
+    return _outside(x, "silver_weather", ["weather_date"])
+
+
+@query
+def scope_violations_detail_trips(x: Layers) -> DataFrame:
+    return _outside(x, "silver_trips", ["pickup_date"])
+
+
+@query
+def scope_violations_detail_fact(x: Layers) -> DataFrame:
+    return _outside(x, "fact_trips", ["pickup_date", "weather_date"])
+
+
+@query
+def scope_violations_detail_marts(x: Layers) -> DataFrame:
+    return A.stacked(
+        [
+            _outside(x, name, ["pickup_date"]).withColumn("dataset", F.lit(name))
+            for name in MARTS
+        ]
     )
 
 

@@ -22,7 +22,7 @@ from tripmart.sources.scope import Scope
 from tripmart.sources.writers import write_table
 
 # Daily tables are small; only trips gain from month folders here.
-BY_MONTH = {"silver_trips": S.PARTITIONS["silver_trips"]}
+BY_MONTH = {n: S.PARTITIONS[n] for n in ("silver_trips", "fact_trips")}
 
 _RUN = uuid.uuid4().hex
 _LOCK = threading.RLock()
@@ -156,8 +156,8 @@ class Layers:
         return self._root
 
     def table(self, name: str) -> DataFrame:
-        """A layer table.  Bronze and the fact add no shuffle to what they read and stay plans."""
-        if name.startswith("bronze_") or name == "fact_trips" or self.root() is None:
+        """A layer table.  Bronze adds no shuffle to what it reads and stays a plan."""
+        if name.startswith("bronze_") or self.root() is None:
             return self._from_stored(name)
         path = self.stored_path(name)
         contract = S.CONTRACTS[name]
