@@ -89,12 +89,19 @@ def test_non_empty(t):
     assert counts(checks.non_empty(t["dim_zone"].limit(0), "d")) == {"is_empty": 1}
 
 
-def test_columns(t):
+def test_columns(spark, t, tmp_path):
     df = t["dim_zone"].withColumnRenamed("zone", "area")
-    row = checks.columns_match(df, "dim_zone", S.DIM_ZONE.names).first()
+    row = checks.columns_match(spark, dict(df.dtypes), "dim_zone", S.DIM_ZONE).first()
     assert (row.missing_columns, row.unexpected_columns, row.violations) == ("zone", "area", 2)
     shuffled = t["dim_zone"].select(*S.DIM_ZONE.names[::-1])
-    assert checks.columns_match(shuffled, "dim_zone", S.DIM_ZONE.names).first().violations == 0
+    found = dict(shuffled.dtypes)
+    assert checks.columns_match(spark, found, "dim_zone", S.DIM_ZONE).first().violations == 0
+    # one deviating file among good ones is seen
+    path = str(tmp_path / "dim_zone")
+    t["dim_zone"].write.parquet(path)
+    t["dim_zone"].withColumn("more", F.lit(1)).write.mode("append").parquet(path)
+    stored = checks.stored_columns(spark, path)
+    assert checks.columns_match(spark, stored, "dim_zone", S.DIM_ZONE).first().unexpected_columns == "more"
     with pytest.raises(checks.CheckFailed, match="zone"):
         checks.contract_suite(df, "dim_zone")
 

