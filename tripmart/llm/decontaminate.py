@@ -15,11 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import sha256_of_list, stored
+from tripmart.llm.common import bit_table, has_bits, sha256_of_list, stored
 from tripmart.llm.words import Words, arrow_rows, chunks
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-_FILTER_BITS = 24
 _HITS = pa.list_(
     pa.struct([("k", pa.int32()), ("key", pa.int64()), ("at", pa.int64()), ("before", pa.int32()),
                ("words", pa.string())])
@@ -83,13 +82,12 @@ def _scan(lengths: list[tuple[int, int]], window: int, known):
     """Per document: number of words, and fingerprints that the test side may have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = known.value
         for part in chunks(arrow_rows(batches), 2):
             words = Words([t for *_, t in part])
             hits: list[list[dict]] = [[] for _ in part]
             for k, w in lengths:
                 at, keys = winnow(words, k, w)
-                maybe = bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+                maybe = has_bits(known.value, keys)
                 for a, key in zip(at[maybe].tolist(), keys[maybe].view(np.int64).tolist(), strict=True):
                     text = int(words.text_of[a])
                     first = int(words.first[text])
@@ -104,18 +102,6 @@ def _scan(lengths: list[tuple[int, int]], window: int, known):
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Leading bits of the test side's keys, as one fixed-size table (2**24 flags, any input size)."""
-    first = F.expr(f"shiftrightunsigned(key, {64 - _FILTER_BITS})")
-    words = (
-        keys.select((first / 64).cast("int").alias("place"), (first % 64).cast("int").alias("bit"))
-        .groupBy("place").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
-    ).toArrow()
-    table = np.zeros((1 << _FILTER_BITS) // 64, "<i8")
-    table[words["place"].to_numpy()] = words["mask"].to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
-
-
 def benchmark_overlap(
     docs: DataFrame,
     items: DataFrame,
@@ -145,7 +131,7 @@ def benchmark_overlap(
     )
     short = [r.n for r in test.filter(F.col("n") < window).select("n").distinct().collect()]  # < window
     prints = test.select("k", F.explode("keys").alias("key")).distinct()
-    known = spark.sparkContext.broadcast(_bitmap(prints))
+    known = spark.sparkContext.broadcast(bit_table(prints))
     lengths = [(k, window - k + 1), *((n, 1) for n in sorted(short))]
     scanned = stored(
         docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import join_same, stored
+from tripmart.llm.common import bit_table, has_bits, join_same, stored
 from tripmart.llm.hashing import scramble, span_keys
 from tripmart.llm.words import Words, arrow_rows, chunks
 
@@ -247,6 +247,9 @@ def _verify(similarity: float):
     """Per block: each set's links, the documents behind them, and the least set it is connected to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, _KEYS):
+            # equal rows of the input bring the same set more than once
+            _, once = np.unique(group["node"].to_numpy(), return_index=True)
+            group = group.take(pa.array(np.sort(once)))
             pairs = _likely(group, similarity)
             if not len(pairs):
                 continue
@@ -279,15 +282,22 @@ def _verify(similarity: float):
     return run
 
 
-def _members(k: int):
-    schema = pa.schema([("node", pa.int64()), ("members", pa.binary())])
+def _members(k: int, known):
+    """The sets of the rows (id, version, key, text) whose key has its flag set."""
+    schema = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(arrow_rows(batches), 1):
-            _, keys, edge = shingle_sets([t for _, t in part], k)
+        def wanted():
+            for batch in batches:
+                keys = batch.column(2).to_numpy().view(np.uint64)
+                yield batch.take(pa.array(np.flatnonzero(has_bits(known.value, keys))))
+
+        for part in chunks(arrow_rows(wanted()), 3):
+            _, keys, edge = shingle_sets([t for *_, t in part], k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int64()),
-                 pa.array([keys[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())], schema=schema)
+                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()),
+                 pa.array([keys[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())],
+                schema=schema)
 
     return run
 
@@ -365,11 +375,15 @@ def similar_texts(
     likely = stored(
         placed.join(info, "node").select(*names)
         .repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(_partners(similarity), fields), "likely")
+    # full sets of likely partners only; most rows are set aside before anything is sent
     wanted = sets.join(likely.select("node").distinct(), "node", "left_semi").select("node", "first.id", "first.version")
-    whole = join_same(wanted, rows.dropDuplicates(["id", "version"]), ["id", "version"]).select("node", "text")
-    members = whole.mapInArrow(_members(k), "node long, members binary")
+    known = docs.sparkSession.sparkContext.broadcast(
+        bit_table(wanted.select(F.xxhash64("id", "version").alias("key"))))
+    members = rows.select("id", "version", F.xxhash64("id", "version").alias("key"), "text").mapInArrow(
+        _members(k, known), "id long, version long, members binary")
     links = stored(
-        likely.join(members, "node").select(*names, "members")
+        likely.join(join_same(wanted, members, ["id", "version"]).select("node", "members"), "node")
+        .select(*names, "members")
         .repartition(*_KEYS).sortWithinPartitions(*_KEYS)
         .mapInArrow(_verify(similarity), "node long, links long, docs long, least long"), "links")
     component = connected(links.select(F.col("node").alias("u"), F.col("least").alias("v")))
