@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import stored
+from tripmart.llm.hashing import span_keys
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # The contractions of the pre-tokenizer's pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-_MULTIPLIER = 0x9E3779B97F4A7C15
 _BLOCKS = (
-    "block string, doc_id array<long>, n_bytes array<long>, extra array<long>,"
+    "block long, doc_id array<long>, n_bytes array<long>, extra array<long>,"
     " n_pieces array<long>, piece_at binary, freq binary, pieces array<string>"
 )
 
@@ -107,28 +107,7 @@ def cut(code: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin[:n])
 
 
-def _odd_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    bases = _MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)
-    out = []
-    for base in bases:
-        row = np.full(n + 1, base, np.uint64)
-        row[0] = 1
-        out.append(np.cumprod(row))
-    return out[0], out[1]
-
-
-def span_keys(code: np.ndarray, begin: np.ndarray, end: np.ndarray, powers) -> np.ndarray:
-    """A 64-bit key of every span, equal for equal content wherever it stands."""
-    up, down = powers
-    with np.errstate(over="ignore"):
-        mixed = (code.astype(np.uint64) + np.uint64(0x1000003)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(31)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed * up[: len(code)])])
-        return (total[end] - total[begin]) * down[begin]
-
-
-def _pack_chunk(texts: list[str], specials: list[str], classes: np.ndarray, powers) -> tuple:
+def _pack_chunk(texts: list[str], specials: list[str], classes: np.ndarray) -> tuple:
     """(special strings, distinct pieces per text, piece places, frequencies, pieces)."""
     segments, owner, extra = [], [], np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
@@ -148,11 +127,7 @@ def _pack_chunk(texts: list[str], specials: list[str], classes: np.ndarray, powe
     first = np.concatenate([[0], np.cumsum([len(x) for x in segments])[:-1]]).astype(np.int64)
     begin = cut(code, first, classes)
     end = np.append(begin[1:], len(code))
-    if len(powers[0]) <= len(code):
-        powers = _odd_powers(len(code))
-    _, seen, place = np.unique(
-        span_keys(code, begin, end, powers), return_index=True, return_inverse=True
-    )
+    _, seen, place = np.unique(span_keys(code, begin, end), return_index=True, return_inverse=True)
     text_of = np.asarray(owner)[np.searchsorted(first, begin, side="right") - 1]
     pairs, freq = np.unique(text_of * len(seen) + place, return_counts=True)
     per_text = np.bincount(pairs // len(seen), minlength=len(texts))
@@ -160,6 +135,23 @@ def _pack_chunk(texts: list[str], specials: list[str], classes: np.ndarray, powe
     return extra, per_text, pairs % len(seen), freq, pieces
 
 
+def _ascending(per_text: np.ndarray, at: np.ndarray, freq: np.ndarray) -> tuple:
+    """Piece places of each text in order, as gaps, which are small; frequencies likewise."""
+    order = np.lexsort((at, np.repeat(np.arange(len(per_text)), per_text)))
+    gaps = np.diff(at[order], prepend=0)
+    first = (np.cumsum(per_text) - per_text)[per_text > 0]
+    gaps[first] = at[order][first]
+    return gaps, freq[order]
+
+
+def _places(per_text: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """The piece places that ``_ascending`` has turned into gaps."""
+    total = np.cumsum(gaps.astype(np.int64))
+    first = (np.cumsum(per_text) - per_text)[per_text > 0]
+    before = np.concatenate([[0], total])[first]
+    return total - np.repeat(before, per_text[per_text > 0])
+
+
 def _squeeze(values: np.ndarray) -> bytes:
     """Byte planes of unsigned 32-bit integers, compressed."""
     import zstandard
@@ -177,7 +169,7 @@ def _unsqueeze(data: bytes) -> np.ndarray:
 
 def _blocks(specials: list[str], classes, chunk_chars: int, block_pieces: int):
     schema = pa.schema(
-        [("block", pa.string()), ("doc_id", pa.list_(pa.int64())),
+        [("block", pa.int64()), ("doc_id", pa.list_(pa.int64())),
          ("n_bytes", pa.list_(pa.int64())), ("extra", pa.list_(pa.int64())),
          ("n_pieces", pa.list_(pa.int64())), ("piece_at", pa.binary()), ("freq", pa.binary()),
          ("pieces", pa.list_(pa.string()))]
@@ -185,7 +177,6 @@ def _blocks(specials: list[str], classes, chunk_chars: int, block_pieces: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
-        powers = _odd_powers(2 * chunk_chars)
         part, number, pairs = TaskContext.get().partitionId(), 0, 0
         places: dict[str, int] = {}  # the block's pieces, in order of their numbers
         rows: list[list] = [[], []]
@@ -195,9 +186,9 @@ def _blocks(specials: list[str], classes, chunk_chars: int, block_pieces: int):
 
         def pack() -> None:
             nonlocal chars, pairs
-            extra, per_text, at, freq, pieces = _pack_chunk(texts, specials, table, powers)
+            extra, per_text, at, freq, pieces = _pack_chunk(texts, specials, table)
             number_of = np.array([places.setdefault(p, len(places)) for p in pieces], np.int64)
-            packed.append((extra, per_text, number_of[at], freq))
+            packed.append((extra, per_text, *_ascending(per_text, number_of[at], freq)))
             pairs += len(at)
             texts.clear()
             chars = 0
@@ -206,7 +197,7 @@ def _blocks(specials: list[str], classes, chunk_chars: int, block_pieces: int):
             nonlocal number, pairs
             extra, per_text, at, freq = (np.concatenate(x) for x in zip(*packed, strict=True))
             row = {
-                "block": [f"{part}-{number}"], "doc_id": [rows[0]], "n_bytes": [rows[1]],
+                "block": [(part << 32) + number], "doc_id": [rows[0]], "n_bytes": [rows[1]],
                 "extra": [extra], "n_pieces": [per_text], "piece_at": [_squeeze(at)],
                 "freq": [_squeeze(freq)], "pieces": [list(places)],
             }
@@ -240,7 +231,7 @@ def _piece_tokens(path: str, flush_rows: int = 500_000):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
-        held: dict[str, list[tuple]] = {}
+        held: dict[int, list[tuple]] = {}
         rows, last, last_n = 0, None, 0
 
         def flush() -> pa.RecordBatch:
@@ -251,14 +242,14 @@ def _piece_tokens(path: str, flush_rows: int = 500_000):
             ]
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], pa.string()),
+                [pa.array([r[0] for r in out], pa.int64()),
                  pa.array([r[1] for r in out], pa.binary()),
                  pa.array([r[2] for r in out], pa.binary())], ["block", "at", "tokens"]
             )
 
         for batch in batches:
             piece = batch.column(0).to_pylist()
-            blocks = batch.column(1).to_pylist()
+            blocks = batch.column(1).to_numpy()
             at = batch.column(2).to_numpy()
             new = [k for k, p in enumerate(piece) if p != (piece[k - 1] if k else last)]
             found = tokenizer.encode_batch_fast([piece[k] for k in new], add_special_tokens=False)
@@ -268,10 +259,10 @@ def _piece_tokens(path: str, flush_rows: int = 500_000):
             n[: edges[0]] = last_n
             n[edges[0] :] = np.repeat(counts, np.diff(edges))
             last, last_n = piece[-1], int(n[-1])
-            names, where = np.unique(np.array(blocks, dtype=object), return_inverse=True)
+            names, where = np.unique(blocks, return_inverse=True)
             order = np.argsort(where, kind="stable")
             cuts = np.cumsum(np.bincount(where))[:-1]
-            for name, rows_of in zip(names, np.split(order, cuts), strict=True):
+            for name, rows_of in zip(names.tolist(), np.split(order, cuts), strict=True):
                 held.setdefault(name, []).append((at[rows_of], n[rows_of]))
             rows += len(piece)
             if rows >= flush_rows:
@@ -289,7 +280,8 @@ _SUMS = pa.schema([("row_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens",
 def _sum_blocks(key, docs: pa.Table, counted: pa.Table) -> pa.Table:
     out = []
     for row in docs.to_pylist():
-        at, freq = _unsqueeze(row["piece_at"]), _unsqueeze(row["freq"])
+        per_text = np.array(row["n_pieces"], np.int64)
+        at, freq = _places(per_text, _unsqueeze(row["piece_at"])), _unsqueeze(row["freq"])
         tokens = np.zeros(int(at.max()) + 1 if len(at) else 0, np.int64)
         for places, n in zip(counted["at"], counted["tokens"], strict=True):
             tokens[_unsqueeze(places.as_py())] = _unsqueeze(n.as_py())
@@ -333,7 +325,7 @@ def token_counts(
         .select("piece", "block", "at")
         .repartition("piece")
         .sortWithinPartitions("piece")
-        .mapInArrow(_piece_tokens(tokenizer_path), "block string, at binary, tokens binary")
+        .mapInArrow(_piece_tokens(tokenizer_path), "block long, at binary, tokens binary")
     )
     return (
         blocks.drop("pieces").groupBy("block")
