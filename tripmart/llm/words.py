@@ -55,7 +55,7 @@ class Words:
         return at, span_keys(self.keys, at, at + k)
 
 
-def chunks(rows: Iterator[tuple], text_at: int, chars: int = 1_500_000) -> Iterator[list[tuple]]:
+def chunks(rows: Iterator[tuple], text_at: int, chars: int = 600_000) -> Iterator[list[tuple]]:
     """Rows in lists of about ``chars`` characters, a longer text by itself."""
     held: list[tuple] = []
     size = 0
