@@ -92,7 +92,7 @@ def mix_sources(
     share: float = 1.5,
     most: int = 2,
     block_words: int = 64,
-    shard_words: int = 1 << 19,
+    shard_words: int = 1 << 17,
     seed: int = 0,
     carry: Sequence[str] = (),
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tripmart.llm.quality import RULES
+
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
@@ -76,7 +78,7 @@ STATEMENTS["op8_source_mix"] = """
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
     md5('0:' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
-n AS (SELECT sum(size)::BIGINT AS total, greatest(1, ((sum(size) + 524287) // 524288)::BIGINT) AS shards FROM d),
+n AS (SELECT sum(size)::BIGINT AS total, greatest(1, ((sum(size) + 131071) // 131072)::BIGINT) AS shards FROM d),
 e AS MATERIALIZED (SELECT d.*, ('0x' || substr(place, 1, 8))::BIGINT % shards AS shard FROM d, n),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -146,6 +148,51 @@ SELECT page_id, url, host, coalesce(n_active, 0) AS n_active, best.key AS matche
 FROM p LEFT JOIN a USING (r)
 """
 
+# The rules as they stand in the operator; thresholds are the feature, so they are not repeated here.
+def _quality(rounds: int = 50) -> str:
+    names = [f"v{k}" for k in range(len(RULES))]
+    votes = ", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS {v}" for v, r in zip(names, RULES, strict=True))
+    listed = ", ".join(names)
+    start = " + ".join(names)
+    steps = [f"p0 AS MATERIALIZED (SELECT {listed}, n, CASE WHEN {start} > 0 THEN 0.99 WHEN {start} < 0 THEN 0.01 ELSE 0.5 END::DOUBLE AS q FROM c)"]
+    for k in range(rounds):
+        sums = ", ".join(
+            f"(1 + coalesce(sum(n * {w}) FILTER ({v} = {vote}), 0)) / (3 + sum(n * {w})) AS {v}_{side}{vote + 1}"
+            for v in names for side, w in (("g", "q"), ("b", "(1 - q)")) for vote in (-1, 0, 1))
+        steps.append(f"m{k} AS MATERIALIZED (SELECT (1 + sum(n * q)) / (2 + sum(n)) AS good, {sums} FROM p{k})")
+        score = " + ".join(
+            f"CASE {v} WHEN -1 THEN ln({v}_g0 / {v}_b0) WHEN 1 THEN ln({v}_g2 / {v}_b2) ELSE ln({v}_g1 / {v}_b1) END" for v in names)
+        steps.append(
+            f"p{k + 1} AS MATERIALIZED (SELECT {listed}, n, 1 / (1 + exp(-(ln(good / (1 - good)) + {score}))) AS q FROM p{k}, m{k})")
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents),
+u AS (SELECT r, s, array_to_string(w[s : s + 4], ' ') AS t FROM d, unnest(range(1, len(w) - 3)) AS x(s)),
+g AS (SELECT r, t FROM u GROUP BY r, t HAVING count(*) > 1),
+e AS (SELECT r, count(DISTINCT s + j) AS n FROM u JOIN g USING (r, t), unnest(range(0, 5)) AS y(j) GROUP BY r),
+f AS MATERIALIZED (
+  SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_upper,
+    len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, len(list_distinct(w)) AS n_distinct,
+    len(list_filter(l, lambda x: regexp_matches(x, '[.!?:;…。！？]["\\x27»”)\\]]*[\\x20\\x09-\\x0D]*$'))) AS n_ended,
+    coalesce(n, 0) AS n_repeat_words
+  FROM d LEFT JOIN e USING (r)),
+v AS MATERIALIZED (SELECT *, {votes} FROM f),
+c AS MATERIALIZED (SELECT {listed}, count(*) AS n FROM v GROUP BY ALL),
+{", ".join(steps)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND q >= 0.5 AS kept
+FROM v JOIN p{rounds} USING ({listed})
+"""
+
+
+STATEMENTS["op5_quality_rules"] = _quality()
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

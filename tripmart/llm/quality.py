@@ -47,7 +47,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_upper": (F.length(text) - _without(text, _UPPER)).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_ended": F.size(F.filter("_lines", lambda x: x.rlike(rf"[.!?:;…。！？][\"'»”)\]]*[{SPACE}]*$"))).cast("long"),
+        "n_ended": F.size(F.filter("_lines", lambda x: x.rlike(rf"[.!?:;…。！？][\"'»”)\]]*[{SPACE}]*\z"))).cast("long"),
         "_keys": F.transform("_words", lambda w: F.xxhash64(w)),
     }).drop("_words", "_lines")
     key = lambda i: F.get("_keys", i)
