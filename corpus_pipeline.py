@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import join_same, stored
+from tripmart.llm.common import matching, stored
 from tripmart.llm.decontaminate import benchmark_overlap
 from tripmart.llm.lines import delete_runs, repeated_runs
 from tripmart.llm.mixing import mix_sources
@@ -34,22 +34,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, the one with the least id."""
-    gone = (
-        similar_texts(docs).filter(~F.col("first"))
-        .select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
-    )
-    keyed = docs.withColumns({"_id": F.col("doc_id"), "_version": F.xxhash64(F.coalesce("text", F.lit("")))})
-    left = join_same(keyed, gone, ["_id", "_version"], "left_anti")
-    return left.dropDuplicates(["_id", "_version"]).select(*docs.columns)  # equal rows are one document
+    keys = ["_id", "_version"]
+    version = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.withColumns({"_id": F.col("doc_id"), "_version": version})
+    gone = similar_texts(docs).filter(~F.col("first")).select(
+        F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+    left = matching(keyed, gone, keys, "left_anti")
+    # rows equal in id and text are one document
+    again = stored(
+        keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated-rows")
+    if not again.isEmpty():
+        once = matching(left, again, keys, "left_semi").dropDuplicates(keys)
+        left = matching(left, again, keys, "left_anti").unionByName(once)
+    return left.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
     hit = (
         benchmark_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-        .filter("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct()
+        .filter("n_hit > 0").select(F.col("doc_id").alias("_id"))
     )
-    return join_same(docs.withColumn("_id", F.col("doc_id")), hit, ["_id"], "left_anti").select(*docs.columns)
+    return matching(docs.withColumn("_id", F.col("doc_id")), hit, ["_id"], "left_anti").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session without one gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="tripmart-llm-"))
-    return _OWN[0]
+from tripmart.session import shared_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that ``spark.checkpoint.dir`` names."""
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.conf.get("spark.app.id", "app")
-    return f"{shared_folder(spark)}/tripmart-llm/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{shared}/tripmart-llm/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -40,10 +31,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def count_rows(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]
-
-
 def sha256_of_list(values: Column) -> Column:
     """Lower-case hex of the values joined by commas."""
     return F.sha2(F.concat_ws(",", values), 256)
@@ -102,3 +89,16 @@ def has_bits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit keys have their flag set."""
     at = (keys >> np.uint64(64 - BIT_TABLE)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def matching(
+    df: DataFrame, decisions: DataFrame, keys: list[str], how: str, bound: int = 1_000_000
+) -> DataFrame:
+    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) a decision, null equal to null.
+
+    Decisions are counted: up to ``bound`` rows of keys go to every executor and wide rows stay where
+    they are; more are joined by shuffling.
+    """
+    decided = stored(decisions.select(*keys).distinct(), "decisions")
+    small = decided.agg(F.count(F.lit(1))).first()[0] <= bound
+    return join_same(df, F.broadcast(decided) if small else decided, keys, how)
