@@ -1,0 +1,31 @@
+"""Registered queries of the text operators on the small tables, against their SQL where there is some."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+from tripmart.llm import oracle, queries
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the given tables")
+
+
+def test_every_operator_is_registered():
+    names = set(queries.all_queries())
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert names <= set(entry_point.queries()) and set(oracle.statements()) <= names
+
+
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for path in Path(FOLDER).glob("*.parquet"):
+        con.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    df = queries.all_queries()[name](spark, FOLDER)
+    columns = sorted(df.columns)
+    want = con.sql(oracle.statements()[name])
+    assert sorted(want.columns) == columns
+    got = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    assert got == sorted(want.select(*columns).fetchall(), key=repr)

@@ -175,9 +175,8 @@ def main_text(html: str | None) -> str:
     cut = two_clusters(ratio)
     weight: dict[int, int] = {}
     for (text, _, around), r in zip(page.lines, ratio, strict=True):
-        if r >= cut:
-            for number in around:
-                weight[number] = weight.get(number, 0) + len(text)
+        for number in around:
+            weight[number] = weight.get(number, 0) + (len(text) if r >= cut else 0)
     within = None
     named = [n for n in weight if page.kinds[n] == "article"] or [n for n in weight if page.kinds[n] == "main"]
     if named:

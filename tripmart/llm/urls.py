@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import stored
+
 
 def url_host(url: Column) -> Column:
     """Lower-cased host without user and port; empty if there is none."""
@@ -68,9 +70,11 @@ def url_verdicts(
     Without url, host, time or active entry a capture is not blocked and ``matched`` is null.
     Repeated rows and ids give one result row each; other columns are neither read nor returned.
     """
-    rows = captures.select(
-        F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("id"), F.col(url_col).alias("url"),
-        F.col(time_col).alias("at"))
+    rows = stored(  # row numbers must not change between the two uses
+        captures.select(
+            F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("id"), F.col(url_col).alias("url"),
+            F.col(time_col).alias("at")),
+        "captures")
     keyed = rows.filter(F.col("at").isNotNull()).select("row_no", "at", F.explode(url_keys(F.col("url"))).alias("key"))
     period = lambda c: F.date_trunc(bucket, c)
     pairs = keyed.select("key", "at").distinct().withColumn("bucket", period(F.col("at")))
