@@ -12,6 +12,7 @@ import os
 import statistics
 import time
 
+from tripmart.plans import checks
 from tripmart.queries import MARTS, SILVER, all_queries
 from tripmart.session import local_session
 from tripmart.store import Layers
@@ -28,6 +29,20 @@ FROM_LAYERS = [
 ]
 
 
+def suites(layers: Layers) -> dict:
+    """The check suites of silver, gold and serving over the stored layers."""
+    t = layers.table
+    return {
+        "silver": lambda: checks.silver_suite(t("silver_trips"), t("bronze_trips")),
+        "gold": lambda: checks.gold_suite(
+            t("fact_trips"), t("silver_trips"), t("dim_date"), t("dim_zone"), t("dim_weather")
+        ),
+        "serving": lambda: checks.serving_suite(
+            {n: t(n) for n in MARTS}, t("fact_trips"), t("dim_date"), t("dim_zone"), t("dim_weather")
+        ),
+    }
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -44,6 +59,15 @@ def main() -> None:
         once(name)
         return round(statistics.median(once(name) for _ in range(runs)), 3)
 
+    def median_of(df) -> float:
+        def run() -> float:
+            start = time.perf_counter()
+            df().write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
+
+        run()
+        return round(statistics.median(run() for _ in range(runs)), 3)
+
     once("mart_zone_demand")  # a cold JVM would be charged to the first query
     times = {name: median(name) for name in FROM_INPUTS}
     start = time.perf_counter()
@@ -52,6 +76,7 @@ def main() -> None:
         layers.stored_path(name)
     times["build_layers"] = round(time.perf_counter() - start, 3)
     times.update({name: median(name) for name in FROM_LAYERS})
+    times.update({f"suite_{name}": median_of(suite) for name, suite in suites(layers).items()})
     print(
         json.dumps(
             {

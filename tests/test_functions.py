@@ -127,7 +127,7 @@ def test_conform_cleans_cuts_and_orders(spark):
          ("a�b", None, None, None, "x")],
         "name string, n string, d string, t string, extra string",
     )
-    got = C.conform(df, contract)
+    got = C.conform(df, contract, ["absent"])
     assert got.columns == contract.names
     assert [tuple(r) for r in got.collect()] == [
         (5, "abc", dt.date(2023, 1, 2), dt.datetime(2023, 1, 2, 3, 4, 5), None),
@@ -140,3 +140,25 @@ def test_ensure_columns_adds_drops_and_orders(spark):
     df = spark.createDataFrame([(1, "x")], "b int, c string")
     got = C.ensure_columns(df, ["a", "b"])
     assert got.dtypes == [("a", "string"), ("b", "int")] and got.first() == (None, 1)
+
+
+def test_load_times_stay_on_the_wall_clock(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("03/12/2023 02:30:00",), ("20230312",), ("x",)], "t string")
+        got = [r[0] for r in df.select(parsing.load_timestamp(F.col("t")).cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2023-03-12 02:30:00", "2023-03-12 00:00:00", None]
+
+
+def test_conform_reports_what_it_cannot_read(spark):
+    contract = S.Contract.of("n int\nd date\nt varchar(3)")
+    df = spark.createDataFrame([("1", "2023-01-01", "a"), ("x", "01/02/2023", " "), (" ", "y", None)], "n string, d string, t string")
+    with pytest.raises(ValueError, match="t"):
+        C.conform(df.drop("t"), contract)
+    assert C.conform(df.drop("t"), contract, ["t"]).columns == ["n", "d", "t"]
+    bad = C.rejections(df, contract)
+    row = df.agg(*[F.count_if(c).alias(k) for k, c in bad.items()]).first()
+    assert row.asDict() == {"rejected_n": 1, "rejected_d": 1}

@@ -95,7 +95,7 @@ def test_changed_inputs_are_computed_anew(spark, tmp_path):
 
 
 def test_layers_stay_plans_without_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr("tripmart.store.shared_root", lambda spark: None)
+    monkeypatch.setattr("tripmart.store.shared_folder", lambda spark: None)
     layers = Layers(spark, FOLDER)
     assert layers.table("mart_daily_demand").count() > 0
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):

@@ -77,6 +77,20 @@ def test_headers(spark, tmp_path):
     assert loose.first().header_ok
 
 
+def test_headers_are_read_as_csv(spark, tmp_path):
+    write(tmp_path / "comma.csv", '"a,x",b', "1,2", "", '"3,4",5')
+    write(tmp_path / "blank.csv", '"a,x",b', "")
+    write(tmp_path / "long.csv", '"a,x",b,c', "1,2,3")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    rows = readers.header_report(spark, str(tmp_path), ["a,x", "b"], pattern="*.csv").collect()
+    got = {r.source_file.rsplit("/", 1)[1]: (r.header_ok, r.data_rows, r.has_rows) for r in rows}
+    assert got == {"comma.csv": (True, 2, True), "blank.csv": (True, 0, False),
+                   "long.csv": (False, 1, True), "empty.csv": (False, 0, False)}
+    write(tmp_path / "caret.txt", "a^b", "1^2")
+    row = readers.header_report(spark, str(tmp_path / "caret.txt"), ["a", "b"], sep="^").first()
+    assert (row.header_ok, row.data_rows) == (True, 1)
+
+
 def test_header_of_a_file_read_in_many_splits(spark, tmp_path):
     write(tmp_path / "big.csv", "a,b", *["x,y"] * 5000, "a,b")
     write(tmp_path / "bad.csv", "x,y", *["a,b"] * 5000)

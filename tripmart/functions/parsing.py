@@ -52,14 +52,15 @@ def typed(df: DataFrame, name: str, to: str) -> Column:
 
 
 def load_timestamp(text: Column) -> Column:
-    """Load-time reading of timestamps: any of the usual spellings."""
+    """Load-time reading of timestamps: any of the usual spellings, on the wall clock.
+
+    Other spellings are rearranged as text; parsing them as instants would move times that the
+    session's zone skips.
+    """
     text = F.trim(text)
-    return F.coalesce(
-        text.try_cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit("MM/dd/yyyy HH:mm:ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit("MM/dd/yyyy")).cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("timestamp_ntz"),
-    )
+    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})( .*)?$", "$3-$1-$2$4")
+    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return iso.try_cast("timestamp_ntz")
 
 
 def any_timestamp(df: DataFrame, name: str) -> Column:

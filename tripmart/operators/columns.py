@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,14 @@ def retype(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def conform(df: DataFrame, contract: Contract) -> DataFrame:
+def conform(df: DataFrame, contract: Contract, optional: Sequence[str] = ()) -> DataFrame:
     """Names, order, types and text lengths of a load contract.
 
     Text is cleaned as a bulk load would: blank becomes null, undecodable characters are
-    replaced, over-long values are cut to the declared length.
+    replaced, over-long values are cut to the declared length in characters.  An absent column is
+    an error unless ``optional``; unreadable values become null, see ``rejections``.
     """
+    require_columns(df, [f.name for f in contract if f.name not in optional], "load")
     out = []
     for field in contract:
         if field.name not in df.columns:
@@ -71,6 +73,22 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*out)
 
 
+def rejections(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    """Per column of ``df``, the rows whose value ``conform`` cannot read and turns into null."""
+    typed = conform(df, contract, contract.names)
+    plan = {}
+    for field in contract:
+        if field.type != "string" and field.name in df.columns and _is_text(df, field.name):
+            if field.type.startswith("timestamp") or field.type == "date":
+                value = parsing.load_timestamp(F.col(field.name)).try_cast(typed.schema[field.name].dataType)
+            else:
+                value = parsing.typed(df, field.name, field.type)
+            plan[f"rejected_{field.name}"] = (
+                parsing.blank_to_null(F.col(field.name)).isNotNull() & value.isNull()
+            )
+    return plan
+
+
 def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 

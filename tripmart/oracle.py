@@ -536,6 +536,12 @@ def statements() -> dict[str, str]:
     )
     q["sink_truncate_once_append"] = f"SELECT date, {fields} FROM weather_raw"
     q["conform_contract"] = f"SELECT {raw_fields} FROM trips_raw"
+    rejected = {"trip_distance": "count(*) FILTER (WHERE payment_type IS NULL)"}
+    q["conform_rejects"] = union(
+        f"""SELECT 'trips' AS dataset, 'rejected_{f.name}' AS check_name, 'error' AS severity,
+        CAST({rejected.get(f.name, 'count(*) FILTER (WHERE false)')} AS BIGINT) AS violations FROM trips_raw"""
+        for f in S.TRIPS_RAW if f.type != "string"
+    )
     q["load_clean_blanks"] = """SELECT o_orderstatus,
         CASE WHEN o_orderstatus IN ('O', 'P') THEN NULL ELSE o_orderpriority END AS priority,
         count(*) AS row_count FROM orders GROUP BY 1, 2"""

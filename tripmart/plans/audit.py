@@ -1,7 +1,8 @@
 """Audit reports over raw, bronze, silver, gold and serving tables.
 
 Every report takes the tables (and, where dates matter, the scope) as arguments and returns a
-DataFrame.  Quality reports are one row from one pass over their table.
+DataFrame.  Quality reports are one row from one pass over their table.  The names of measures are
+fixed values: they are the reports' output contract.
 """
 
 from __future__ import annotations

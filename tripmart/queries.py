@@ -329,6 +329,15 @@ def conform_contract(x: Layers) -> DataFrame:
     return C.conform(text, S.TRIPS_RAW)
 
 
+@query
+def conform_rejects(x: Layers) -> DataFrame:
+    """Distances of trips without payment type are no numbers here; every column is counted."""
+    text = bindings.as_text(_trips(x).drop("source_file"), S.TRIPS_RAW.names)
+    broken = F.when(F.col("payment_type").isNull(), "n/a").otherwise(F.col("trip_distance"))
+    text = text.withColumn("trip_distance", broken)
+    return K.violations(text, "trips", C.rejections(text, S.TRIPS_RAW))
+
+
 @query
 def load_clean_blanks(x: Layers) -> DataFrame:
     """Open orders come with a blank priority, pending ones with an empty one."""

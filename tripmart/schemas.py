@@ -413,6 +413,7 @@ PARTITIONS = {
     "mart_zone_demand": ["pickup_year", "pickup_month"],
 }
 
+# Fixed values from here on: what the checks require, which amounts they look at, labels, tolerances.
 REQUIRED = {
     "bronze_trips": ["pickup_date", "pickup_year", "pickup_month", "source_file", "bronze_loaded_at"],
     "bronze_weather": ["date", "weather_year", "weather_month", "source_file", "bronze_loaded_at"],

@@ -2,8 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_OWN: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names for tables that all executors share.
+
+    Where it is unset, a local session gets a temporary folder of its own and any other gets none.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        return None
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="tripmart-"))
+    return _OWN[0]
+
 
 def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
     builder = (

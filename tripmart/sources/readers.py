@@ -163,36 +163,59 @@ def header_report(
     sep: str = ",",
     pattern: str | None = None,
 ) -> DataFrame:
-    """Per file: does its first line equal ``expected`` in order, and how many data rows follow.
+    """Per file: does its header equal ``expected`` in order, and how many records follow.
 
-    Lines are read as text and reduced per file on the cluster, so no file is gathered into one
-    task.  ``data_rows`` counts lines; quoted line breaks would count as more than one.
+    Header and records are read as CSV, with quoting, and blank lines are no records.  Files are
+    reduced on the cluster, so none is gathered into one task.  An empty file has neither.
     """
-    reader = spark.read
-    if pattern:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    lines = reader.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("_metadata.file_path").alias("source_file"),
+    paths = paths if isinstance(paths, str) else list(paths)
+
+    def reader(kind: str):
+        found = spark.read.format(kind)
+        if pattern:
+            found = found.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+        return found
+
+    text = reader("text").load(paths)
+    # the listing knows empty files too, which no scan opens
+    listed = spark.createDataFrame([(path,) for path in text.inputFiles()], "path string")
+    same = lambda path: F.regexp_replace(path, "^file:/+", "file:///").alias("source_file")
+    files = listed.select(same("path"))
+    lines = text.select(
+        same("_metadata.file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value"),
     )
-    cells = F.transform(F.split("value", f"[{sep}]"), lambda c: F.regexp_replace(c, '^"|"$', ""))
+    # one column more than expected tells a longer header
+    schema = ", ".join(f"c{i} string" for i in range(len(expected) + 1))
+    cells = F.from_csv("value", schema, {"sep": sep})
+    names = [cells[f"c{i}"] for i in range(len(expected))]
     if sanitized:
-        cells = F.transform(cells, parsing.sanitize_identifier)
-    is_header = cells == F.array(*[F.lit(n) for n in expected])
+        names = [parsing.sanitize_identifier(n) for n in names]
+    is_header = cells[f"c{len(expected)}"].isNull()
+    for name, wanted in zip(names, expected, strict=True):
+        is_header = is_header & name.eqNullSafe(F.lit(wanted))
     # read order and verdict in one number: the smallest belongs to the first line, and a
     # number (unlike a struct) keeps this a hash aggregate
     verdict = F.monotonically_increasing_id() * 2 + F.when(is_header, 0).otherwise(1)
-    per_file = (
+    headers = (
         lines.withColumn("verdict", F.when(F.col("block") == 0, verdict))
         .groupBy("source_file")
-        .agg(F.min("verdict").alias("verdict"), (F.count("*") - 1).alias("data_rows"))
+        .agg(F.min("verdict").alias("verdict"))
+    )
+    records = (
+        reader("csv").schema(schema).option("header", True).option("sep", sep)
+        .option("enforceSchema", True).load(paths)
+        .groupBy(same("_metadata.file_path"))
+        .agg(F.count("*").alias("data_rows"))
     )
-    return per_file.select(
+    report = files.join(headers, "source_file", "left").join(records, "source_file", "left")
+    rows = F.coalesce("data_rows", F.lit(0))
+    return report.select(
         "source_file",
-        (F.col("verdict") % 2 == 0).alias("header_ok"),
-        "data_rows",
-        (F.col("data_rows") > 0).alias("has_rows"),
+        F.coalesce(F.col("verdict") % 2 == 0, F.lit(False)).alias("header_ok"),
+        rows.alias("data_rows"),
+        (rows > 0).alias("has_rows"),
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import month_number
-from tripmart.operators.columns import conform
+from tripmart.operators.aggregates import profile
+from tripmart.operators.columns import conform, rejections
 from tripmart.schemas import Contract
 from tripmart.sources.scope import month_list
 
@@ -89,7 +90,15 @@ class RunLoader:
         self._truncate = truncate
         self._started: set[str] = set()
 
-    def load(self, batch: DataFrame, path: str, contract: Contract) -> None:
+    def load(
+        self, batch: DataFrame, path: str, contract: Contract, max_rejects: int | None = 0
+    ) -> None:
+        """Refuses a batch with more than ``max_rejects`` unreadable values before it writes."""
+        bad = rejections(batch, contract)
+        if bad and max_rejects is not None:
+            counts = profile(batch, bad).first().asDict()
+            if sum(counts.values()) > max_rejects:
+                raise ValueError(f"{path}: {dict(filter(lambda x: x[1], counts.items()))}")
         first = self._truncate and path not in self._started
         conform(batch, contract).write.mode("overwrite" if first else "append").parquet(path)
         self._started.add(path)

@@ -8,7 +8,6 @@ nothing else.  If a cluster names no folder, the layers stay lazy plans.
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tripmart import bindings, schemas as S
 from tripmart.plans import bronze, gold, marts, silver
+from tripmart.session import shared_folder
 from tripmart.sources.readers import read_csv
 from tripmart.sources.scope import Scope
 from tripmart.sources.writers import write_table
@@ -27,23 +27,10 @@ BY_MONTH = {n: S.PARTITIONS[n] for n in ("silver_trips", "fact_trips")}
 _RUN = uuid.uuid4().hex
 _LOCK = threading.RLock()
 _WRITTEN: dict[str, str] = {}
-_LOCAL_ROOT: list[str] = []
-
-
-def shared_root(spark: SparkSession) -> str | None:
-    """The session's shared folder; a temporary one is made only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    if not _LOCAL_ROOT:
-        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tripmart-"))
-    return _LOCAL_ROOT[0]
 
 
 def run_root(spark: SparkSession) -> str | None:
-    root = shared_root(spark)
+    root = shared_folder(spark)
     return root and f"{root}/tripmart/{spark.conf.get('spark.app.id')}-{_RUN}"
 
 
@@ -62,12 +49,22 @@ def fingerprint(spark: SparkSession, folder: str, names: list[str]) -> str:
 
 
 class Layers:
-    """Every layer of ``folder`` by name; ``table`` returns stored data, the methods plans."""
-
-    def __init__(self, spark: SparkSession, folder: str, scope: Scope = bindings.DEFAULT_SCOPE):
+    """Every layer of ``folder`` by name; ``table`` returns stored data, the methods plans.
+
+    Tables are kept under ``storage``, by default a folder of this application below the shared one.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        scope: Scope = bindings.DEFAULT_SCOPE,
+        storage: str | None = None,
+    ):
         self.spark = spark
         self.folder = folder
         self.scope = scope
+        self.storage = storage
         self._root: str | None = None
 
     # -- lazy plans --------------------------------------------------------------------------
@@ -147,7 +144,7 @@ class Layers:
 
     def root(self) -> str | None:
         """Folder of this input state and scope, None where nothing may be stored."""
-        base = run_root(self.spark)
+        base = self.storage or run_root(self.spark)
         if base is None:
             return None
         if self._root is None:
