@@ -39,3 +39,23 @@ def test_rows(spark):
     got = sorted(map(tuple, page_texts(df).collect()), key=repr)
     assert got == [(1, "u", "é", 1), (1, "u", "é", 1), (None, None, "", 0)]
     assert page_texts(df.limit(0)).collect() == []
+
+
+def block(n, word="Words"):
+    return " ".join([f"{word} of the main text that run on for a while."] * n)
+
+
+def test_pages_without_article_keep_all_content():
+    menu = "<div><a href=/a>Home</a><a href=/b>News</a></div>"
+    parts = [block(4, "Intro"), block(3, "Item"), block(3, "Other")]
+    listed = f"<div><p>{parts[0]}</p><ul><li>{parts[1]}</li><li>{parts[2]}</li></ul></div>"
+    table = f"<div><p>{parts[0]}</p><table><tr><td>{parts[1]}<td>{parts[2]}</table></div>"
+    sections = f"<div><section><p>{parts[0]}</p></section><section><p>{parts[1]}</p><p>Short.</p></section><section>{parts[2]}</section></div>"
+    for body, want in (
+        (listed, parts), (table, parts), (sections, [*parts[:2], "Short.", parts[2]]),
+        (f"<h1>Title</h1><div>by <a>someone</a></div>{listed}", ["Title", *parts]),
+    ):
+        got = main_text(f"<body>{menu}{body}{menu}</body>").split("\n")
+        assert [x for x in got if not x.startswith("by ")] == want
+    siblings = "".join(f"<article><p>{x}</p></article>" for x in parts)
+    assert main_text(f"<body>{menu}<main><h1>All</h1>{siblings}</main></body>").split("\n") == ["All", *parts]

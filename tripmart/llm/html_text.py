@@ -3,8 +3,8 @@
 The standard library's parser streams tags and text; a line is the text of one block. Lines within
 navigation, notices, adverts, forms and the like are set aside by the elements around them. The
 ratio of text to tags per line, smoothed by a Gaussian over neighbouring lines and split in two
-clusters, tells which lines carry content; the element that holds most of it is the article, and all
-its remaining lines are kept, short ones included.
+clusters, tells which lines carry content. All articles are kept whole; without any, the lowest
+element around all content lines is, but for lists of links before and after them that stand apart.
 """
 
 from __future__ import annotations
@@ -51,13 +51,26 @@ _NAME = re.compile(r"[A-Za-z]+")
 _CUT_OFF = re.compile(r"<!--(?!.*-->).*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)
 
 
+def names_noise(value: str) -> bool:
+    return bool(NOISE_WORDS.intersection(_NAME.findall(value.lower())))
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, enclosing containers from outside in)."""
+    """Lines of a page: (text, tags, enclosing containers from outside in), and what they consist of.
+
+    Lines within elements of ``named`` (set aside by their class, id or role) are there as well.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.kinds: dict[int, str] = {}
+        self.named: set[int] = set()
+        self.links: list[bool] = []  # mostly text of links
+        self.headings: list[str] = []  # h1 .. h6 or nothing
+        self._link = 0
+        self._link_chars = 0
+        self._level = ""
         self._stack: list[tuple[str, int, bool]] = []  # tag, number, set aside
         self._aside = 0
         self._heading = 0
@@ -69,7 +82,10 @@ class _Lines(HTMLParser):
         self._text.clear()
         if text:
             self.lines.append((text, max(1, self._tags), tuple(n for _, n, _ in self._stack)))
+            self.links.append(2 * self._link_chars > len(text))
+            self.headings.append(self._level)
             self._tags = 0
+        self._link_chars, self._level = 0, ""
 
     def _is_noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER_CONTENT:
@@ -84,23 +100,40 @@ class _Lines(HTMLParser):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
+        return False
+
+    @staticmethod
+    def _is_named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Set aside by role, class or id; ids of headings and paragraphs are often slugs of their text."""
+        if tag in ("html", "body", "article", "main"):
+            return False
+        for name, value in attrs:
             if name == "role" and value and value.lower() in NOISE_ROLES:
                 return True
-            if name in ("class", "id") and value and NOISE_WORDS.intersection(_NAME.findall(value.lower())):
+            if name in ("class", "id") and value and any(map(names_noise, value.split())):
                 return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._flush()
+            # a paragraph or item left open ends with the next
+            if self._stack and self._stack[-1][0] in ("p", "li", "dt", "dd") and self._stack[-1][0] in ("p", tag):
+                self._aside -= self._stack.pop()[2]
         elif tag in ("br", "wbr"):
             self._text.append(" " if tag == "br" else "")
         self._tags += 1
         if tag in HEADINGS:
             self._heading += 1
-        if tag in CONTAINERS or (tag in BLOCKS and tag not in VOID and attrs and self._is_noise(tag, attrs)):
-            noise = self._is_noise(tag, attrs)
+        self._link += tag == "a"
+        noise = tag not in VOID and (tag in BLOCKS or tag in CONTAINERS) and self._is_noise(tag, attrs)
+        named = tag not in VOID and tag in BLOCKS and bool(attrs) and not noise and self._is_named(tag, attrs)
+        if tag == "article" and any(t in ("article", "main") for t, _, _ in self._stack):
+            named = named or any(k in ("class", "id") and v and any(map(names_noise, v.split())) for k, v in attrs)
+        if tag in CONTAINERS or noise or named:
             number = len(self.kinds)
+            if named:
+                self.named.add(number)
             self.kinds[number] = tag
             self._stack.append((tag, number, noise))
             self._aside += noise
@@ -111,8 +144,12 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in HEADINGS:
+            self._level = tag
         if tag in BLOCKS:
             self._flush()
+        if tag == "a":
+            self._link = max(0, self._link - 1)
         self._tags += 1
         if tag in HEADINGS:
             self._heading = max(0, self._heading - 1)
@@ -129,6 +166,8 @@ class _Lines(HTMLParser):
         if not self._heading and any(t == "header" for t, _, _ in self._stack):
             return
         self._text.append(data)
+        if self._link:
+            self._link_chars += len(_BLANK.sub(" ", data).strip())
 
     def finish(self) -> None:
         # a tag or comment that the page's end cuts off is markup, not text
@@ -164,31 +203,62 @@ def two_clusters(values: list[float]) -> float:
     return cut
 
 
+def dense_lines(page: _Lines, at: list[int]) -> list[bool]:
+    """Which of the lines ``at`` are in the upper cluster of smoothed text per tag, or would be alone."""
+    own = [len(page.lines[k][0]) / page.lines[k][1] for k in at]
+    ratio = smoothed(own)
+    cut = two_clusters(ratio)
+    return [max(pair) >= cut for pair in zip(own, ratio, strict=True)]
+
+
+def not_aside(page: _Lines) -> list[int]:
+    """Lines in no element set aside by name."""
+    every = list(range(len(page.lines)))
+    aside = page.named
+    return [k for k in every if aside.isdisjoint(page.lines[k][2])]
+
+
+def with_title(page: _Lines, at: list[int], kept: list[int]) -> list[int]:
+    """``kept`` with the last h1 before it, should it have none."""
+    if any(page.headings[k] == "h1" for k in kept):
+        return kept
+    return [k for k in at if k < kept[0] and page.headings[k] == "h1"][-1:] + kept
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article, one per line; empty if there is no text."""
     page = _Lines()
     page.feed(html or "")
     page.finish()
-    if not page.lines:
+    at = not_aside(page) if page.lines else []
+    if not at:
         return ""
-    ratio = smoothed([len(text) / tags for text, tags, _ in page.lines])
-    cut = two_clusters(ratio)
-    weight: dict[int, int] = {}
-    for (text, _, around), r in zip(page.lines, ratio, strict=True):
-        for number in around:
-            weight[number] = weight.get(number, 0) + (len(text) if r >= cut else 0)
-    within = None
-    named = [n for n in weight if page.kinds[n] == "article"] or [n for n in weight if page.kinds[n] == "main"]
-    if named:
-        within = max(named, key=lambda n: (weight[n], -n))
-    else:
-        # step into the element that holds most of what is left
-        total = sum(len(text) for (text, _, _), r in zip(page.lines, ratio, strict=True) if r >= cut)
-        deep = [n for n in weight if 2 * weight[n] > total]
-        if deep:
-            within = max(deep)
-    kept = [text for text, _, around in page.lines if within is None or within in around]
-    return "\n".join(kept)
+    dense = [k for k, d in zip(at, dense_lines(page, at), strict=True) if d]
+    size = lambda lines: sum(len(page.lines[k][0]) for k in lines)
+    for kind in ("article", "main"):
+        kept = [k for k in at if any(page.kinds[n] == kind for n in page.lines[k][2])]
+        if kept and 2 * size(kept) >= size(dense):
+            return "\n".join(page.lines[k][0] for k in with_title(page, at, kept))
+    dense = [k for k in dense if not page.links[k]] or dense
+    first, last = dense[0], dense[-1]
+    around = list(page.lines[first][2])
+    for k in dense:
+        around = [n for n in around if n in page.lines[k][2]]
+    whole = set(around)
+    held = {n for k in dense for n in page.lines[k][2] if n not in whole}  # elements with content, not all of it
+    if around and page.kinds[around[-1]] not in ("html", "body") and any(page.lines[k][2][-1] == around[-1] for k in dense):
+        held.add(around[-1])
+    keep = {k for k in at if first <= k <= last or not held.isdisjoint(page.lines[k][2])}
+    # short lines next to the content, up to a link; links below a heading are the text's own
+    for way in ([k for k in reversed(at) if k < first], [k for k in at if k > last]):
+        below = False
+        for k in way:
+            if k not in keep:
+                if page.links[k] and not below:
+                    break
+                keep.add(k)
+            below = k > last and (bool(page.headings[k]) or (below and page.links[k]))
+    return "\n".join(page.lines[k][0] for k in with_title(page, at, [k for k in at if k in keep]))
 
 
 _OUT = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
