@@ -59,3 +59,13 @@ def test_pages_without_article_keep_all_content():
         assert [x for x in got if not x.startswith("by ")] == want
     siblings = "".join(f"<article><p>{x}</p></article>" for x in parts)
     assert main_text(f"<body>{menu}<main><h1>All</h1>{siblings}</main></body>").split("\n") == ["All", *parts]
+
+
+def test_names_that_are_not_boilerplate():
+    text = block(4)
+    for attrs in ("class='content with-sidebar'", "class='no-comments'", "id=content-sidebar", "class='sidebar'"):
+        assert main_text(f"<body><div><a>x</a></div><div {attrs}><p>{text}</p><p>Tiny.</p></div>").split("\n") == [text, "Tiny."]
+    page = (f"<article><div class='post-header'><h1>T</h1></div><h2 id='related-work'>Related</h2><p>{text}</p><h2 id=header-format>F</h2>"
+            f"<section id='search-methods'><h3 class=header id=search>S</h3><p id=notice-1>{text}</p></section>"
+            "<p class=share>Share it<p>Last.<div class='share-buttons'>Tell</div><div id=commentList>c</div><p class=ad>Buy</p></article>")
+    assert main_text(page).split("\n") == ["T", "Related", text, "F", "S", text, "Last."]

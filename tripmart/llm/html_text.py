@@ -44,15 +44,28 @@ NOISE_WORDS = frozenset(
     " disqus respond share sharing social related recommended widget toolbar pagination pager login signup"
     " search".split()
 )
+# Parts that leave the meaning of a noise word as it is, and noise words that are the title's or the
+# text's own next to the last ones.
+MODIFIERS = frozenset(
+    "site global main top bottom left right primary secondary wrapper wrap container box bar list links link"
+    " item items button buttons icons block area inner outer form".split()
+)
+OF_CONTENT = frozenset("post posts entry article articles page section content".split())
+OWN_PARTS = frozenset("header footer masthead banner notice notices search menu".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 
 _BLANK = re.compile(r"\s+")
-_NAME = re.compile(r"[A-Za-z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CUT_OFF = re.compile(r"<!--(?!.*-->).*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)
 
 
-def names_noise(value: str) -> bool:
-    return bool(NOISE_WORDS.intersection(_NAME.findall(value.lower())))
+def names_noise(token: str) -> bool:
+    """Whether a whole class or id names boilerplate: ``cookie-notice``, not ``no-comments`` or ``post-header``."""
+    parts = {x.lower() for x in _PART.findall(token)}
+    found = parts & NOISE_WORDS
+    if parts & OF_CONTENT:
+        found -= OWN_PARTS
+    return bool(found) and parts <= NOISE_WORDS | MODIFIERS | OF_CONTENT
 
 
 class _Lines(HTMLParser):
@@ -110,6 +123,8 @@ class _Lines(HTMLParser):
         for name, value in attrs:
             if name == "role" and value and value.lower() in NOISE_ROLES:
                 return True
+            if tag in HEADINGS or (name == "id" and tag not in CONTAINERS):
+                continue
             if name in ("class", "id") and value and any(map(names_noise, value.split())):
                 return True
         return False
@@ -212,9 +227,16 @@ def dense_lines(page: _Lines, at: list[int]) -> list[bool]:
 
 
 def not_aside(page: _Lines) -> list[int]:
-    """Lines in no element set aside by name."""
+    """Lines in no element set aside by name; one that holds most of the page's text is not set aside."""
     every = list(range(len(page.lines)))
-    aside = page.named
+    dense = dense_lines(page, every)
+    size = [len(text) for text, _, _ in page.lines]
+    total, most = sum(size), sum(n for n, d in zip(size, dense, strict=True) if d)
+    aside = set()
+    for number in page.named:
+        inside = [k for k in every if number in page.lines[k][2]]
+        if 2 * sum(size[k] for k in inside) <= total or 2 * sum(size[k] for k in inside if dense[k]) <= most:
+            aside.add(number)
     return [k for k in every if aside.isdisjoint(page.lines[k][2])]
 
 
