@@ -67,3 +67,16 @@ def test_empty_table(spark):
 def test_carried_columns(spark):
     df = spark.createDataFrame([(1, "a b", "s", "en")], "doc_id long, text string, source string, target string")
     assert [(r.text, r.taken) for r in mix_sources(df, carry=["text"], block_words=1).collect()] == [("a b", 3)]
+
+
+def test_sources_meet_their_targets_however_many_shards(spark):
+    rng = random.Random(4)
+    rows = [(k, " ".join(["w"] * rng.randint(5, 15)), "rare") for k in range(300)]
+    rows += [(1000 + k, " ".join(["w"] * 500), "big") for k in range(200)] + [(k, " ".join(["w"] * rng.randint(1, 150)), "some") for k in range(2000, 2200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for shard_words in (1 << 17, 1000, 100, 10):
+        got = mix_sources(df, weights=(1, 3, 1), shard_words=shard_words).collect()
+        assert len(got) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in got)
+        for source in ("rare", "big", "some"):
+            of = [r for r in got if r.source == source]
+            assert abs(sum(r.taken for r in of) - of[0].target) <= 3 * 64, (shard_words, source)

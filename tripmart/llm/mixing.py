@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal blocks of words.
 
 Blocks are given to sources by the highest quotients target / (2 a + 1), a being the blocks a source
-already has, and a source's blocks to its shards in the same way by their sizes. Within a shard of a
+already has, and a source's blocks to its shards in the same way by their sizes. What a shard cannot
+take of its blocks goes to other shards of its source. Within a shard of a
 source the documents stand in a seeded order, cut into blocks of words that run on from the last
 document to the first; the quota says how many blocks are taken. Built-in functions only.
 """
@@ -99,9 +100,9 @@ def mix_sources(
     """How many words of each document the mix takes, repeats counted.
 
     Returns per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target`` (of
-    the source), ``taken`` (0 to ``most`` times ``size``) and the columns ``carry``. A shard is a
-    part of a source, as many as there are ``shard_words`` in all sources, so a source of any share
-    is worked on by many tasks. Null and empty texts have size 0 and take 0; null is a source of its
+    the source), ``taken`` (0 to ``most`` times ``size``) and the columns ``carry``. A source has as
+    many shards as it has ``shard_words``, so a large one is worked on by many tasks and a small one
+    is not cut into shards below a block. Null and empty texts have size 0 and take 0; null is a source of its
     own. Rows with the same id lie in the same shard; equal rows may swap their amounts. The result
     depends on rows and seed only, not on their order or partitions. Other columns are not read.
     """
@@ -113,11 +114,19 @@ def mix_sources(
     )
     sized = rows if carry else stored(rows.drop("carried"), "doc-sizes")
     narrow = stored(rows.select("source", "size", "place"), "doc-sizes") if carry else sized
-    total = narrow.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-    shard = (F.conv(F.substring("place", 1, 8), 16, 10).cast("long") % shards).alias("shard")
+    sharded = stored(
+        narrow.groupBy("source").agg(F.sum("size").alias("_size"))
+        .select("source", "_size", F.greatest(F.lit(1), F.ceil(F.col("_size") / shard_words)).cast("long").alias("_shards")),
+        "source-shards",
+    )
+    row = sharded.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    total = row[0] or 0
+    shards = sharded.drop("_size")
+    if row[1] <= 1_000_000:
+        shards = F.broadcast(shards)
+    shard = (F.conv(F.substring("place", 1, 8), 16, 10).cast("long") % F.col("_shards")).alias("shard")
     cells = stored(
-        narrow.groupBy("source", shard).agg(F.sum("size").alias("cell_size")), "mix-cells"
+        join_same(narrow, shards, ["source"]).groupBy("source", shard).agg(F.sum("size").alias("cell_size")), "mix-cells"
     )
     sources = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
     targets = stored(source_targets(sources, weights, share, most), "source-targets")
@@ -127,10 +136,16 @@ def mix_sources(
     ).withColumnRenamed("quota", "seats")
     dealt = join_same(cells, by_source, ["source"])
     quotas = sainte_lague(dealt, ["source"], ["source", "shard"], "cell_size", "seats")
-    amount = F.least(F.coalesce("quota", F.lit(0)) * block_words, F.col("cell_size") * most)
-    plan = join_same(cells, quotas, ["source", "shard"], "left").withColumn("amount", amount)
+    given, limit = F.coalesce("quota", F.lit(0)) * block_words, F.col("cell_size") * most
+    # what is above a cell's limit fills the room of its source's other cells in turn
+    source = Window.partitionBy("source")
+    before = source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.greatest(F.lit(0), limit - given)
+    over = F.sum(F.greatest(F.lit(0), given - limit)).over(source)
+    more = F.least(room, F.greatest(F.lit(0), over - F.coalesce(F.sum(room).over(before), F.lit(0))))
+    plan = join_same(cells, quotas, ["source", "shard"], "left").withColumn("amount", F.least(given, limit) + more)
     plan = join_same(plan, targets, ["source"])
-    full = sized.select("*", shard)
+    full = join_same(sized, shards, ["source"]).select("*", shard).drop("_shards")
     # position of a document's first word in its cell
     order = Window.partitionBy("source", "shard").orderBy("place", "id", "size")
     start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
