@@ -51,11 +51,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
+    # ids may be null or repeated, so a document is known by its text as well
     hit = (
-        benchmark_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-        .filter("n_hit > 0").select(F.col("doc_id").alias("_id"))
+        benchmark_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), versions=True)
+        .filter("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
     )
-    return matching(docs.withColumn("_id", F.col("doc_id")), hit, ["_id"], "left_anti").select(*docs.columns)
+    keyed = docs.withColumns({"_id": F.col("doc_id"), "_version": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return matching(keyed, hit, ["_id", "_version"], "left_anti").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,12 @@ def test_stages_and_their_effects(spark, tmp_path, corpus):
 def test_pipeline_stands_at_the_top():
     assert (Path(corpus_pipeline.__file__).parent / "__spark_entry__.py").exists()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "jaccard_join", "decontamination", "source_mix"]
+
+
+def test_clean_documents_with_the_id_of_a_contaminated_one_stay(spark, tmp_path):
+    item = "a b c d e f g h i j k l"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, f"x {item}"), (1, "clean"), (None, f"{item} y"), (None, "clean too"), (None, None), (2, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted((r for r in rows if item not in (r[1] or "")), key=repr)

@@ -83,7 +83,7 @@ def _scan(lengths: list[tuple[int, int]], window: int, known):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(arrow_rows(batches), 2):
-            words = Words([t for *_, t in part])
+            words = Words([r[2] for r in part])
             hits: list[list[dict]] = [[] for _ in part]
             for k, w in lengths:
                 at, keys = winnow(words, k, w)
@@ -95,9 +95,13 @@ def _scan(lengths: list[tuple[int, int]], window: int, known):
                     right = min(int(words.ends[a]), a + k + w - 1)
                     hits[text].append({"k": k, "key": key, "at": a - first, "before": a - left,
                                        "words": words.join(left, right)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()),
-                 pa.array(words.counts, pa.int64()), pa.array(hits, _HITS)], schema=_SCANNED)
+            columns = [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()),
+                       pa.array(words.counts, pa.int64()), pa.array(hits, _HITS)]
+            schema = _SCANNED
+            if len(part[0]) > 3:
+                columns.append(pa.array([r[3] for r in part], pa.int64()))
+                schema = schema.append(pa.field("version", pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -112,6 +116,7 @@ def benchmark_overlap(
     item_text_col: str = "text",
     window: int = 10,
     k: int = 5,
+    versions: bool = False,
 ) -> DataFrame:
     """Words of each document that lie in an occurrence of a window of a test item.
 
@@ -119,6 +124,7 @@ def benchmark_overlap(
     each occurring window), ``items`` (sorted ids, as strings, of the items with such windows).
     A window is ``window`` consecutive words; an item of fewer words, but not none, is one window.
     Null and empty texts have no words and no hits; an item without id counts under the id ''.
+    With ``versions`` there is ``version`` as well, a hash of the text, as ids alone may name several texts.
     Repeated rows and ids give one result row each; other columns are neither read nor returned.
     """
     if not 1 <= k <= window:
@@ -133,11 +139,12 @@ def benchmark_overlap(
     prints = test.select("k", F.explode("keys").alias("key")).distinct()
     known = spark.sparkContext.broadcast(bit_table(prints))
     lengths = [(k, window - k + 1), *((n, 1) for n in sorted(short))]
-    scanned = stored(
-        docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(_scan(lengths, window, known), _SCANNED_DDL),
-        "doc-fingerprints",
-    )
+    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    fields, version = _SCANNED_DDL, []
+    if versions:
+        rows = rows.withColumn("version", F.xxhash64(F.coalesce("text", F.lit(""))))
+        fields, version = _SCANNED_DDL + ", version long", ["version"]
+    scanned = stored(rows.mapInArrow(_scan(lengths, window, known), fields), "doc-fingerprints")
     hits = scanned.select("row_no", F.explode("hits").alias("hit")).select("row_no", "hit.*")
     # a fingerprint of k words lies in the windows that begin up to window - k words before it
     reach = F.when(F.col("n") == window, F.lit(window - k)).otherwise(0)
@@ -173,10 +180,10 @@ def benchmark_overlap(
     )
     no_spans = F.array().cast("array<struct<begin:bigint,length:bigint>>")
     return (
-        scanned.select("row_no", "id", "n_words").join(found, "row_no", "left")
+        scanned.select("row_no", "id", "n_words", *version).join(found, "row_no", "left")
         .select(F.col("id").alias(id_col), "n_words", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"),
                 F.coalesce("spans", no_spans).alias("spans"),
-                F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+                F.coalesce("items", F.array().cast("array<string>")).alias("items"), *version)
     )
 
 
