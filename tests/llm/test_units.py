@@ -40,3 +40,26 @@ def test_copies_nulls_repeats_and_empty_table(spark):
     assert all(b == 0 for _, b, _, _ in got)
     assert remove_passages(df, repeated_passages(df)).count() == len(rows)
     assert repeated_passages(df.limit(0)).collect() == []
+
+
+def test_short_passages_go_whole_and_split_runs_are_not_lost(spark):
+    rng = random.Random(12)
+    passages = [prose(rng, 51) for _ in range(60)]
+    docs = [(k, f"{prose(rng, 40)} {passages[k % 60]} {prose(rng, 40)}") for k in range(120)]
+    # a line between that stands earlier elsewhere
+    frequent, one, two = "One frequent line here.", prose(rng, 16), prose(rng, 16)
+    docs += [(1000 + k, f"{prose(rng, 30)}\n{frequent}\n{prose(rng, 30)}") for k in range(3)]
+    docs += [(2000 + k, f"{prose(rng, 30)}\n{one}\n{frequent}\n{two}\n{prose(rng, 30)}") for k in range(2)]
+    # words of a short period, at another phase
+    docs += [(3000, f"{prose(rng, 30)} {'ping pong pang ' * 40} {prose(rng, 30)}"), (3001, f"{prose(rng, 30)} {'pong pang ping ' * 30} {prose(rng, 30)}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    passages_found = repeated_passages(df)
+    left = {r.doc_id: r.text for r in remove_passages(df, passages_found).collect()}
+    text = dict(docs)
+    for k in range(60):
+        assert left[k] == text[k]
+        assert left[60 + k].split() == text[60 + k].replace(passages[k], "").split()
+    assert left[2000] == text[2000]
+    assert one not in left[2001] and two not in left[2001] and frequent not in left[2001]
+    assert left[3000].count("pong") < 30 and left[3001].count("pong") == 0
+    assert len(left[3001].split()) == 60

@@ -3,7 +3,9 @@
 A line is a unit; within longer lines units end at content-defined words as well, so that a passage
 gives the same units wherever in a line it stands. Units are normalised to their words, digests are
 grouped globally, the earliest occurrence by (id, text, place) is kept and the others are removed.
-Offsets are those of the original text.
+Units at the ends of a passage may hold words from around it, so what adjoins removed units goes word
+by word as far as it equals what adjoins their first copy; the texts of candidates are read again for
+this. Offsets are those of the original text.
 """
 
 from __future__ import annotations
@@ -12,22 +14,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import join_same, stored
+from tripmart.llm.common import bit_table, has_bits, join_same, stored
 from tripmart.llm.hashing import span_keys
 from tripmart.llm.words import Words, arrow_rows, chunks
 
 _UNITS = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int64()), ("digest", pa.int64()),
-                    ("begin", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64())])
+                    ("begin", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
+                    ("before", pa.int32()), ("after", pa.int32())])
+_UNITS_DDL = "id long, version long, unit long, digest long, begin long, end long, n_words long, before int, after int"
+_LONGEST = 64  # words of a unit
+_SPACING = 16  # least words between boundaries at equal keys
+_NEAR = 4  # words to both sides of a unit that tell whether it is worth extending
+_EDGES = pa.list_(pa.struct([("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())]))
 
 
 def unit_starts(words: Words, reach: int) -> np.ndarray:
     """First words of units: of texts, of lines, and where a word pair's key is a local minimum.
 
     The minimum is over ``reach`` words to both sides, so inside a passage units depend on the passage
-    alone but for about ``reach`` words at its ends.
+    alone but for about ``reach`` words at its ends. Words of a short period have minima all alike:
+    long units end at those, ``_SPACING`` words apart, and at ``_LONGEST`` words without any.
     """
     n = len(words)
     starts = np.zeros(n, bool)
@@ -35,18 +44,43 @@ def unit_starts(words: Words, reach: int) -> np.ndarray:
     line = np.cumsum(words.data == 0x0A)
     at = line[words.begin]
     starts[1:] |= at[1:] != at[:-1]
+    level = np.zeros(n, bool)
     if n > 2 * reach:
         key = span_keys(words.keys, np.arange(n - 1), np.arange(n - 1) + 2)
         text = words.text_of
         low = text[1:] == text[:-1]
+        ties = low.copy()
         for d in range(1, reach + 1):
             other = text[d + 1 :] != text[: -d - 1]  # not within one text: no say
             low[d:] &= other | (key[d:] < key[:-d])
             low[:-d] &= other | (key[:-d] <= key[d:])
+            ties[d:] &= other | (key[d:] <= key[:-d])
+            ties[:-d] &= other | (key[:-d] <= key[d:])
         starts[:-1] |= low
+        level[:-1] = ties
+    first = np.flatnonzero(starts)
+    size = np.diff(np.append(first, n))
+    level = np.flatnonzero(level)
+    for a, length in zip(first[size > _SPACING].tolist(), size[size > _SPACING].tolist(), strict=True):
+        at, to = a, a + length
+        while to - at > _SPACING:
+            k = np.searchsorted(level, at + _SPACING)
+            cut = int(level[k]) if k < len(level) else n
+            cut = min(cut, at + _LONGEST)
+            if cut >= to:
+                break
+            starts[cut] = True
+            at = cut
     return np.flatnonzero(starts)
 
 
+def _near(words: Words, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """32 bits of the words from ``at`` to ``to``, 0 for fewer than ``_NEAR`` of them."""
+    whole = to - at == _NEAR
+    bits = (span_keys(words.keys, at, to) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return np.where(whole, bits, 0).astype(np.int32)
+
+
 def _cut(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(arrow_rows(batches), 2):
@@ -67,11 +101,69 @@ def _cut(reach: int):
                  pa.array(span_keys(words.keys, first, end).view(np.int64)),
                  pa.array(points[words.begin[first]] - base, pa.int64()),
                  pa.array(points[words.end[end - 1]] - base, pa.int64()),
-                 pa.array(end - first, pa.int64())], schema=_UNITS)
+                 pa.array(end - first, pa.int64()),
+                 pa.array(_near(words, np.maximum(first - _NEAR, words.first[text]), first)),
+                 pa.array(_near(words, end, np.minimum(end + _NEAR, words.ends[first])))], schema=_UNITS)
+
+    return run
+
+
+def _edges(reach: int):
+    """Words before and after units: per asked (unit, side) keys and offsets, outwards from the unit."""
+    schema = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int64()), ("side", pa.int32()), ("words", _EDGES)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(arrow_rows(batches), 2):
+            words = Words([r[2] for r in part])
+            if not len(words):
+                continue
+            first = unit_starts(words, reach)
+            end = np.append(first[1:], len(words))
+            of = np.searchsorted(words.text_of[first], np.arange(len(part)))
+            points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
+            base = points[words.text_at[:-1]]
+            keys, out = words.keys.view(np.int64), []
+            for k, (doc, version, _, asked) in enumerate(part):
+                for ask in asked:
+                    unit, side = ask["unit"], ask["side"]
+                    u = of[k] + unit
+                    if side == 0:
+                        at = np.arange(first[u] - 1, max(words.first[k], first[u] - 2 * _LONGEST) - 1, -1)
+                    else:
+                        at = np.arange(end[u], min(words.first[k] + words.counts[k], end[u] + 2 * _LONGEST))
+                    listed = zip(keys[at].tolist(), (points[words.begin[at]] - base[k]).tolist(), (points[words.end[at]] - base[k]).tolist(), strict=True)
+                    out.append((doc, version, unit, side, [{"key": a, "begin": b, "end": c} for a, b, c in listed]))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     return run
 
 
+def _flagged(known):
+    """Rows whose key has its flag set, without the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            kept = batch.filter(pa.array(has_bits(known.value, keys)))
+            yield kept.select([0, 1, 2])
+
+    return run
+
+
+def _equal_words(own: str, other: str) -> Column:
+    """Words of ``own`` as far as their keys equal those of ``other``."""
+    own, other = F.coalesce(own, F.array().cast(_EDGE_LIST)), F.coalesce(other, F.array().cast(_EDGE_LIST))
+    most = F.least(F.size(own), F.size(other))
+    differs = F.filter(
+        F.transform(F.slice(own, 1, most), lambda x, i: F.when(x["key"] != F.get(other, i)["key"], i)), lambda x: x.isNotNull())
+    return F.slice(own, 1, F.coalesce(F.get(differs, 0), most))
+
+
+_EDGE_LIST = "array<struct<key:bigint,begin:bigint,end:bigint>>"
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -82,40 +174,109 @@ def repeated_passages(
 ) -> DataFrame:
     """(id, version, begin, end, n_words, n_units, first_id, first_begin): passages to remove.
 
-    A passage is a run of units that occur earlier one after the other; shorter ones than
-    ``min_words`` words stay. Earlier is by (id, version, place), nulls first; ``version`` is a hash of
-    the text, so rows equal in id and text are one document. ``begin`` and ``end`` (exclusive) count
-    code points of the original text; ``first_id`` and ``first_begin`` tell where the kept copy is.
-    Null and empty texts have no units. Other columns are neither read nor returned.
+    A passage is a run of units that all occur earlier, somewhere, with the words next to it that
+    equal those next to the first copy; shorter ones than ``min_words`` words stay. It is given in
+    parts, one for each place of kept copies, that adjoin. Earlier is by (id, version, place), nulls
+    first; ``version`` is a hash of the text, so rows equal in id and text are one document. ``begin``
+    and ``end`` (exclusive) count code points of the original text; ``first_id`` and ``first_begin``
+    tell where the kept copy of the part's first unit is. Null and empty texts have no units. Other
+    columns are neither read nor returned.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    units = stored(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
-        .mapInArrow(_cut(reach), "id long, version long, unit long, digest long, begin long, end long, n_words long"),
-        "text-units",
-    )
-    place = F.struct("id", "version", "unit", "begin")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
+    units = stored(rows.mapInArrow(_cut(reach), _UNITS_DDL), "text-units")
+    same = F.struct("id", "version", "unit")
+    place = F.struct("id", "version", "unit", "begin", "before", "after")
     firsts = (
-        units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter(F.col("first") != F.col("last")).drop("last")
+        units.groupBy("digest").agg(F.min(place).alias("first"), F.max(same).alias("last"))
+        .filter((F.col("first.unit") != F.col("last.unit")) | (F.col("first.version") != F.col("last.version"))
+                | ~F.col("first.id").eqNullSafe(F.col("last.id"))).drop("last")
     )
     later = (
         units.join(firsts, "digest").filter(place != F.col("first"))
-        .select("id", "version", "unit", "begin", "end", "n_words", "first").distinct()
+        .select("id", "version", "unit", "begin", "end", "n_words", "before", "after", "first").distinct()
     )
     document = Window.partitionBy("id", "version").orderBy("unit")
-    before = F.lag(F.struct("unit", "first")).over(document)
-    goes_on = (
-        (F.col("unit") == before["unit"] + 1) & (F.col("first.unit") == before["first"]["unit"] + 1)
-        & F.col("first.id").eqNullSafe(before["first"]["id"]) & (F.col("first.version") == before["first"]["version"])
+    back = F.lag(F.struct("unit", "first")).over(document)
+    follows = F.coalesce(F.col("unit") == back["unit"] + 1, F.lit(False))
+    goes_on = follows & (F.col("first.unit") == back["first"]["unit"] + 1) & (
+        F.col("first.id").eqNullSafe(back["first"]["id"])) & (F.col("first.version") == back["first"]["version"])
+    parts = (
+        later.withColumns({"opens": (~follows).cast("int"), "turns": (~goes_on).cast("int")})
+        .withColumns({"run": F.sum("opens").over(document), "part": F.sum("turns").over(document)})
+        .groupBy("id", "version", "run", "part")
+        .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
+             F.count(F.lit(1)).alias("n_units"), F.min("unit").alias("from"), F.max("unit").alias("to"),
+             F.min_by("first", "unit").alias("first"), F.max_by("first", "unit").alias("final"),
+             F.min_by("before", "unit").alias("before"), F.max_by("after", "unit").alias("after"))
     )
+    run = Window.partitionBy("id", "version", "run")
+    ordered = run.orderBy("part")
+    parts = parts.withColumns({
+        "all_words": F.sum("n_words").over(run), "is_head": F.row_number().over(ordered) == 1,
+        "next_begin": F.lead("begin").over(ordered)})
+    # too few words and too few equal ones next to them on both sides: not worth the look
+    left = F.col("is_head") & (F.col("before") != 0) & (F.col("before") == F.col("first.before"))
+    right = F.col("next_begin").isNull() & (F.col("after") != 0) & (F.col("after") == F.col("final.after"))
+    worth = F.max((F.col("all_words") + 2 * (_NEAR - 1) >= min_words) | left | right).over(run)
+    parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth", "before", "after"), "passage-parts")
+    asks = [parts.select(F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"), F.lit(side).alias("side"))
+            for of, unit, side in (("", "from", 0), ("first.", "first.unit", 0), ("", "to", 1), ("final.", "final.unit", 1))]
+    asked = stored(
+        asks[0].union(asks[1]).union(asks[2]).union(asks[3]).distinct().groupBy("id", "version")
+        .agg(F.collect_list(F.struct("unit", "side")).alias("asked")), "asked-edges")
+    known = docs.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
+    few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
+    edges = stored(
+        join_same(few, asked, ["id", "version"])
+        .select("id", "version", "text", "asked").mapInArrow(
+            _edges(reach), f"id long, version long, unit long, side int, words {_EDGE_LIST}").distinct(),
+        "passage-edges")
+
+    for side, own, other in ((0, "from", "first"), (1, "to", "final")):
+        here = edges.filter(F.col("side") == side)
+        of = F.col(other)
+        parts = parts.withColumns({"_unit": F.col(own), "_id": of["id"], "_version": of["version"], "_first": of["unit"]})
+        parts = join_same(parts, here.select("id", "version", F.col("unit").alias("_unit"), F.col("words").alias("_own")),
+                          ["id", "version", "_unit"], "left")
+        parts = join_same(parts, here.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("unit").alias("_first"),
+                                             F.col("words").alias("_other")), ["_id", "_version", "_first"], "left")
+        parts = parts.withColumn(f"side{side}", _equal_words("_own", "_other"))
+        parts = parts.drop("_unit", "_id", "_version", "_first", "_own", "_other")
+    # a part within the words that a part next to it and earlier kept goes on with belongs to that one
+    prior = F.lag(F.struct("first", F.array_max(F.transform("side1", lambda w: w["end"])).alias("reach"))).over(ordered)
+    after = F.lead(F.struct("first", F.array_min(F.transform("side0", lambda w: w["begin"])).alias("reach"))).over(ordered)
+    opened, closed = F.min("begin").over(run), F.max("end").over(run)
+    parts = parts.withColumns({
+        "to_prior": F.coalesce((prior["first"] < F.col("first")) & (prior["reach"] >= F.col("end")), F.lit(False)),
+        "to_next": F.coalesce((after["first"] < F.col("first")) & (after["reach"] <= F.col("begin")), F.lit(False)),
+        "side0": F.filter("side0", lambda w: w["begin"] < opened), "side1": F.filter("side1", lambda w: w["end"] > closed)})
+    stays = (~F.col("to_prior") & ~F.col("to_next")).cast("int")
+    group = F.sum(stays).over(ordered) + F.when(F.col("to_next"), 1).otherwise(0)
+    parts = parts.withColumn("group", F.greatest(F.lit(1), F.least(group, F.sum(stays).over(run)))).withColumns({
+        "side0": F.max_by("side0", F.size("side0")).over(run), "side1": F.max_by("side1", F.size("side1")).over(run)})
+    parts = parts.groupBy("id", "version", "run", "group").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
+        F.sum("n_units").alias("n_units"), F.min_by("first", F.struct(F.col("to_prior") | F.col("to_next"), "part")).alias("first"),
+        F.first("side0").alias("side0"), F.first("side1").alias("side1"))
+    # at its ends a passage goes on, but not into those before and after it
+    ordered = run.orderBy("group")
+    along = Window.partitionBy("id", "version").orderBy("run", "group")
+    none = F.slice("side0", 1, 0)
+    parts = parts.withColumns({"next_begin": F.lead("begin").over(ordered), "begin_after": F.lead("begin").over(along),
+                               "is_head": F.row_number().over(ordered) == 1})
+    parts = parts.withColumn("side1", F.when(F.col("next_begin").isNull(), F.filter(
+        "side1", lambda w: F.col("begin_after").isNull() | (w["end"] <= F.col("begin_after")))).otherwise(none))
+    parts = parts.withColumn("reached", F.coalesce(F.array_max(F.transform("side1", lambda w: w["end"])), F.col("end")))
+    parts = parts.withColumn("taken_before", F.lag("reached").over(along))
+    parts = parts.withColumn("side0", F.when(F.col("is_head"), F.filter(
+        "side0", lambda w: F.col("taken_before").isNull() | (w["begin"] >= F.col("taken_before")))).otherwise(none))
+    parts = parts.withColumns({
+        "begin": F.coalesce(F.array_min(F.transform("side0", lambda w: w["begin"])), F.col("begin")),
+        "end": F.coalesce("next_begin", "reached"),
+        "n_words": F.col("n_words") + F.size("side0") + F.size("side1")})
     return (
-        later.withColumn("opens", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
-        .withColumn("run", F.sum("opens").over(document))
-        .groupBy("id", "version", "run")
-        .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
-             F.count(F.lit(1)).alias("n_units"), F.min_by("first", "unit").alias("first"))
-        .filter(F.col("n_words") >= min_words)
+        parts.withColumn("all_words", F.sum("n_words").over(run)).filter(F.col("all_words") >= min_words)
         .select(F.col("id").alias(id_col), "version", "begin", "end", "n_words", "n_units",
                 F.col("first.id").alias("first_id"), F.col("first.begin").alias("first_begin"))
     )
