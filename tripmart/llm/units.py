@@ -125,12 +125,12 @@ def _edges(reach: int):
             keys, out = words.keys.view(np.int64), []
             for k, (doc, version, _, asked) in enumerate(part):
                 for ask in asked:
-                    unit, side = ask["unit"], ask["side"]
+                    unit, side, most = ask["unit"], ask["side"], ask["most"]
                     u = of[k] + unit
                     if side == 0:
-                        at = np.arange(first[u] - 1, max(words.first[k], first[u] - 2 * _LONGEST) - 1, -1)
+                        at = np.arange(first[u] - 1, max(words.first[k], first[u] - most) - 1, -1)
                     else:
-                        at = np.arange(end[u], min(words.first[k] + words.counts[k], end[u] + 2 * _LONGEST))
+                        at = np.arange(end[u], min(words.first[k] + words.counts[k], end[u] + most))
                     listed = zip(keys[at].tolist(), (points[words.begin[at]] - base[k]).tolist(), (points[words.end[at]] - base[k]).tolist(), strict=True)
                     out.append((doc, version, unit, side, [{"key": a, "begin": b, "end": c} for a, b, c in listed]))
             if out:
@@ -219,12 +219,15 @@ def repeated_passages(
     left = F.col("is_head") & (F.col("before") != 0) & (F.col("before") == F.col("first.before"))
     right = F.col("next_begin").isNull() & (F.col("after") != 0) & (F.col("after") == F.col("final.after"))
     worth = F.max((F.col("all_words") + 2 * (_NEAR - 1) >= min_words) | left | right).over(run)
-    parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth", "before", "after"), "passage-parts")
-    asks = [parts.select(F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"), F.lit(side).alias("side"))
-            for of, unit, side in (("", "from", 0), ("first.", "first.unit", 0), ("", "to", 1), ("final.", "final.unit", 1))]
+    parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth"), "passage-parts")
+    # where the next words differ, fewer than ``_NEAR`` of them can be equal
+    far = lambda own, other: F.when((F.col(own) == F.col(other)) & (F.col(own) != 0), 2 * _LONGEST).otherwise(_NEAR - 1).alias("most")
+    asks = [parts.select(F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"), F.lit(side).alias("side"), most)
+            for side, most, places in ((0, far("before", "first.before"), (("", "from"), ("first.", "first.unit"))),
+                                       (1, far("after", "final.after"), (("", "to"), ("final.", "final.unit")))) for of, unit in places]
     asked = stored(
-        asks[0].union(asks[1]).union(asks[2]).union(asks[3]).distinct().groupBy("id", "version")
-        .agg(F.collect_list(F.struct("unit", "side")).alias("asked")), "asked-edges")
+        asks[0].union(asks[1]).union(asks[2]).union(asks[3]).groupBy("id", "version", "unit", "side").agg(F.max("most").alias("most"))
+        .groupBy("id", "version").agg(F.collect_list(F.struct("unit", "side", "most")).alias("asked")), "asked-edges")
     known = docs.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
     few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
     edges = stored(
