@@ -214,17 +214,28 @@ def repeated_passages(
     ordered = run.orderBy("part")
     parts = parts.withColumns({
         "all_words": F.sum("n_words").over(run), "is_head": F.row_number().over(ordered) == 1,
-        "next_begin": F.lead("begin").over(ordered)})
+        "next_begin": F.lead("begin").over(ordered),
+        "back": F.lag(F.struct("first", "n_words")).over(ordered), "ahead": F.lead(F.struct("first", "n_words")).over(ordered)})
     # too few words and too few equal ones next to them on both sides: not worth the look
     left = F.col("is_head") & (F.col("before") != 0) & (F.col("before") == F.col("first.before"))
     right = F.col("next_begin").isNull() & (F.col("after") != 0) & (F.col("after") == F.col("final.after"))
     worth = F.max((F.col("all_words") + 2 * (_NEAR - 1) >= min_words) | left | right).over(run)
-    parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth"), "passage-parts")
-    # where the next words differ, fewer than ``_NEAR`` of them can be equal
-    far = lambda own, other: F.when((F.col(own) == F.col(other)) & (F.col(own) != 0), 2 * _LONGEST).otherwise(_NEAR - 1).alias("most")
-    asks = [parts.select(F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"), F.lit(side).alias("side"), most)
-            for side, most, places in ((0, far("before", "first.before"), (("", "from"), ("first.", "first.unit"))),
-                                       (1, far("after", "final.after"), (("", "to"), ("final.", "final.unit")))) for of, unit in places]
+    # where the next words differ, fewer than ``_NEAR`` of them can be equal; towards a part of the same
+    # passage only as many count as that one has, and only if it was first kept later
+    def most(outer: Column, near: Column, other: str) -> Column:
+        within = (near | (F.col(other)["n_words"] < _NEAR)) & (F.col("first") < F.col(other)["first"]) & (F.col(other)["n_words"] <= 2 * _LONGEST)
+        far = F.when(near, 2 * _LONGEST).otherwise(_NEAR - 1)
+        return F.when(outer, far).when(within, F.col(other)["n_words"]).otherwise(0).cast("int")
+
+    near_left = (F.col("before") != 0) & (F.col("before") == F.col("first.before"))
+    near_right = (F.col("after") != 0) & (F.col("after") == F.col("final.after"))
+    parts = parts.withColumns({"most0": most(F.col("is_head"), F.coalesce(near_left, F.lit(False)), "back"),
+                               "most1": most(F.col("next_begin").isNull(), F.coalesce(near_right, F.lit(False)), "ahead")})
+    parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth", "back", "ahead", "before", "after"), "passage-parts")
+    asks = [parts.filter(f"most{side} > 0").select(
+                F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"),
+                F.lit(side).alias("side"), F.col(f"most{side}").alias("most"))
+            for of, unit, side in (("", "from", 0), ("first.", "first.unit", 0), ("", "to", 1), ("final.", "final.unit", 1))]
     asked = stored(
         asks[0].union(asks[1]).union(asks[2]).union(asks[3]).groupBy("id", "version", "unit", "side").agg(F.max("most").alias("most"))
         .groupBy("id", "version").agg(F.collect_list(F.struct("unit", "side", "most")).alias("asked")), "asked-edges")
