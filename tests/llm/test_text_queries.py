@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the giv
 
 def test_every_operator_is_registered():
     names = set(queries.all_queries())
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert names <= set(entry_point.queries()) and set(oracle.statements()) <= names
 
 

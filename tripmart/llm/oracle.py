@@ -193,6 +193,54 @@ FROM v JOIN p{rounds} USING ({listed})
 
 STATEMENTS["op5_quality_rules"] = _quality()
 
+_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _manifest() -> str:
+    """Levels of each language's tree and of the tree of subroots; each document's path is then folded."""
+    value = lambda c: f"CASE WHEN ({c}) IS NULL THEN '-' ELSE strlen(({c})::VARCHAR) || ':' || ({c}) END"
+    leaf = " || ".join(value(c) for c in _FIELDS)
+    other = " || ".join(value("CASE WHEN hit THEN n_chars + 1 ELSE n_chars END" if c == "n_chars" else c) for c in _FIELDS)
+    crc = (
+        "xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),"
+        " lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),"
+        " lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)")
+    up = lambda name: f"""
+  SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY lang, level, i // 2, n"""
+    return f"""
+WITH RECURSIVE c AS MATERIALIZED (SELECT *, coalesce({crc} % 7 = 0, false) AS hit FROM documents),
+l AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({leaf}) AS leaf, sha256({other}) AS other FROM c),
+b AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM l),
+t AS (SELECT lang, 0 AS level, i, leaf AS h, n FROM b UNION ALL {up("t")}),
+s AS MATERIALIZED (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lang, 0 AS level, i, subroot AS h, n FROM s UNION ALL {up("u")}),
+p AS MATERIALIZED (
+  SELECT r, t.level AS step, (b.i >> t.level) & 1 AS odd, v.h
+  FROM b JOIN t ON t.lang IS NOT DISTINCT FROM b.lang AND t.i = b.i >> t.level AND t.n > 1
+  LEFT JOIN t v ON v.lang IS NOT DISTINCT FROM b.lang AND v.level = t.level AND v.i = xor(b.i >> t.level, 1)
+  UNION ALL
+  SELECT r, 1000 + u.level, (s.i >> u.level) & 1, v.h
+  FROM b JOIN s ON s.lang IS NOT DISTINCT FROM b.lang JOIN u ON u.i = s.i >> u.level AND u.n > 1
+  LEFT JOIN u v ON v.level = u.level AND v.i = xor(s.i >> u.level, 1)),
+w AS MATERIALIZED (
+  SELECT r, list(CASE WHEN h IS NULL THEN '' WHEN odd = 1 THEN '<' || h ELSE '>' || h END ORDER BY step) AS path,
+    sha256(coalesce(string_agg(h, '' ORDER BY step), '')) AS proof FROM p GROUP BY r),
+z AS (
+  SELECT b.*, subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256,
+    list_reduce([other] || coalesce(path, []), lambda a, x: sha256(
+      CASE WHEN x = '' THEN a WHEN x[1] = '<' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+  FROM b LEFT JOIN w USING (r) JOIN s ON s.lang IS NOT DISTINCT FROM b.lang)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z
+"""
+
+
+STATEMENTS["op13_merkle_manifest"] = _manifest()
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

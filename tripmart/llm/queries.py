@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripmart.llm import decontaminate, secrets
 from tripmart.llm.common import new_folder
+from tripmart.llm.fingerprints import as_string, compared_with_edits
 from tripmart.llm.html_text import page_texts
 from tripmart.llm.lines import repeated_runs
+from tripmart.llm.merkle import tampered_documents
 from tripmart.llm.mixing import mix_sources
 from tripmart.llm.quality import judge_quality
 from tripmart.llm.similar import similar_texts
 from tripmart.llm.tokens import token_counts
 from tripmart.llm.units import repeated_passages
 from tripmart.llm.urls import url_host, url_verdicts
+from tripmart.llm.whitening import whitened_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +133,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("version")
 
 
+@query
+def op11_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compared_with_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", as_string(F.col("entries")).alias("fingerprint"),
+        as_string(F.col("edited_entries")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
