@@ -7,25 +7,15 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute(docs, min_words, min_lines):
-    """{(id, line_no)} to delete; docs are [(id, text)] with distinct ids."""
-    seqs = {}
-    for k, text in docs:
-        seqs[k] = [(n, x.strip(" \t\x0b\x0c\r")) for n, x in enumerate((text or "").split("\n")) if x.strip(" \t\x0b\x0c\r")]
+    """{(id, line_no)} in any qualifying run, however long, that occurs earlier; docs are [(id, text)]."""
     first, out = {}, set()
-    for k in sorted(seqs):
-        lines = seqs[k]
+    for k, text in sorted(docs):
+        lines = [(n, x.strip(" \t\x0b\x0c\r")) for n, x in enumerate((text or "").split("\n")) if x.strip(" \t\x0b\x0c\r")]
         for i in range(len(lines)):
-            words = 0
-            for length in range(1, min_lines + 1):
-                if i + length > len(lines):
-                    break
-                words += len(WORD.findall(lines[i + length - 1][1]))
-                if words >= min_words or length == min_lines:
-                    run = tuple(x for _, x in lines[i : i + length])
-                    if run in first and first[run] != (k, i):
-                        out |= {(k, n) for n, _ in lines[i : i + length]}
-                    first.setdefault(run, (k, i))
-                    break
+            for j in range(i, len(lines)):
+                run = tuple(x for _, x in lines[i : j + 1])
+                if first.setdefault(run, (k, i)) != (k, i) and (len(run) >= min_lines or sum(len(WORD.findall(x)) for x in run) >= min_words):
+                    out |= {(k, n) for n, _ in lines[i : j + 1]}
     return out
 
 
@@ -68,19 +58,6 @@ def test_repeated_rows_are_one_document_and_empty_table(spark):
     assert repeated_runs(df.limit(0)).collect() == []
 
 
-def every_length(docs, min_words, min_lines):
-    """{(id, line_no)} in any qualifying run, however long, that occurs earlier."""
-    first, out = {}, set()
-    for k, text in sorted(docs):
-        lines = [(n, x.strip(" \t\x0b\x0c\r")) for n, x in enumerate((text or "").split("\n")) if x.strip(" \t\x0b\x0c\r")]
-        for i in range(len(lines)):
-            for j in range(i, len(lines)):
-                run = tuple(x for _, x in lines[i : j + 1])
-                if first.setdefault(run, (k, i)) != (k, i) and (len(run) >= min_lines or sum(len(WORD.findall(x)) for x in run) >= min_words):
-                    out |= {(k, n) for n, _ in lines[i : j + 1]}
-    return out
-
-
 def test_runs_of_every_length_go_whole(spark):
     long, tail = "word " * 60, "five words at the end"
     mixed = random.Random(5)
@@ -91,4 +68,4 @@ def test_runs_of_every_length_go_whole(spark):
         ([(k, "\n".join(mixed.choice("abc") * 3 + " v" * mixed.choice([0, 0, 1, 4]) for _ in range(12))) for k in range(40)], 5, 4),
     ):
         df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-        assert deleted(repeated_runs(df, min_words=min_words, min_lines=min_lines), docs) == every_length(docs, min_words, min_lines)
+        assert deleted(repeated_runs(df, min_words=min_words, min_lines=min_lines), docs) == brute(docs, min_words, min_lines)

@@ -73,13 +73,17 @@ FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id
 
 STATEMENTS["op7_secret_scan"] = _secrets()
 
-# Quotients are listed in full and ranked; sources at their limit are found in order of size / weight.
-STATEMENTS["op8_source_mix"] = """
+
+def source_mix(shard_words: int = 131072) -> str:
+    """Quotients are listed in full and ranked; sources at their limit are found in order of size / weight."""
+    return f"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
     md5('0:' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
-n AS (SELECT sum(size)::BIGINT AS total, greatest(1, ((sum(size) + 131071) // 131072)::BIGINT) AS shards FROM d),
-e AS MATERIALIZED (SELECT d.*, ('0x' || substr(place, 1, 8))::BIGINT % shards AS shard FROM d, n),
+n AS (SELECT sum(size)::BIGINT AS total FROM d),
+sh AS (SELECT source, greatest(1, ((sum(size) + {shard_words - 1}) // {shard_words})::BIGINT) AS shards FROM d GROUP BY source),
+e AS MATERIALIZED (
+  SELECT d.*, ('0x' || substr(place, 1, 8))::BIGINT % shards AS shard FROM d JOIN sh ON d.source IS NOT DISTINCT FROM sh.source),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM e GROUP BY source),
@@ -104,9 +108,15 @@ h AS (
     row_number() OVER (PARTITION BY c.source ORDER BY cell_size::DOUBLE / (2 * a + 1) DESC, shard, a) AS place
   FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source, unnest(range(0, seats)) AS u(a) WHERE cell_size > 0),
 i AS (SELECT source, shard, count(*) AS quota FROM h WHERE place <= seats GROUP BY source, shard),
-p AS (
-  SELECT c.source, c.shard, cell_size, least(coalesce(quota, 0) * 64, 2 * cell_size) AS amount
+j AS (
+  SELECT c.source, c.shard, cell_size, coalesce(quota, 0) * 64 AS given, 2 * cell_size AS most
   FROM c LEFT JOIN i ON c.source IS NOT DISTINCT FROM i.source AND c.shard = i.shard),
+p AS (
+  SELECT source, shard, cell_size, (least(given, most) + least(greatest(0, most - given), greatest(0,
+    sum(greatest(0, given - most)) OVER (PARTITION BY source)
+    - coalesce(sum(greatest(0, most - given)) OVER (
+        PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS amount
+  FROM j),
 v AS (
   SELECT e.*, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM e)
@@ -117,6 +127,9 @@ FROM v JOIN p ON v.source IS NOT DISTINCT FROM p.source AND v.shard = p.shard
 JOIN t ON v.source IS NOT DISTINCT FROM t.source
 """
 
+
+STATEMENTS["op8_source_mix"] = source_mix()
+
 # Each capture's keys against the last change of each entry up to its fetch day.
 STATEMENTS["op6_url_filters"] = """
 WITH p AS (
