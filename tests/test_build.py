@@ -81,13 +81,11 @@ def test_faulty_stored_columns_are_reported(spark, tmp_path, inputs):
     weather, zones = inputs
     warehouse = Warehouse(spark, str(tmp_path / "w"), SCOPE)
     warehouse.run(trips(spark, *month(1)), weather, zones)
-    zone = spark.read.parquet(warehouse.path("dim_zone")).collect()
-    frame = spark.createDataFrame(zone).withColumn("surplus", F.lit(1)).drop("service_zone")
-    frame.withColumn("location_id", F.col("location_id").cast("string")).write.mode("overwrite").parquet(warehouse.path("dim_zone"))
-    found = warehouse._found("dim_zone")["dim_zone"]
+    frame = warehouse.read("dim_zone").withColumn("surplus", F.lit(1)).drop("service_zone")
+    warehouse.table("dim_zone").replace(frame.withColumn("location_id", F.col("location_id").cast("string")))
+    (found,) = warehouse._found("dim_zone")["dim_zone"].values()
     assert checks.column_differences(found, checks.S.DIM_ZONE) == (["service_zone"], ["surplus"], ["location_id"])
-    bronze = spark.read.parquet(warehouse.path("bronze_weather"))
-    spark.createDataFrame(bronze.drop("snowfall_sum").collect()).write.mode("overwrite").partitionBy("weather_year", "weather_month").parquet(warehouse.path("bronze_weather"))
+    warehouse.table("bronze_weather").replace(warehouse.read("bronze_weather").drop("snowfall_sum"))
     with pytest.raises(checks.CheckFailed, match="bronze_weather.*columns_match"):
         checks.enforce(warehouse.check_bronze())
 

@@ -145,3 +145,53 @@ def test_overview_pads_missing_dates(spark):
 @pytest.mark.parametrize("n", [0, 7])
 def test_row_counts(spark, n):
     assert A.row_counts({"a": spark.range(n), "b": spark.range(2)}).first() == (n, 2)
+
+
+def digest_rows(spark, n, salt=0):
+    return spark.range(n).selectExpr(f"sha2(concat(id, '-{salt}'), 256) AS k", "int(id % 3) AS m")
+
+
+def test_keysets_are_compared_by_digests(spark):
+    left = digest_rows(spark, 5000)
+    more = left.unionByName(spark.createDataFrame([("new", 1), (None, 2)], "k string, m int"))
+    fewer = left.filter("k NOT LIKE '0%'")
+    for a, b in ((left, left), (left, more), (more, left), (fewer, more), (left.limit(0), left), (left.limit(0), left.limit(0))):
+        for within in ([], ["m"]):
+            got = L.keyset_differences(a, b, ["k"], within, buckets=64).first()
+            assert got == L.keyset_difference(a, b, ["k"]).first()
+    moved = left.withColumn("m", F.col("m") + 1)
+    assert L.keyset_differences(left, moved, ["k"], ["m"]).first() == (0, 0)
+    assert L.keyset_differences(left, left.unionByName(left), ["k"]).first() == (0, 0)
+    # {a, a, b} and {c, c, b} have equal counts and equal exclusive ors
+    few = [spark.createDataFrame([(x,) for x in text], "k string") for text in ("aab", "ccb")]
+    assert L.keyset_differences(*few, ["k"], buckets=1).first() == (1, 1)
+
+
+def exchanged_rows(df):
+    """Rows written to exchanges by what is executed, from the final plan's metrics."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return sum(out)
+
+
+def test_equal_tables_exchange_no_keys(spark, tmp_path):
+    digest_rows(spark, 100_000).write.parquet(str(tmp_path / "a"))
+    left, right = (spark.read.parquet(str(tmp_path / "a")) for _ in range(2))
+    assert exchanged_rows(L.keyset_difference(left, right, ["k"])) >= 200_000
+    assert exchanged_rows(L.keyset_differences(left, right, ["k"], buckets=32)) < 2_000
+    # a single deviation exchanges one bucket in 32 of either side
+    assert exchanged_rows(L.keyset_differences(left, right.filter("k NOT LIKE '0000%'"), ["k"], buckets=4096)) < 2_000 * 50

@@ -186,16 +186,6 @@ def test_partitioned_write_replaces_only_its_months(spark, tmp_path):
     assert stored(spark, path) == [(1, 2023, 1), (9, 2023, 2)]
 
 
-def test_requested_month_that_is_gone_is_emptied(spark, tmp_path):
-    path = str(tmp_path / "t")
-    writers.write_table(month_rows(spark, (1, 2023, 1), (2, 2023, 2), (3, 2023, 3)), path, MONTHS)
-    new = month_rows(spark, (7, 2023, 2), (8, 2023, 4))
-    assert writers.replace_months(new, path, "2023-02,2023-03", MONTHS) == ["2023-03"]
-    assert stored(spark, path) == [(1, 2023, 1), (7, 2023, 2)]
-    assert writers.replace_months(new, path, "2023-02,2023-03", MONTHS) == ["2023-03"]
-    assert stored(spark, path) == [(1, 2023, 1), (7, 2023, 2)]
-
-
 def test_unpartitioned_write_replaces_everything(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.write_table(month_rows(spark, (1, 2023, 1)), path)

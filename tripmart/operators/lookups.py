@@ -92,10 +92,7 @@ def missing_keys(have: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> Dat
 
 def keyset_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: keys only on the left, keys only on the right, from a single aggregation."""
-    sides = left.select(*keys, F.lit(True).alias("_left")).unionByName(
-        right.select(*keys, F.lit(False).alias("_left"))
-    )
-    per_key = sides.groupBy(*keys).agg(
+    per_key = stacked_sides(left, right, keys).groupBy(*keys).agg(
         F.bool_or("_left").alias("_in_left"), F.bool_or(~F.col("_left")).alias("_in_right")
     )
     return per_key.agg(
@@ -104,6 +101,78 @@ def keyset_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     )
 
 
+DIGEST_BUCKETS = 4096
+
+
+def key_bucket(keys: Sequence[str], buckets: int = DIGEST_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def key_digests(
+    df: DataFrame, keys: Sequence[str], within: Sequence[str] = (), buckets: int = DIGEST_BUCKETS
+) -> DataFrame:
+    """One row per group of ``within`` and bucket: how many keys, and sums over two hashes of each.
+
+    The sums do not depend on order, are added up on the map side, and differ for different key
+    collections but for a chance of about 2**-128. They add up, too: digests of months or files that
+    are kept can be summed instead of reading the rows again.
+    """
+    hashes = {"a": F.xxhash64(*keys), "b": F.xxhash64(F.lit(1), *keys)}
+    halves = {}
+    for name, h in hashes.items():
+        halves[f"{name}0"] = h.bitwiseAND(F.lit(0xFFFFFFFF))
+        halves[f"{name}1"] = F.shiftrightunsigned(h, 32)
+    hashed = df.select(*within, key_bucket(keys, buckets).alias("bucket"), *[c.alias(n) for n, c in halves.items()])
+    return hashed.groupBy(*within, "bucket").agg(
+        F.count("*").alias("n"), *[F.sum(n).alias(n) for n in halves]
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Groups and buckets whose digests are not the same on both sides."""
+    at = [*within, "bucket"]
+    sums = [c for c in left.columns if c not in at]
+    sides = stacked_sides(left, right, [*at, *sums])
+    both = sides.groupBy(*at, *sums).agg(F.count("*").alias("sides"))
+    return both.filter("sides = 1").select(*at).distinct()
+
+
+def stacked_sides(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return left.select(*columns, F.lit(True).alias("_left")).unionByName(
+        right.select(*columns, F.lit(False).alias("_left"))
+    )
+
+
+def keyset_differences(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    within: Sequence[str] = (),
+    buckets: int = DIGEST_BUCKETS,
+) -> DataFrame:
+    """``keyset_difference``, comparing keys only where the digests of both sides differ.
+
+    Both sides are first reduced to digests of ``buckets`` per group of ``within`` (columns of both
+    sides, few values, such as year and month). Only keys of differing buckets are exchanged, none at
+    all for equal tables, and a table with few deviations exchanges the keys that share their buckets.
+    A key that moved to another group is no difference. Null keys are equal to each other.
+    """
+    differ = differing_buckets(
+        key_digests(left, keys, within, buckets), key_digests(right, keys, within, buckets), within
+    ).withColumnsRenamed({c: f"_at_{c}" for c in [*within, "bucket"]})
+    same = F.col("_bucket") == F.col("_at_bucket")
+    for c in within:
+        same = same & F.col(f"_in_{c}").eqNullSafe(F.col(f"_at_{c}"))
+
+    def suspects(df: DataFrame) -> DataFrame:
+        bucket = key_bucket(keys, buckets).alias("_bucket")
+        rows = df.select(*keys, bucket, *[F.col(c).alias(f"_in_{c}") for c in within])
+        # at most one row for each group and bucket; the size is known when the join is planned
+        return rows.join(differ, same, "left_semi").select(*keys)
+
+    return keyset_difference(suspects(left), suspects(right), keys)
+
+
 def differing(
     left: Column,
     right: Column,

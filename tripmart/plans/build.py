@@ -1,8 +1,8 @@
 """Build and check a stored warehouse, all of it or only some months.
 
-Each step reads the stored layer before it, so a failed run resumes at the step that failed and a
-repeated run gives the same tables.  A run reads, writes and checks its scope and months only: what
-an earlier run stored for other months is neither read nor rewritten.
+Each step reads the stored layer before it, and each table changes in one commit, so a run that dies
+anywhere leaves whole tables and its repetition gives the same ones.  A run reads, writes and checks its
+scope and months only: what an earlier run stored for other months is neither read nor rewritten.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 from tripmart.operators.aggregates import stacked
 from tripmart.plans import bronze, checks, gold, marts, silver
-from tripmart.sources.readers import read_stored
 from tripmart.sources.scope import Scope, in_months, month_list
-from tripmart.sources.writers import export_flat, replace_months, write_table
+from tripmart.sources.tables import VersionedTable, month_partitions
+from tripmart.sources.writers import export_flat
 
 SILVER = ["silver_trips", "silver_weather", "silver_zones"]
 MARTS = ["mart_daily_demand", "mart_daily_payment_mix", "mart_weather_impact", "mart_zone_demand"]
@@ -41,9 +41,23 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name.split('_')[0]}/{name}"
 
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), S.PARTITIONS.get(name, ()))
+
     def read(self, name: str) -> DataFrame:
         contract = S.CONTRACTS[name]
-        return read_stored(self.spark, self.path(name), name, contract.ddl).select(*contract.names)
+        return self.table(name).read(contract.ddl).select(*contract.names)
+
+    def _rows(self, name: str) -> int | None:
+        """This run's rows of a table by its commit; None where they are not whole partitions."""
+        by = S.PARTITIONS.get(name, [])
+        if by != ["pickup_year", "pickup_month"]:
+            return self.table(name).rows()
+        if not self.scope.whole_months:
+            return None
+        months = self.scope.months
+        wanted = [m for m in months if m in self.months] if self.months else months
+        return self.table(name).rows(month_partitions(wanted, by))
 
     def _in_months(self, df: DataFrame) -> DataFrame:
         """Only the months of this run; prunes the folders of a partitioned table."""
@@ -74,9 +88,18 @@ class Warehouse:
     def weather(self) -> DataFrame:
         return self.read("dim_weather").filter(self.scope.has_day(F.col("weather_date")))
 
-    def _found(self, *names: str) -> dict[str, dict[str, str]]:
-        """Columns that the stored files really have."""
-        return {n: checks.stored_columns(self.spark, self.path(n)) for n in names}
+    def _found(self, *names: str) -> dict[str, dict[str, dict[str, str]]]:
+        """Columns that the stored files really have, by folder."""
+        return {n: checks.stored_schemas(self.spark, self.table(n).folders()) for n in names}
+
+    def _column_faults(self, found: dict[str, dict[str, dict[str, str]]]) -> DataFrame | None:
+        """Report of files with other columns than agreed; they cannot be read, so it stands alone."""
+        reports = [
+            checks.columns_suite(self.spark, name, folders)
+            for name, folders in found.items()
+            if checks.any_differences(folders, name)
+        ]
+        return stacked(reports) if reports else None
 
     def _raw_run(self, raw: DataFrame) -> DataFrame:
         """Raw trips of the run's months; on typed times a range that a scan can skip by."""
@@ -91,9 +114,12 @@ class Warehouse:
     def _save(self, name: str, df: DataFrame) -> None:
         by = S.PARTITIONS.get(name, [])
         if self.months and by == ["pickup_year", "pickup_month"]:
-            replace_months(df, self.path(name), self.months, by)
+            wanted = df.filter(in_months(*map(F.col, by), self.months))
+            self.table(name).replace_partitions(wanted, month_partitions(self.months, by))
+        elif by:
+            self.table(name).replace_partitions(df)
         else:
-            write_table(df, self.path(name), by)
+            self.table(name).replace(df)
 
     # -- steps -------------------------------------------------------------------------------
 
@@ -125,20 +151,15 @@ class Warehouse:
     def _save_days(self, days: DataFrame) -> None:
         """Days of other runs stay; this run's are replaced.
 
-        The new table is staged beside the old one, which it is made from.
+        The table is made from its last version; readers see that one until the new one is committed.
         """
-        try:
+        table = self.table("dim_date")
+        if table.current() is not None:
             stored = self.read("dim_date")
-        except FileNotFoundError:
-            write_table(days, self.path("dim_date"))
-            return
-        others = stored.join(self._run_days(stored).select("date_day"), "date_day", "left_anti")
-        others = others.join(days.select("date_day"), "date_day", "left_anti")
-        staged = f"{self.root}/gold/dim_date_next"
-        write_table(others.select(*days.columns).unionByName(days), staged)
-        contract = S.CONTRACTS["dim_date"]
-        ready = self.spark.read.schema(contract.ddl).parquet(staged)
-        write_table(ready.coalesce(1), self.path("dim_date"))
+            others = stored.join(self._run_days(stored).select("date_day"), "date_day", "left_anti")
+            others = others.join(days.select("date_day"), "date_day", "left_anti")
+            days = others.select(*days.columns).unionByName(days)
+        table.replace(days.coalesce(1))
 
     def to_serving(self) -> None:
         fact, days, weather = self.trips("fact_trips"), self.days(), self.weather()
@@ -154,7 +175,9 @@ class Warehouse:
         parts = []
         for name in MARTS:
             target = f"{root.rstrip('/')}/{name}"
-            row = export_flat(self.read(name), target, S.CONTRACTS[name], S.EXPORT_FILES[name])
+            row = export_flat(
+                self.read(name), target, S.CONTRACTS[name], S.EXPORT_FILES[name], self.table(name).rows()
+            )
             parts.append(
                 row.select(
                     F.lit(name).alias("dataset"),
@@ -170,24 +193,28 @@ class Warehouse:
     def check_bronze(self) -> DataFrame:
         """Contracts, and rows against the raw inputs of this run; only trips may lose rows."""
         parts = []
+        found = self._found("bronze_trips", "bronze_weather", "bronze_zones")
+        if faults := self._column_faults(found):
+            return faults
         for kind in ("trips", "weather", "zones"):
             name = f"bronze_{kind}"
             stored = self.read(name)
             if kind == "trips":
                 stored = self._in_months(stored)
-            parts.append(checks.contract_suite(stored, name, self._found(name)[name]))
+            parts.append(checks.contract_suite(stored, name, found[name]))
             if kind in self._raw:
-                parts.append(
-                    checks.rowcount_relation(self._raw[kind], stored, name, kind == "trips")
-                )
+                rows = stored if kind == "trips" else self._rows(name)
+                parts.append(checks.rowcount_relation(self._raw[kind], rows, name, kind == "trips"))
         return stacked([*parts, self._folders("bronze_trips"), self._folders("bronze_weather")])
 
     def check_silver(self) -> DataFrame:
         found = self._found(*SILVER)
+        if faults := self._column_faults(found):
+            return faults
         parts = [
             checks.silver_suite(
                 self.trips("silver_trips"), self._this_run(self.read("bronze_trips")),
-                found["silver_trips"],
+                found["silver_trips"], self._rows("bronze_trips"), self._rows("silver_trips"),
             ),
             self._folders("silver_trips"),
             self._folders("silver_weather"),
@@ -195,30 +222,36 @@ class Warehouse:
         for kind in ("weather", "zones"):
             name = f"silver_{kind}"
             parts.append(checks.contract_suite(self.read(name), name, found[name]))
-            parts.append(checks.rowcount_relation(self.read(f"bronze_{kind}"), self.read(name), name))
+            parts.append(checks.rowcount_relation(self._rows(f"bronze_{kind}"), self._rows(name), name, spark=self.spark))
         return stacked(parts)
 
     def check_gold(self) -> DataFrame:
         r = self.read
+        found = self._found("fact_trips", "dim_date", "dim_zone", "dim_weather")
+        if faults := self._column_faults(found):
+            return faults
         suite = checks.gold_suite(
             self.trips("fact_trips"), self.trips("silver_trips"), self.days(), r("dim_zone"),
-            r("dim_weather"), self._found("fact_trips", "dim_date", "dim_zone", "dim_weather"),
+            r("dim_weather"), found,
         )
         exact = [
-            checks.rowcount_exact(r("silver_zones"), r("dim_zone"), "dim_zone"),
-            checks.rowcount_exact(r("silver_weather"), r("dim_weather"), "dim_weather"),
+            checks.rowcount_exact(self._rows(source), self._rows(target), target, spark=self.spark)
+            for source, target in (("silver_zones", "dim_zone"), ("silver_weather", "dim_weather"))
         ]
         return stacked([suite, *exact, self._folders("fact_trips")])
 
     def check_serving(self) -> DataFrame:
+        found = self._found(*MARTS)
+        if faults := self._column_faults(found):
+            return faults
         suite = checks.serving_suite(
             {n: self.trips(n) for n in MARTS}, self.trips("fact_trips"), self.days(),
-            self.read("dim_zone"), self.read("dim_weather"), self._found(*MARTS),
+            self.read("dim_zone"), self.read("dim_weather"), found,
         )
         return stacked([suite, *[self._folders(n) for n in MARTS]])
 
     def _folders(self, name: str) -> DataFrame:
-        stored = read_stored(self.spark, self.path(name), name)
+        stored = self.table(name).read()
         if "pickup_year" in S.PARTITIONS[name]:
             stored = self._in_months(stored)
         return checks.partition_coverage(stored, name, S.PARTITIONS[name])

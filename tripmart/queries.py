@@ -888,7 +888,7 @@ def check_columns(x: Layers) -> DataFrame:
     rows = [K.columns_match(x.spark, c, n, S.CONTRACTS[n]) for n, c in found.items()]
     bad = K.stored_columns(x.spark, faulty)
     rows.append(K.columns_match(x.spark, bad, "dim_zone_faulty", S.CONTRACTS["dim_zone"]))
-    return A.stacked(rows)
+    return A.stacked(rows).drop("path")
 
 
 @query
@@ -1007,7 +1007,7 @@ def negative_money_profile(x: Layers) -> DataFrame:
 def check_same_keys(x: Layers) -> DataFrame:
     trips = x.table("silver_trips")
     facts = {"fact_trips": x.table("fact_trips"), "fact_trips_faulty": _faulty_fact(x)}
-    return A.stacked([K.same_keys(trips, fact, n, ["trip_id"]) for n, fact in facts.items()])
+    return A.stacked([K.same_keys(trips, fact, n, ["trip_id"], S.PARTITIONS["fact_trips"]) for n, fact in facts.items()])
 
 
 @query

@@ -53,6 +53,17 @@ class Scope:
         """Upper bound on the rows of any table with one row per day of the scope."""
         return (self.last - self.first).days + 1
 
+    @property
+    def whole_months(self) -> bool:
+        """Does the scope begin with the first and end with the last day of a month?"""
+        return self.first.day == 1 and (self.last + timedelta(days=1)).day == 1
+
+    @property
+    def months(self) -> list[str]:
+        """Every month that the scope touches, as ``YYYY-MM``."""
+        first, last = (d.year * 12 + d.month - 1 for d in (self.first, self.last))
+        return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
     def has_day(self, day: Column) -> Column:
         return day.between(F.lit(self.first), F.lit(self.last))
 

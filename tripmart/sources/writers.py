@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.calendar import month_number
-from tripmart.operators.aggregates import profile
+from tripmart.operators.aggregates import profile, row_counts
 from tripmart.operators.columns import conform, rejections
 from tripmart.schemas import Contract
-from tripmart.sources.scope import month_list
+from tripmart.sources.tables import VersionedTable
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace an unpartitioned folder, or only the partitions present in ``df``.
 
-    Returns the rows written, observed during the write instead of counted in a second pass.
+    Returns the rows written, observed during the write; a number for logs, as a task that runs again
+    may count twice. See ``VersionedTable`` for tables that change in one step.
     Partitioned output is rebalanced on the partition columns: adaptive execution splits a heavy
     month over many tasks and joins light ones, so a month is never bound to one task and tasks do
     not each write a file into every month.
@@ -37,71 +39,67 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
-def replace_months(
-    df: DataFrame, path: str, months: str | Iterable[str], partition_by: Sequence[str]
-) -> list[str]:
-    """Replace exactly the requested months and return the ones that came out empty.
-
-    Dynamic overwrite alone keeps a month that has vanished from the source; such a month's folder
-    is overwritten with no rows.  Months outside the request are left as they are.
-    """
-    year, month = partition_by
-    wanted = month_list(months)
-    numbers = [int(m.replace("-", "")) for m in wanted]
-    seen = Observation()
-    scoped = df.filter(month_number(F.col(year), F.col(month)).isin(numbers)).observe(
-        seen, F.collect_set(month_number(F.col(year), F.col(month))).alias("months")
-    )
-    (
-        scoped.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    written = set(seen.get["months"])
-    empty = [m for m, n in zip(wanted, numbers, strict=True) if n not in written]
-    nothing = df.sparkSession.createDataFrame([], df.drop(*partition_by).schema)
-    for m in empty:
-        y, mm = m.split("-")
-        nothing.write.mode("overwrite").parquet(f"{path}/{year}={int(y)}/{month}={int(mm)}")
-    return empty
-
-
-def export_flat(source: DataFrame, path: str, contract: Contract, files: int) -> DataFrame:
+def export_flat(
+    source: DataFrame, path: str, contract: Contract, files: int, source_rows: int | None = None
+) -> DataFrame:
     """Contract columns of a stored table as ``files`` unpartitioned files, reconciled.
 
-    Returns one row: rows read from the source, rows found in the export.
+    Returns one row: rows of the source, rows found in the export. Both are counted in what is stored:
+    ``source_rows`` where the table's commit has them, else by the footers of the source.
     """
-    seen = Observation()
-    out = source.select(*contract.names).observe(seen, F.count("*").alias("rows"))
-    out.coalesce(files).write.mode("overwrite").parquet(path)
-    exported = source.sparkSession.read.parquet(path).agg(F.count("*").alias("exported_rows"))
-    return exported.select(
-        F.lit(seen.get["rows"]).cast("bigint").alias("source_rows"), "exported_rows"
-    ).withColumn("violations", F.abs(F.col("source_rows") - F.col("exported_rows")))
+    source.select(*contract.names).coalesce(files).write.mode("overwrite").parquet(path)
+    return reconciled(source if source_rows is None else source_rows, source.sparkSession.read.parquet(path))
+
+
+def reconciled(source: DataFrame | int, exported: DataFrame) -> DataFrame:
+    """One row: rows of the source, rows of the export, their difference."""
+    found = exported.agg(F.count("*").alias("exported_rows"))
+    if isinstance(source, int):
+        row = found.select(F.lit(source).cast("bigint").alias("source_rows"), "exported_rows")
+    else:
+        row = row_counts({"source_rows": source, "exported_rows": exported})
+    return row.withColumn("violations", F.abs(F.col("source_rows") - F.col("exported_rows")))
 
 
 class RunLoader:
-    """Loads several batches per target in one run: the first replaces, the rest append."""
+    """Loads several batches per target in one run: the first replaces, the rest append.
+
+    What a run has loaded is part of the target's commits, so a loader started again with the same
+    ``run`` neither replaces nor doubles anything: batches that are there are passed over. Batches
+    without a name are known by their place in the run. With ``truncate=False`` a run only appends.
+    """
 
-    def __init__(self, spark: SparkSession, truncate: bool = True):
+    def __init__(self, spark: SparkSession, truncate: bool = True, run: str | None = None):
         self._spark = spark
         self._truncate = truncate
-        self._started: set[str] = set()
+        self._run = run or uuid.uuid4().hex
+        self._loaded: Counter[str] = Counter()
 
     def load(
-        self, batch: DataFrame, path: str, contract: Contract, max_rejects: int | None = 0
-    ) -> None:
-        """Refuses a batch with more than ``max_rejects`` unreadable values before it writes."""
+        self, batch: DataFrame, path: str, contract: Contract, max_rejects: int | None = 0, name: str | None = None
+    ) -> bool:
+        """Add a batch; False where the target already has it.
+
+        Refuses a batch with more than ``max_rejects`` unreadable values before it writes.
+        """
+        self._loaded[path] += 1
+        name = name or f"{self._run}/{self._loaded[path]}"
+        table = VersionedTable(self._spark, path)
+        state = table.current()
+        fresh = state is None or (self._truncate and state.run != self._run)
+        if not fresh and state.has_batch(name):
+            return False
         bad = rejections(batch, contract)
         if bad and max_rejects is not None:
             counts = profile(batch, bad).first().asDict()
             if sum(counts.values()) > max_rejects:
                 raise ValueError(f"{path}: {dict(filter(lambda x: x[1], counts.items()))}")
-        first = self._truncate and path not in self._started
-        conform(batch, contract).write.mode("overwrite" if first else "append").parquet(path)
-        self._started.add(path)
+        rows = conform(batch, contract)
+        if fresh:
+            table.replace(rows, self._run, name)
+        else:
+            table.append(rows, self._run, name)
+        return True
 
     def read(self, path: str, contract: Contract) -> DataFrame:
-        return self._spark.read.schema(contract.ddl).parquet(path)
+        return VersionedTable(self._spark, path).read(contract.ddl)
