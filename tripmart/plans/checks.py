@@ -132,8 +132,7 @@ def stored_schemas(spark: SparkSession, folders: Sequence[str]) -> dict[str, dic
     folders = list(dict.fromkeys(folders))
 
     def columns(folder: str) -> dict[str, str]:
-        found = spark.read.option("basePath", folder).parquet(folder)
-        return dict(found.dtypes)
+        return dict(spark.read.parquet(folder).dtypes)
 
     with ThreadPool(8) as pool:
         return dict(zip(folders, pool.map(columns, folders), strict=True))
