@@ -69,25 +69,26 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 BIT_TABLE = 26  # leading bits of a key that number its flag
 
 
-def bit_table(keys: DataFrame) -> np.ndarray:
-    """A flag for the leading bits of every ``key``: 2**26 flags, 8 MB, whatever there is.
+def bit_table(keys: DataFrame, bits: int = BIT_TABLE) -> np.ndarray:
+    """A flag for the leading ``bits`` of every ``key``: with 26 of them 8 MB, whatever there is.
 
     It lets tasks set most rows aside early that a join would drop later; what passes still meets
     that join, so with many keys it only passes more.
     """
-    first = F.expr(f"shiftrightunsigned(key, {64 - BIT_TABLE})")
+    first = F.expr(f"shiftrightunsigned(key, {64 - bits})")
     words = (
         keys.select((first / 64).cast("int").alias("place"), (first % 64).cast("int").alias("bit"))
         .groupBy("place").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
     ).toArrow()
-    table = np.zeros((1 << BIT_TABLE) // 64, "<i8")
+    table = np.zeros((1 << bits) // 64, "<i8")
     table[words["place"].to_numpy()] = words["mask"].to_numpy()
     return table.view(np.uint8)
 
 
 def has_bits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit keys have their flag set."""
-    at = (keys >> np.uint64(64 - BIT_TABLE)).astype(np.int64)
+    bits = 8 * len(table)
+    at = (keys >> np.uint64(65 - bits.bit_length())).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import bit_table, has_bits, join_same, stored
+from tripmart.llm.common import BIT_TABLE, bit_table, has_bits, join_same, stored
 from tripmart.llm.hashing import span_keys
 from tripmart.llm.words import Words, arrow_rows, chunks
 
@@ -26,6 +26,7 @@ _UNITS = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int
                     ("before", pa.int32()), ("after", pa.int32())])
 _UNITS_DDL = "id long, version long, unit long, digest long, begin long, end long, n_words long, before int, after int"
 _LONGEST = 64  # words of a unit
+_FLAGS = 29  # most bits of the table of repeated digests, 64 MB; when full it only lets more units pass
 _SPACING = 16  # least words between boundaries at equal keys
 _NEAR = 4  # words to both sides of a unit that tell whether it is worth extending
 _EDGES = pa.list_(pa.struct([("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())]))
@@ -81,7 +82,23 @@ def _near(words: Words, at: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.where(whole, bits, 0).astype(np.int32)
 
 
-def _cut(reach: int):
+def _digests(reach: int):
+    """The digest of every unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(arrow_rows(batches), 0):
+            words = Words([t for (t,) in part])
+            if len(words):
+                first = unit_starts(words, reach)
+                keys = span_keys(words.keys, first, np.append(first[1:], len(words)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["digest"])
+
+    return run
+
+
+def _cut(reach: int, known):
+    """The units whose digest has its flag set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(arrow_rows(batches), 2):
             words = Words([t for *_, t in part])
@@ -89,16 +106,19 @@ def _cut(reach: int):
                 continue
             first = unit_starts(words, reach)
             end = np.append(first[1:], len(words))
+            digest = span_keys(words.keys, first, end)
+            number = np.arange(len(first)) - np.searchsorted(words.text_of[first], words.text_of[first])
+            told = has_bits(known.value, digest)
+            first, end, digest, number = first[told], end[told], digest[told], number[told]
             text = words.text_of[first]
             # code points before each byte, counted from the start of the text
             points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
             base = points[words.text_at[text]]
-            number = np.arange(len(first)) - np.searchsorted(text, text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part[k][0] for k in text.tolist()], pa.int64()),
                  pa.array([part[k][1] for k in text.tolist()], pa.int64()),
                  pa.array(number, pa.int64()),
-                 pa.array(span_keys(words.keys, first, end).view(np.int64)),
+                 pa.array(digest.view(np.int64)),
                  pa.array(points[words.begin[first]] - base, pa.int64()),
                  pa.array(points[words.end[end - 1]] - base, pa.int64()),
                  pa.array(end - first, pa.int64()),
@@ -184,7 +204,12 @@ def repeated_passages(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
-    units = stored(rows.mapInArrow(_cut(reach), _UNITS_DDL), "text-units")
+    # digests alone tell which units occur again; the others are not looked at any further
+    digests = rows.select("text").mapInArrow(_digests(reach), "digest long").groupBy("digest")
+    again = stored(digests.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("digest").alias("key")), "repeated-digests")
+    bits = min(_FLAGS, max(BIT_TABLE, (4 * again.count()).bit_length()))
+    known = docs.sparkSession.sparkContext.broadcast(bit_table(again, bits))
+    units = stored(rows.mapInArrow(_cut(reach, known), _UNITS_DDL), "text-units")
     same = F.struct("id", "version", "unit")
     place = F.struct("id", "version", "unit", "begin", "before", "after")
     firsts = (
