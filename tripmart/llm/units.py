@@ -128,8 +128,11 @@ def _cut(reach: int, known):
     return run
 
 
-def _edges(reach: int):
-    """Words before and after units: per asked (unit, side) keys and offsets, outwards from the unit."""
+def _edges(reach: int, skip: int):
+    """Words before and after units: per asked (unit, side) keys and offsets, outwards from the unit.
+
+    The first ``skip`` words are left out, and those from the ``most``-th on.
+    """
     schema = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int64()), ("side", pa.int32()), ("words", _EDGES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,9 +151,9 @@ def _edges(reach: int):
                     unit, side, most = ask["unit"], ask["side"], ask["most"]
                     u = of[k] + unit
                     if side == 0:
-                        at = np.arange(first[u] - 1, max(words.first[k], first[u] - most) - 1, -1)
+                        at = np.arange(first[u] - 1 - skip, max(words.first[k], first[u] - most) - 1, -1)
                     else:
-                        at = np.arange(end[u], min(words.first[k] + words.counts[k], end[u] + most))
+                        at = np.arange(end[u] + skip, min(words.first[k] + words.counts[k], end[u] + most))
                     listed = zip(keys[at].tolist(), (points[words.begin[at]] - base[k]).tolist(), (points[words.end[at]] - base[k]).tolist(), strict=True)
                     out.append((doc, version, unit, side, [{"key": a, "begin": b, "end": c} for a, b, c in listed]))
             if out:
@@ -173,17 +176,64 @@ def _flagged(known):
 
 
 def _equal_words(own: str, other: str) -> Column:
-    """Words of ``own`` as far as their keys equal those of ``other``."""
-    own, other = F.coalesce(own, F.array().cast(_EDGE_LIST)), F.coalesce(other, F.array().cast(_EDGE_LIST))
+    """Words of ``own`` as far as their keys equal those in ``other``."""
+    own, other = F.col(own), F.col(other)
     most = F.least(F.size(own), F.size(other))
     differs = F.filter(
-        F.transform(F.slice(own, 1, most), lambda x, i: F.when(x["key"] != F.get(other, i)["key"], i)), lambda x: x.isNotNull())
+        F.transform(F.slice(own, 1, most), lambda x, i: F.when(x["key"] != F.get(other, i), i)), lambda x: x.isNotNull())
     return F.slice(own, 1, F.coalesce(F.get(differs, 0), most))
 
 
 _EDGE_LIST = "array<struct<key:bigint,begin:bigint,end:bigint>>"
 
 
+_PART = ["id", "version", "run", "part"]
+_LOOK = 16  # words next to a passage that are compared at first
+
+
+def _equal_ends(rows: DataFrame, parts: DataFrame, reach: int) -> DataFrame:
+    """(id, version, run, part, side0, side1): words next to a part that equal those next to its first copy.
+
+    A few words are fetched for every end; where all of them are equal, four times as many more, and so on.
+    """
+    of = lambda c, side: [F.col(c)[k].alias(f"_{k}") for k in ("id", "version", "unit")] + [F.col(f"most{side}").alias("most")]
+    ends = [parts.filter(f"most{side} > 0").select(*_PART, F.lit(side).alias("side"), F.col(own).alias("unit"), *of(other, side))
+            for side, own, other in ((0, "from", "first"), (1, "to", "final"))]
+    unit = ["id", "version", "unit"]
+    left, found, skip, step = stored(ends[0].union(ends[1]), "open-ends"), [], 0, _LOOK
+    columns = left.columns
+    while True:
+        upto = F.least("most", F.lit(skip + step)).alias("most")
+        both = left.select(*unit, "side", upto).union(left.select(*[f"_{k}" for k in unit], "side", upto))
+        asked = stored(
+            both.groupBy(*unit, "side").agg(F.max("most").alias("most"))
+            .groupBy("id", "version").agg(F.collect_list(F.struct("unit", "side", "most")).alias("asked")), "asked-edges")
+        known = rows.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
+        few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
+        edges = stored(
+            join_same(few, asked, ["id", "version"]).select("id", "version", "text", "asked").mapInArrow(
+                _edges(reach, skip), f"id long, version long, unit long, side int, words {_EDGE_LIST}"), "passage-edges")
+        # rows equal in id and text give the same words
+        if not edges.groupBy(*unit, "side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            edges = edges.dropDuplicates([*unit, "side"])
+        own = edges.withColumnRenamed("words", "_own")
+        other = edges.select(*[F.col(k).alias(f"_{k}") for k in unit], "side", F.transform("words", lambda w: w["key"]).alias("_keys"))
+        pairs = join_same(join_same(left, own, [*unit, "side"]), other, [*[f"_{k}" for k in unit], "side"])
+        room = F.least("most", F.lit(skip + step)) - skip
+        equal = F.slice(_equal_words("_own", "_keys"), F.lit(1), room)
+        compared = stored(pairs.select(*columns, equal.alias("words")).withColumn("whole", F.size("words") == step), "equal-words")
+        found.append(compared.select(*_PART, "side", F.lit(skip).alias("skip"), "words"))
+        left = compared.filter(F.col("whole") & (F.col("most") > skip + step)).select(*columns)
+        if left.isEmpty():
+            break
+        skip, step = skip + step, step * 4
+    words = found[0]
+    for more in found[1:]:
+        words = words.union(more)
+    side = lambda k: F.flatten(F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == k, F.struct("skip", "words")))), lambda x: x["words"]))
+    return words.groupBy(*_PART).agg(side(0).alias("side0"), side(1).alias("side1"))
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -210,16 +260,13 @@ def repeated_passages(
     bits = min(_FLAGS, max(BIT_TABLE, (4 * again.count()).bit_length()))
     known = docs.sparkSession.sparkContext.broadcast(bit_table(again, bits))
     units = stored(rows.mapInArrow(_cut(reach, known), _UNITS_DDL), "text-units")
-    same = F.struct("id", "version", "unit")
     place = F.struct("id", "version", "unit", "begin", "before", "after")
-    firsts = (
-        units.groupBy("digest").agg(F.min(place).alias("first"), F.max(same).alias("last"))
-        .filter((F.col("first.unit") != F.col("last.unit")) | (F.col("first.version") != F.col("last.version"))
-                | ~F.col("first.id").eqNullSafe(F.col("last.id"))).drop("last")
-    )
+    firsts = units.groupBy("digest").agg(F.min(place).alias("first"))
     later = (
         units.join(firsts, "digest").filter(place != F.col("first"))
-        .select("id", "version", "unit", "begin", "end", "n_words", "before", "after", "first").distinct()
+        .select("id", "version", "unit", "begin", "end", "n_words", "before", "after", "first")
+        # rows equal in id and text are one document; dealt as the windows below need them
+        .repartition("id", "version").dropDuplicates(["id", "version", "unit"])
     )
     document = Window.partitionBy("id", "version").orderBy("unit")
     back = F.lag(F.struct("unit", "first")).over(document)
@@ -257,31 +304,9 @@ def repeated_passages(
     parts = parts.withColumns({"most0": most(F.col("is_head"), F.coalesce(near_left, F.lit(False)), "back"),
                                "most1": most(F.col("next_begin").isNull(), F.coalesce(near_right, F.lit(False)), "ahead")})
     parts = stored(parts.withColumn("worth", worth).filter("worth").drop("worth", "back", "ahead", "before", "after"), "passage-parts")
-    asks = [parts.filter(f"most{side} > 0").select(
-                F.col(f"{of}id").alias("id"), F.col(f"{of}version").alias("version"), F.col(unit).alias("unit"),
-                F.lit(side).alias("side"), F.col(f"most{side}").alias("most"))
-            for of, unit, side in (("", "from", 0), ("first.", "first.unit", 0), ("", "to", 1), ("final.", "final.unit", 1))]
-    asked = stored(
-        asks[0].union(asks[1]).union(asks[2]).union(asks[3]).groupBy("id", "version", "unit", "side").agg(F.max("most").alias("most"))
-        .groupBy("id", "version").agg(F.collect_list(F.struct("unit", "side", "most")).alias("asked")), "asked-edges")
-    known = docs.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
-    few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
-    edges = stored(
-        join_same(few, asked, ["id", "version"])
-        .select("id", "version", "text", "asked").mapInArrow(
-            _edges(reach), f"id long, version long, unit long, side int, words {_EDGE_LIST}").distinct(),
-        "passage-edges")
-
-    for side, own, other in ((0, "from", "first"), (1, "to", "final")):
-        here = edges.filter(F.col("side") == side)
-        of = F.col(other)
-        parts = parts.withColumns({"_unit": F.col(own), "_id": of["id"], "_version": of["version"], "_first": of["unit"]})
-        parts = join_same(parts, here.select("id", "version", F.col("unit").alias("_unit"), F.col("words").alias("_own")),
-                          ["id", "version", "_unit"], "left")
-        parts = join_same(parts, here.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("unit").alias("_first"),
-                                             F.col("words").alias("_other")), ["_id", "_version", "_first"], "left")
-        parts = parts.withColumn(f"side{side}", _equal_words("_own", "_other"))
-        parts = parts.drop("_unit", "_id", "_version", "_first", "_own", "_other")
+    parts = join_same(parts, _equal_ends(rows, parts, reach), _PART, "left")
+    nothing = F.array().cast(_EDGE_LIST)
+    parts = parts.withColumns({side: F.coalesce(side, nothing) for side in ("side0", "side1")})
     # a part within the words that a part next to it and earlier kept goes on with belongs to that one
     prior = F.lag(F.struct("first", F.array_max(F.transform("side1", lambda w: w["end"])).alias("reach"))).over(ordered)
     after = F.lead(F.struct("first", F.array_min(F.transform("side0", lambda w: w["begin"])).alias("reach"))).over(ordered)
