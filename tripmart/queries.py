@@ -18,12 +18,13 @@ from tripmart.functions.calendar import calendar_attributes, minutes_between
 from tripmart.operators import aggregates as A
 from tripmart.operators import columns as C
 from tripmart.operators.dedupe import dedupe_by_key
-from tripmart.operators.lookups import keyset_difference, missing_keys, orphan_rows
+from tripmart.operators.lookups import keyset_difference, keyset_differences, missing_keys, orphan_rows
 from tripmart.plans import audit as R
 from tripmart.plans import bronze, dashboards as D, silver
 from tripmart.plans import checks as K
 from tripmart.sources import readers, writers
 from tripmart.sources.scope import in_months
+from tripmart.sources.tables import VersionedTable, month_partitions
 from tripmart.store import Layers
 
 Query = Callable[[Layers], DataFrame]
@@ -323,6 +324,46 @@ def sink_truncate_once_append(x: Layers) -> DataFrame:
     return run.read(path, S.WEATHER_RAW)
 
 
+@query
+def sink_months_in_one_commit(x: Layers) -> DataFrame:
+    """The last year is written again with other counts and the first month is emptied, in one step."""
+    by = S.PARTITIONS["mart_daily_demand"]
+    mart = x.table("mart_daily_demand").select("pickup_date", *by, "trip_count")
+    table = VersionedTable(x.spark, x.scratch("mart_daily_demand_versions"), by)
+    table.replace(mart)
+    found = mart.agg(F.min(F.struct(*by)).alias("first"), F.max(F.struct(*by)).alias("last")).first()
+    again = mart.filter(F.col("pickup_year") == found.last.pickup_year)
+    month = f"{found.first.pickup_year:04d}-{found.first.pickup_month:02d}"
+    table.replace_partitions(
+        again.withColumn("trip_count", F.col("trip_count") + 1000), month_partitions([month], by)
+    )
+    return table.read()
+
+
+@query
+def sink_batches_resumed(x: Layers) -> DataFrame:
+    """A loader that is started again passes over what its run has loaded; an earlier run's rows are gone."""
+    path = x.scratch("weather_batches")
+    raw = x.weather_raw().drop("source_file")
+    inside = x.scope.has_day(F.col("date"))
+    batches = {"inside": raw.filter(inside), "outside": raw.filter(~inside | F.col("date").isNull())}
+    writers.RunLoader(x.spark, run="earlier").load(raw, path, S.WEATHER_RAW, name="all")
+    writers.RunLoader(x.spark, run="load").load(batches["inside"], path, S.WEATHER_RAW, name="inside")
+    again = writers.RunLoader(x.spark, run="load")
+    for name, batch in batches.items():
+        again.load(batch, path, S.WEATHER_RAW, name=name)
+    return again.read(path, S.WEATHER_RAW)
+
+
+@query
+def sink_commit_row_counts(x: Layers) -> DataFrame:
+    """Rows by month as the commit of a stored table has them."""
+    by = S.PARTITIONS["silver_trips"]
+    table = VersionedTable(x.spark, x.scratch("silver_trips_versions"), by)
+    table.replace_partitions(x.table("silver_trips").select("trip_id", *by))
+    return table.row_counts().select("partition", "row_count")
+
+
 @query
 def conform_contract(x: Layers) -> DataFrame:
     text = bindings.as_text(_trips(x).drop("source_file"), S.TRIPS_RAW.names)
@@ -674,6 +715,19 @@ def keyset_diff_one_pass(x: Layers) -> DataFrame:
     )
 
 
+@query
+def keyset_diff_digests(x: Layers) -> DataFrame:
+    """As in one pass, but keys are exchanged only where the digests of a month's buckets differ."""
+    trips = x.table("silver_trips")
+    facts = {"fact_trips": x.table("fact_trips"), "fact_trips_faulty": _faulty_fact(x)}
+    return A.stacked(
+        [
+            keyset_differences(trips, fact, ["trip_id"], S.PARTITIONS["fact_trips"]).withColumn("dataset", F.lit(n))
+            for n, fact in facts.items()
+        ]
+    )
+
+
 @query
 def scalar_reconcile(x: Layers) -> DataFrame:
     trips = x.table("silver_trips")
@@ -891,6 +945,21 @@ def check_columns(x: Layers) -> DataFrame:
     return A.stacked(rows).drop("path")
 
 
+@query
+def check_columns_by_folder(x: Layers) -> DataFrame:
+    """The last month of a mart has a surplus column and one of another type; its folder is named."""
+    name = "mart_daily_demand"
+    by, contract = S.PARTITIONS[name], S.CONTRACTS[name]
+    table = VersionedTable(x.spark, x.scratch(f"{name}_odd_month"), by)
+    mart = x.table(name)
+    table.replace(mart)
+    last = mart.agg(F.max(F.struct(*by)).alias("m")).first().m
+    odd = mart.filter((F.col(by[0]) == last[0]) & (F.col(by[1]) == last[1]))
+    table.replace_partitions(odd.withColumn("trip_count", F.col("trip_count").cast("string")).withColumn("extra", F.lit(1)))
+    report = K.columns_match(x.spark, K.stored_schemas(x.spark, table.folders()), name, contract, by)
+    return report.withColumn("folder", F.substring_index("path", "/", -2)).drop("path")
+
+
 @query
 def check_rowcount_relation(x: Layers) -> DataFrame:
     """Trips may shrink anywhere; weather and zones must not on the way to bronze."""
