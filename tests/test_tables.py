@@ -273,8 +273,8 @@ def test_a_month_of_another_type_is_a_report_row(spark, tmp_path, raw):
 
 def test_files_of_two_types_in_one_folder_are_reported(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.createDataFrame([(1, "a")], "v int, s string").write.parquet(path)
-    spark.createDataFrame([("x", "a")], "v string, s string").write.mode("append").parquet(path)
+    spark.createDataFrame([(1, "a")], "v int, s string").coalesce(1).write.parquet(path)
+    spark.createDataFrame([("x", "a")], "v string, s string").coalesce(1).write.mode("append").parquet(path)
     found = checks.stored_columns(spark, path)
     assert found == {"v": "int|string", "s": "string"}
     row = checks.columns_match(spark, found, "t", S.Contract.of("v int\ns string")).first()
