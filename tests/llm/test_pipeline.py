@@ -83,3 +83,35 @@ def test_clean_documents_with_the_id_of_a_contaminated_one_stay(spark, tmp_path)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
     assert sorted(map(tuple, left), key=repr) == sorted((r for r in rows if item not in (r[1] or "")), key=repr)
+
+
+HELPERS = (
+    "id version row spans _spans _id _version version_of_text n_words kept base_failed p_good word_chars n_symbols n_dup_lines"
+    " n_repeat_words n_lines n_ended n_upper n_distinct _carried _text _code _vote_0 _rank first class_id n_links n_hit items source_size"
+    " size place carried taken target shard start amount n_whole n_part seq line_no words rank k key a b x.y"
+).split()
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_keep_columns_of_any_name(spark, tmp_path, corpus, empty):
+    rows, benchmark = corpus
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    more = [(*r, *[f"{h}-{r[0]}" for h in HELPERS]) for r in rows]
+    more += [(None, t, None, None, None, *HELPERS) for t in (None, rows[0][1])]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{h}` string" for h in HELPERS)
+    docs = spark.createDataFrame([] if empty else more, schema)
+    plain = docs.select(*names)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        wide, narrow = stage(spark, docs, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        assert wide.schema == docs.schema or [f.dataType for f in wide.schema] == [f.dataType for f in docs.schema]
+        assert wide.columns == docs.columns
+        wide.write.parquet(str(tmp_path / f"wide{number}"))
+        docs = spark.read.parquet(str(tmp_path / f"wide{number}"))
+        got = docs.collect()
+        assert sorted((tuple(r[n] for n in names) for r in got), key=repr) == sorted(map(tuple, narrow.collect()), key=repr), name
+        assert all(r[h] in (f"{h}-{r.doc_id}", h) for r in got for h in HELPERS)
+        assert bool(got) != empty
+        plain = docs.select(*names)
+    mixed = corpus_pipeline.source_mix(spark, docs, str(tmp_path)).collect()
+    assert len(mixed) == docs.count() and all(r.taken == r.n_whole * r.size + r.n_part for r in mixed)

@@ -31,6 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one, so that no name of theirs meets a helper column's."""
+    return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+
+
+def field(row: str, name: str) -> Column:
+    return F.col(row).getField(name)
+
+
 def sha256_of_list(values: Column) -> Column:
     """Lower-case hex of the values joined by commas."""
     return F.sha2(F.concat_ws(",", values), 256)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import join_same, numbered, stored
+from tripmart.llm.common import field, join_same, numbered, stored, whole_row
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -129,16 +129,18 @@ def repeated_runs(
 
 
 def delete_runs(docs: DataFrame, runs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines of ``runs`` taken out of the text; all columns and rows stay."""
-    spans = runs.groupBy(id_col, "version").agg(
-        F.array_sort(F.collect_list(F.struct("first_line", "last_line"))).alias("_spans"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("version_of_text", _text_key(text)).withColumn("_id", F.col(id_col))
-    spans = spans.select(F.col(id_col).alias("_id"), F.col("version").alias("version_of_text"), "_spans")
+    """``docs`` with the lines of ``runs`` taken out of the text; all columns and rows stay.
+
+    Columns may have any names. Null texts stay null; a text all of whose lines go is empty. Rows equal
+    in id and text lose the same lines, null ids being equal.
+    """
+    spans = runs.groupBy(F.col(id_col).alias("id"), "version").agg(
+        F.array_sort(F.collect_list(F.struct("first_line", "last_line"))).alias("spans"))
+    keyed = docs.select(
+        F.col(id_col).alias("id"), _text_key(F.coalesce(F.col(text_col), F.lit(""))), whole_row(docs).alias("row"))
+    text = field("row", text_col)
     left = F.filter(
-        F.split(text, "\n"), lambda x, i: ~F.exists("_spans", lambda s: (i >= s["first_line"]) & (i <= s["last_line"])))
-    return (
-        join_same(keyed, spans, ["_id", "version_of_text"], "left")
-        .withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")))
-        .select(*docs.columns)
-    )
+        F.split(text, "\n"), lambda x, i: ~F.exists("spans", lambda s: (i >= s["first_line"]) & (i <= s["last_line"])))
+    cut = F.when(F.col("spans").isNull(), text).otherwise(F.array_join(left, "\n"))
+    return join_same(keyed, spans, ["id", "version"], "left").select(
+        *[(cut if c == text_col else field("row", c)).alias(c) for c in docs.columns])

@@ -100,7 +100,8 @@ def mix_sources(
     """How many words of each document the mix takes, repeats counted.
 
     Returns per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target`` (of
-    the source), ``taken`` (0 to ``most`` times ``size``) and the columns ``carry``. A source has as
+    the source), ``taken`` (0 to ``most`` times ``size``) and the columns ``carry``. What is taken are
+    ``n_whole`` copies of the document and its first ``n_part`` words once more. A source has as
     many shards as it has ``shard_words``, so a large one is worked on by many tasks and a small one
     is not cut into shards below a block. Null and empty texts have size 0 and take 0; null is a source of its
     own. Rows with the same id lie in the same shard; equal rows may swap their amounts. The result
@@ -151,12 +152,11 @@ def mix_sources(
     start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     full = full.withColumn("start", start)
     rest = F.col("amount") % F.col("cell_size") - F.col("start")
-    taken = F.when(
-        F.col("size") > 0,
-        F.expr("amount div cell_size") * F.col("size") + F.greatest(F.lit(0), F.least("size", rest)),
-    ).otherwise(0)
+    n_whole = F.when(F.col("size") > 0, F.expr("amount div cell_size")).otherwise(0)
+    n_part = F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least("size", rest))).otherwise(0)
     return (
         join_same(full, plan, ["source", "shard"])
         .select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
-                taken.cast("long").alias("taken"), *[F.col(f"carried.{c}").alias(c) for c in carry])
+                (n_whole * F.col("size") + n_part).cast("long").alias("taken"), n_whole.cast("long").alias("n_whole"),
+                n_part.cast("long").alias("n_part"), *[F.col(f"carried.{c}").alias(c) for c in carry])
     )

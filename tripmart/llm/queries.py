@@ -120,7 +120,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    return mix_sources(table(spark, sf_dir, "documents")).drop("source", "n_whole", "n_part")
 
 
 @query
