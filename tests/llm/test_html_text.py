@@ -1,3 +1,8 @@
+import html
+import random
+import re
+import time
+
 from tripmart.llm.html_text import main_text, page_texts, smoothed, two_clusters
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x}</style><script>var t="</p>";</script></head><body>
@@ -69,3 +74,76 @@ def test_names_that_are_not_boilerplate():
             f"<section id='search-methods'><h3 class=header id=search>S</h3><p id=notice-1>{text}</p></section>"
             "<p class=share>Share it<p>Last.<div class='share-buttons'>Tell</div><div id=commentList>c</div><p class=ad>Buy</p></article>")
     assert main_text(page).split("\n") == ["T", "Related", text, "F", "S", text, "Last."]
+
+
+def test_adverts_and_comments_go_under_any_name():
+    text = block(2)
+    names = ("user-comments comment-body comment-thread commentlist ad-slot promo-card breadcrumb-trail ad_300x250 reader-comments"
+             " comments-area td-comment-list sidebarRight newsletter-optin").split()
+    for name in names:
+        for noise in (f"<section class='{name}'><p>{block(1, 'Noise')}</p></section>", f"<div class='x {name}'>{block(9, 'Noise')}</div>"):
+            assert main_text(f"<article><p>{text}</p>{noise}<p>End.</p></article>") == f"{text}\nEnd.", (name, noise)
+            assert main_text(f"<article><p>{text}</p><p>End.</p></article>{noise}") == f"{text}\nEnd.", (name, noise)
+            if "comment" in name:
+                assert main_text(f"<div class=content><p>{text}</p><p>End.</p></div>{noise}") == f"{text}\nEnd.", (name, noise)
+    for name in names[:8]:
+        assert main_text(f"<article><p>{text}</p><div id='{name}'><p>Noise</p></div><p>End.</p></article>") == f"{text}\nEnd.", name
+    for name in ("comments-on-the-text", "navigation-of-ships", "cookie-recipes", "advertising-in-print", "nocomment"):
+        page = f"<article><p>{text}</p><section id='{name}'><p>Stays.</p></section></article>"
+        assert main_text(page) == f"{text}\nStays.", name
+
+
+def test_time_is_linear():
+    for html, n in (("<div>a", 100_000), ("<p class=ad>a", 50_000), ("<div class=ad>a", 50_000), ("<header>a", 50_000)):
+        start = time.process_time()
+        main_text(html * n)
+        assert time.process_time() - start < 15, html
+    assert main_text("<article>" + "<div>" * 60_000 + "</span></p>" * 60_000 + "<p>x") == "x"
+
+
+def random_page(rng):
+    """(html, blocks of the article) built side by side."""
+    word = lambda: rng.choice(["alpha", "be", "gamma&amp;x", "d&eacute;lta", "x", "<b>bold</b>", "<i>it</i>"])
+    plain = lambda s: html.unescape(re.sub("<[^>]*>", "", s))
+    blocks = []
+
+    def text(n):
+        words = [word() for _ in range(rng.randint(1, n))]
+        blocks.append(plain(" ".join(words)))
+        return rng.choice([" ", "  ", "\n"]).join(words)
+
+    noise = lambda: rng.choice([
+        "", "", "<nav><ul><li><a href=/x>home</a></li></ul></nav>", "<div class='ad-slot'>buy <p>now</p></div>", "<script>var a='<p>';</script>",
+        "<aside><p>related</p></aside>", "<form><label>mail</label><input></form>", "<div class='share-buttons'><a>t</a></div>",
+        "<!-- <p>no</p> -->", "<section class='reader-comments'><article><p>I say</p></article></section>", "<p class=advert>Buy"])
+
+    def inside(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.randrange(6 if depth else 3)
+            if kind == 0:
+                out.append(f"<p>{text(40)}</p>")
+            elif kind == 1:
+                out.append(f"<h2 id='search-ads'>{text(4)}</h2>")
+            elif kind == 2:
+                out.append("<ul>" + "".join(f"<li>{text(8)}" for _ in range(rng.randint(1, 3))) + "</ul>")
+            elif kind == 3:
+                out.append(f"<div class='no-comments'>{inside(depth - 1)}</div>")
+            elif kind == 4:
+                out.append(f"<section>{inside(depth - 1)}</section>")
+            else:
+                out.append(f"<table><tr><td>{text(6)}<td>{text(6)}</table>")
+            out.append(noise())
+        return "".join(out)
+
+    title = text(5)
+    body = f"<article><header><h1>{title}</h1><span>by x</span></header>{inside(3)}</article>"
+    page = f"<html><head><title>t</title></head><body><header>Site</header>{noise()}{body}{noise()}<footer>f</footer></body></html>"
+    return page, blocks
+
+
+def test_random_pages_equal_what_they_were_built_from():
+    rng = random.Random(9)
+    for _ in range(400):
+        page, blocks = random_page(rng)
+        assert main_text(page) == "\n".join(blocks), page

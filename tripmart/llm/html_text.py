@@ -1,17 +1,23 @@
 """Main text of web pages.
 
-The standard library's parser streams tags and text; a line is the text of one block. Lines within
-navigation, notices, adverts, forms and the like are set aside by the elements around them. The
-ratio of text to tags per line, smoothed by a Gaussian over neighbouring lines and split in two
-clusters, tells which lines carry content. All articles are kept whole; without any, the lowest
-element around all content lines is, but for lists of links before and after them that stand apart.
+The standard library's parser streams tags and text; a line is the text of one block. The ratio of text
+to tags per line, shifted by evidence (within an article: up, mostly links: down), smoothed by a Gaussian
+over neighbouring lines and split in two clusters, tells which lines carry content, on every page. Lines
+within navigation, notices, adverts, comments, forms and the like are set aside by the elements around
+them, unless most of the content is there. Content regions are the articles that hold content, if most of
+the content is theirs; otherwise the lowest element around all content lines, but for lists of links
+before and after them that stand apart. All else within a region stays.
+
+Elements are numbered in page order and know their parent; what lies within an element is summed from the
+last to the first, so the time is linear in the page, however deeply it is nested.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -37,31 +43,47 @@ NEVER_CONTENT = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NOISE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies"
-    " consent notice notices newsletter subscribe subscription paywall popup modal overlay menu menubar nav"
-    " navbar navigation breadcrumb breadcrumbs sidebar sidebars footer header masthead comment comments"
-    " disqus respond share sharing social related recommended widget toolbar pagination pager login signup"
+# Words that name boilerplate wherever they stand in a class, and those that do next to known words only.
+COMMENT_WORDS = frozenset("comment comments commentlist commentbox commentform commenter disqus replies reply respond".split())
+PLAIN_NOISE = COMMENT_WORDS | frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsored promo paywall popup newsletter navbar"
+    " menubar breadcrumb breadcrumbs sidebar sidebars pagination".split()
+)
+NOISE_WORDS = PLAIN_NOISE | frozenset(
+    "sponsor promotion banner cookie cookies consent notice notices subscribe subscription modal overlay menu nav"
+    " navigation footer header masthead share sharing social related recommended widget toolbar pager login signup"
     " search".split()
 )
-# Parts that leave the meaning of a noise word as it is, and noise words that are the title's or the
-# text's own next to the last ones.
+# Parts that leave the meaning of a noise word as it is, parts that turn it, and noise words that are the
+# title's or the text's own next to the last ones.
 MODIFIERS = frozenset(
     "site global main top bottom left right primary secondary wrapper wrap container box bar list links link"
-    " item items button buttons icons block area inner outer form".split()
+    " item items button buttons icons block area inner outer form user reader body thread slot unit card trail"
+    " space text author x".split()
 )
+TURNING = frozenset("no not non without with has hide hidden free".split())
 OF_CONTENT = frozenset("post posts entry article articles page section content".split())
 OWN_PARTS = frozenset("header footer masthead banner notice notices search menu".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 
+SHIFT = 4  # by which evidence raises or lowers a line's ratio
+COMMENTS_RATIO = 20  # an element of reader comments this many times larger than all plain text is not believed
+
 _BLANK = re.compile(r"\s+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CUT_OFF = re.compile(r"<!--(?!.*-->).*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)
 
 
-def names_noise(token: str) -> bool:
-    """Whether a whole class or id names boilerplate: ``cookie-notice``, not ``no-comments`` or ``post-header``."""
+def names_noise(token: str, is_class: bool = False) -> bool:
+    """Whether a whole class or id names boilerplate: ``cookie-notice``, not ``no-comments`` or ``post-header``.
+
+    In a class one plain noise word is enough; an id may be the slug of a heading, so all of it must be known.
+    """
     parts = {x.lower() for x in _PART.findall(token)}
+    if parts & TURNING:
+        return False
+    if is_class and parts & PLAIN_NOISE:
+        return True
     found = parts & NOISE_WORDS
     if parts & OF_CONTENT:
         found -= OWN_PARTS
@@ -69,41 +91,53 @@ def names_noise(token: str) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, enclosing containers from outside in), and what they consist of.
+    """Lines of a page, each with its text, tags and innermost element, and the elements with their parents.
 
-    Lines within elements of ``named`` (set aside by their class, id or role) are there as well.
+    Elements are those that may hold blocks, numbered in page order; -1 is none. Lines within elements of
+    ``named`` (set aside by their class, id or role) are there as well, those within ``NEVER_CONTENT`` not.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.kinds: dict[int, str] = {}
-        self.named: set[int] = set()
+        self.lines: list[tuple[str, int, int]] = []  # text, tags, element
         self.links: list[bool] = []  # mostly text of links
         self.headings: list[str] = []  # h1 .. h6 or nothing
+        self.kinds: list[str] = []
+        self.parents: list[int] = []
+        self.named: dict[int, bool] = {}  # elements set aside by name: for reader comments?
         self._link = 0
         self._link_chars = 0
         self._level = ""
         self._stack: list[tuple[str, int, bool]] = []  # tag, number, set aside
+        self._open: Counter[str] = Counter()  # tags on the stack
         self._aside = 0
         self._heading = 0
         self._text: list[str] = []
         self._tags = 0
 
+    def _pop(self) -> str:
+        tag, _, noise = self._stack.pop()
+        self._open[tag] -= 1
+        self._aside -= noise
+        return tag
+
     def _flush(self) -> None:
         text = _BLANK.sub(" ", "".join(self._text)).strip()
         self._text.clear()
         if text:
-            self.lines.append((text, max(1, self._tags), tuple(n for _, n, _ in self._stack)))
+            self.lines.append((text, max(1, self._tags), self._stack[-1][1] if self._stack else -1))
             self.links.append(2 * self._link_chars > len(text))
             self.headings.append(self._level)
             self._tags = 0
         self._link_chars, self._level = 0, ""
 
+    def _in_article(self) -> bool:
+        return self._open["article"] > 0 or self._open["main"] > 0
+
     def _is_noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER_CONTENT:
             return True
-        inside = any(t in ("article", "main") for t, _, _ in self._stack)
+        inside = self._in_article()
         if tag == "header":
             return not inside
         if tag in ("html", "body", "article", "main") and not (tag == "article" and inside):
@@ -115,26 +149,24 @@ class _Lines(HTMLParser):
                 return True
         return False
 
-    @staticmethod
-    def _is_named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        """Set aside by role, class or id; ids of headings and paragraphs are often slugs of their text."""
-        if tag in ("html", "body", "article", "main"):
-            return False
+    def _names(self, tag: str, attrs: list[tuple[str, str | None]]) -> list[str]:
+        """What sets an element aside by name; ids of headings and paragraphs are often slugs of their text."""
+        if tag in ("html", "body", "main") or (tag == "article" and not self._in_article()):
+            return []
+        found = []
         for name, value in attrs:
-            if name == "role" and value and value.lower() in NOISE_ROLES:
-                return True
-            if tag in HEADINGS or (name == "id" and tag not in CONTAINERS):
-                continue
-            if name in ("class", "id") and value and any(map(names_noise, value.split())):
-                return True
-        return False
+            if name == "role" and value and value.lower() in NOISE_ROLES and tag != "article":
+                found.append(value)
+            elif name in ("class", "id") and value and tag not in HEADINGS and (name == "class" or tag in CONTAINERS):
+                found += [x for x in value.split() if names_noise(x, name == "class")]
+        return found
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._flush()
             # a paragraph or item left open ends with the next
             if self._stack and self._stack[-1][0] in ("p", "li", "dt", "dd") and self._stack[-1][0] in ("p", tag):
-                self._aside -= self._stack.pop()[2]
+                self._pop()
         elif tag in ("br", "wbr"):
             self._text.append(" " if tag == "br" else "")
         self._tags += 1
@@ -142,15 +174,15 @@ class _Lines(HTMLParser):
             self._heading += 1
         self._link += tag == "a"
         noise = tag not in VOID and (tag in BLOCKS or tag in CONTAINERS) and self._is_noise(tag, attrs)
-        named = tag not in VOID and tag in BLOCKS and bool(attrs) and not noise and self._is_named(tag, attrs)
-        if tag == "article" and any(t in ("article", "main") for t, _, _ in self._stack):
-            named = named or any(k in ("class", "id") and v and any(map(names_noise, v.split())) for k, v in attrs)
-        if tag in CONTAINERS or noise or named:
+        names = self._names(tag, attrs) if attrs and not noise and tag in BLOCKS else []
+        if tag in CONTAINERS or noise or names:
             number = len(self.kinds)
-            if named:
-                self.named.add(number)
-            self.kinds[number] = tag
+            if names:
+                self.named[number] = any(x.lower() in COMMENT_WORDS for n in names for x in _PART.findall(n))
+            self.kinds.append(tag)
+            self.parents.append(self._stack[-1][1] if self._stack else -1)
             self._stack.append((tag, number, noise))
+            self._open[tag] += 1
             self._aside += noise
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -169,16 +201,12 @@ class _Lines(HTMLParser):
         if tag in HEADINGS:
             self._heading = max(0, self._heading - 1)
         # an element left open ends with the one around it
-        for k in range(len(self._stack) - 1, -1, -1):
-            if self._stack[k][0] == tag:
-                self._aside -= sum(noise for _, _, noise in self._stack[k:])
-                del self._stack[k:]
-                break
+        if self._open[tag]:
+            while self._pop() != tag:
+                pass
 
     def handle_data(self, data: str) -> None:
-        if self._aside:
-            return
-        if not self._heading and any(t == "header" for t, _, _ in self._stack):
+        if self._aside or (not self._heading and self._open["header"]):
             return
         self._text.append(data)
         if self._link:
@@ -218,26 +246,63 @@ def two_clusters(values: list[float]) -> float:
     return cut
 
 
-def dense_lines(page: _Lines, at: list[int]) -> list[bool]:
-    """Which of the lines ``at`` are in the upper cluster of smoothed text per tag, or would be alone."""
-    own = [len(page.lines[k][0]) / page.lines[k][1] for k in at]
+def within(page: _Lines, chosen: Iterable[int]) -> list[bool]:
+    """For every element (the last entry: for none) whether it is one of the chosen or lies in one."""
+    inside = [False] * (len(page.kinds) + 1)
+    for n in chosen:
+        inside[n] = True
+    for n, parent in enumerate(page.parents):
+        inside[n] = inside[n] or inside[parent]
+    return inside
+
+
+def held(page: _Lines, amounts: dict[int, int]) -> list[int]:
+    """For every element the sum of the lines' amounts in it."""
+    total = [0] * (len(page.kinds) + 1)
+    for k, amount in amounts.items():
+        total[page.lines[k][2]] += amount
+    for n in range(len(page.kinds) - 1, -1, -1):
+        if page.parents[n] >= 0:
+            total[page.parents[n]] += total[n]
+    return total
+
+
+def dense_lines(page: _Lines, at: list[int]) -> list[int]:
+    """Those of the lines ``at`` in the upper cluster of smoothed text per tag, or that would be alone."""
+    inside = within(page, [n for n, kind in enumerate(page.kinds) if kind in ("article", "main")])
+    own = []
+    for k in at:
+        text, tags, element = page.lines[k]
+        own.append(len(text) / tags * (SHIFT if inside[element] else 1) / (SHIFT if page.links[k] else 1))
     ratio = smoothed(own)
     cut = two_clusters(ratio)
-    return [max(pair) >= cut for pair in zip(own, ratio, strict=True)]
+    return [k for k, *pair in zip(at, own, ratio, strict=True) if max(pair) >= cut]
 
 
 def not_aside(page: _Lines) -> list[int]:
-    """Lines in no element set aside by name; one that holds most of the page's text is not set aside."""
+    """Lines in no element set aside by name.
+
+    One that holds most of the page's text is not set aside, unless content in an article stands outside
+    all such elements (for reader comments: plain lines of a ``COMMENTS_RATIO``-th of its own text).
+    """
     every = list(range(len(page.lines)))
-    dense = dense_lines(page, every)
-    size = [len(text) for text, _, _ in page.lines]
-    total, most = sum(size), sum(n for n, d in zip(size, dense, strict=True) if d)
-    aside = set()
-    for number in page.named:
-        inside = [k for k in every if number in page.lines[k][2]]
-        if 2 * sum(size[k] for k in inside) <= total or 2 * sum(size[k] for k in inside if dense[k]) <= most:
-            aside.add(number)
-    return [k for k in every if aside.isdisjoint(page.lines[k][2])]
+    if not page.named:
+        return every
+    size = {k: len(page.lines[k][0]) for k in every}
+    dense = {k: size[k] for k in dense_lines(page, every)}
+    in_named = within(page, page.named)
+    in_article = within(page, [n for n, kind in enumerate(page.kinds) if kind in ("article", "main")])
+    plain = [k for k in every if not (in_named[page.lines[k][2]] or page.headings[k] or page.links[k])]
+    article = any(k in dense and in_article[page.lines[k][2]] for k in plain)
+    other, total, total_dense = sum(size[k] for k in plain), sum(size.values()), sum(dense.values())
+    most, most_dense = held(page, size), held(page, dense)
+    aside = [
+        n for n, comments in page.named.items()
+        if article or (comments and COMMENTS_RATIO * other >= most[n])
+        or 2 * most[n] <= total or 2 * most_dense[n] <= total_dense
+    ]
+    gone = within(page, aside)
+    return [k for k in every if not gone[page.lines[k][2]]]
 
 
 def with_title(page: _Lines, at: list[int], kept: list[int]) -> list[int]:
@@ -247,30 +312,27 @@ def with_title(page: _Lines, at: list[int], kept: list[int]) -> list[int]:
     return [k for k in at if k < kept[0] and page.headings[k] == "h1"][-1:] + kept
 
 
-def main_text(html: str | None) -> str:
-    """Blocks of the article, one per line; empty if there is no text."""
-    page = _Lines()
-    page.feed(html or "")
-    page.finish()
-    at = not_aside(page) if page.lines else []
-    if not at:
-        return ""
-    dense = [k for k, d in zip(at, dense_lines(page, at), strict=True) if d]
-    size = lambda lines: sum(len(page.lines[k][0]) for k in lines)
-    for kind in ("article", "main"):
-        kept = [k for k in at if any(page.kinds[n] == kind for n in page.lines[k][2])]
-        if kept and 2 * size(kept) >= size(dense):
-            return "\n".join(page.lines[k][0] for k in with_title(page, at, kept))
+def article_lines(page: _Lines, at: list[int], dense: list[int], kind: str) -> list[int]:
+    """Lines of the elements of a kind, but for those that are links without content."""
+    here = [n for n, k in enumerate(page.kinds) if k == kind]
+    content = held(page, dict.fromkeys(dense, 1))
+    own = held(page, {k: 1 for k in at if not page.links[k]})
+    inside = within(page, [n for n in here if content[n] or own[n]])
+    return [k for k in at if inside[page.lines[k][2]]]
+
+
+def around_content(page: _Lines, at: list[int], dense: list[int]) -> list[int]:
+    """Lines from the first content line to the last, of elements with content, and next to them up to a link."""
     dense = [k for k in dense if not page.links[k]] or dense
     first, last = dense[0], dense[-1]
-    around = list(page.lines[first][2])
-    for k in dense:
-        around = [n for n in around if n in page.lines[k][2]]
-    whole = set(around)
-    held = {n for k in dense for n in page.lines[k][2] if n not in whole}  # elements with content, not all of it
-    if around and page.kinds[around[-1]] not in ("html", "body") and any(page.lines[k][2][-1] == around[-1] for k in dense):
-        held.add(around[-1])
-    keep = {k for k in at if first <= k <= last or not held.isdisjoint(page.lines[k][2])}
+    content = held(page, dict.fromkeys(dense, 1))
+    regions = [n for n in range(len(page.kinds)) if 0 < content[n] < len(dense)]
+    # the lowest element around all content is a region, too, if content stands in it directly
+    lowest = max((n for n in range(len(page.kinds)) if content[n] == len(dense)), default=-1)
+    if lowest >= 0 and page.kinds[lowest] not in ("html", "body") and any(page.lines[k][2] == lowest for k in dense):
+        regions.append(lowest)
+    inside = within(page, regions)
+    keep = {k for k in at if first <= k <= last or inside[page.lines[k][2]]}
     # short lines next to the content, up to a link; links below a heading are the text's own
     for way in ([k for k in reversed(at) if k < first], [k for k in at if k > last]):
         below = False
@@ -280,7 +342,26 @@ def main_text(html: str | None) -> str:
                     break
                 keep.add(k)
             below = k > last and (bool(page.headings[k]) or (below and page.links[k]))
-    return "\n".join(page.lines[k][0] for k in with_title(page, at, [k for k in at if k in keep]))
+    return [k for k in at if k in keep]
+
+
+def main_text(html: str | None) -> str:
+    """Blocks of the article, one per line; empty if there is no text."""
+    page = _Lines()
+    page.feed(html or "")
+    page.finish()
+    at = not_aside(page)
+    if not at:
+        return ""
+    dense = dense_lines(page, at)
+    size = lambda lines: sum(len(page.lines[k][0]) for k in lines)
+    for kind in ("article", "main"):
+        kept = article_lines(page, at, dense, kind)
+        if kept and 2 * size(kept) >= size(dense):
+            break
+    else:
+        kept = around_content(page, at, dense)
+    return "\n".join(page.lines[k][0] for k in with_title(page, at, kept))
 
 
 _OUT = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
