@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import aggregates as A
 from tripmart.operators import lookups as L
-from tripmart.operators.dedupe import dedupe_by_key
+from tripmart.operators.dedupe import dedupe_by_key, dedupe_few_copies
 
 
 def test_dedupe_keeps_the_same_row_whatever_the_order(spark, rows):
@@ -29,6 +29,48 @@ def test_hot_key_is_reduced_before_the_exchange(spark):
     assert "Partial" in plan[exchange:] and "Final" in plan[:exchange]
 
 
+def test_few_copies_give_the_same_rows(spark, rows, tmp_path):
+    data = [("a", 3, "z"), ("a", 1, "y"), ("a", None, "x"), ("b", 2, "w"), (None, 1, "v"), (None, 0, "u")]
+    data += [(f"k{i}", i, "t") for i in range(500)]
+    df = spark.createDataFrame(data, "k string, n int, t string").repartition(3)
+    want = rows(dedupe_by_key(df, ["k"]))
+    for bound in (1_000_000, 1):
+        assert rows(dedupe_few_copies(df, ["k"], bound=bound)) == want
+    assert rows(dedupe_few_copies(df, ["k"], ["t", "n"])) == rows(dedupe_by_key(df, ["k"], ["t", "n"]))
+    assert rows(dedupe_few_copies(df.filter("n > 10"), ["k", "t"])) == rows(df.filter("n > 10"))
+    assert dedupe_few_copies(df.limit(0), ["k"]).collect() == []
+
+
+def test_few_copies_alone_are_shuffled(spark, tmp_path):
+    wide = spark.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") - 1).otherwise(F.col("id")).alias("k"),
+        F.md5(F.col("id").cast("string")).alias("v"))
+    wide.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+
+    def shuffled(df):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        nodes, sizes = [df._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            kind = node.nodeName()
+            if kind == "AdaptiveSparkPlan":
+                nodes.append(node.executedPlan())
+            elif kind.endswith("QueryStage"):
+                nodes.append(node.plan())
+            else:
+                if kind == "Exchange":
+                    sizes += node.metrics().apply("shuffleRecordsWritten").value()
+                children = node.children()
+                nodes += [children.apply(i) for i in range(children.size())]
+        return sizes
+
+    few, every = dedupe_few_copies(stored, ["k"]), dedupe_by_key(stored, ["k"])
+    assert few.count() == every.count() == 20000 - 199
+    assert shuffled(every) >= 19000 and shuffled(few) <= 400
+
+
 def test_left_lookup_keeps_rows_and_renames(spark, rows):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     table = spark.createDataFrame([(1, "one"), (3, "three")], "id int, v string")

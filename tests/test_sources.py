@@ -104,6 +104,15 @@ def test_header_of_a_file_read_in_many_splits(spark, tmp_path):
     assert got == {"big.csv": (True, 5001), "bad.csv": (False, 5000)}
 
 
+def test_headers_take_one_read_of_each_file(spark, tmp_path):
+    for k in range(3):
+        write(tmp_path / f"p={k}" / f"odd name {k}.csv", "a,b", "1,2", " \t", "3,4")
+    report = readers.header_report(spark, str(tmp_path), ["a", "b"], pattern="*.csv")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and plan.count("FileScan") == 1
+    assert sorted((r.header_ok, r.data_rows) for r in report.collect()) == [(True, 2)] * 3
+
+
 def test_monthly_source(spark):
     source = spark.createDataFrame(
         [(1, dt.datetime(2023, 1, 1, 8, 0, 0, 700000), "bad", 1.0, "2.5", 1.0, "N", 10, 20, None,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.operators.aggregates import stacked
+from tripmart.operators.dedupe import dedupe_few_copies
 from tripmart.plans import bronze, checks, gold, marts, silver
 from tripmart.sources.scope import Scope, in_months, month_list
 from tripmart.sources.tables import VersionedTable, month_partitions
@@ -136,7 +137,9 @@ class Warehouse:
 
     def to_silver(self) -> None:
         trips = self._in_months(self.read("bronze_trips"))
-        self._save("silver_trips", silver.silver_trips(trips, self.scope))
+        self._save(
+            "silver_trips", silver.silver_trips(trips, self.scope, unique_rows=dedupe_few_copies)
+        )
         self._save("silver_weather", silver.silver_weather(self.read("bronze_weather")))
         self._save("silver_zones", silver.silver_zones(self.read("bronze_zones")))
 

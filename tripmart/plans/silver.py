@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,17 +77,23 @@ def clean_trips(bronze: DataFrame, scope: Scope | None) -> DataFrame:
     return trips.withColumn("trip_id", surrogate_key(S.TRIP_KEY))
 
 
-def silver_trips(bronze: DataFrame, scope: Scope | None = None, lineage: bool = True) -> DataFrame:
+def silver_trips(
+    bronze: DataFrame,
+    scope: Scope | None = None,
+    lineage: bool = True,
+    unique_rows: Callable[..., DataFrame] = dedupe_by_key,
+) -> DataFrame:
     """One row per trip key.
 
     This is the one place where whole trip rows are shuffled.  ``lineage=False`` leaves out the
-    file path and load time, which plans that go straight on to the fact do not need.
+    file path and load time, which plans that go straight on to the fact do not need.  From a stored
+    ``bronze`` with few copies ``unique_rows=dedupe_few_copies`` shuffles the copies only.
     """
     extra = ["source_file"] if lineage else []
     trips = clean_trips(bronze, scope)
     if not lineage:
         trips = trips.drop(*LINEAGE)
-    unique = dedupe_by_key(trips, ["trip_id"], [*TIE_BREAK, *extra])
+    unique = unique_rows(trips, ["trip_id"], [*TIE_BREAK, *extra])
     names = [n for n in S.SILVER_TRIPS.names if lineage or n not in LINEAGE]
     return unique.withColumn("silver_loaded_at", F.current_timestamp()).select(*names)
 

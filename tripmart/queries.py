@@ -17,7 +17,7 @@ from tripmart.functions import keys, parsing
 from tripmart.functions.calendar import calendar_attributes, minutes_between
 from tripmart.operators import aggregates as A
 from tripmart.operators import columns as C
-from tripmart.operators.dedupe import dedupe_by_key
+from tripmart.operators.dedupe import dedupe_by_key, dedupe_few_copies
 from tripmart.operators.lookups import keyset_difference, keyset_differences, missing_keys, orphan_rows
 from tripmart.plans import audit as R
 from tripmart.plans import bronze, dashboards as D, silver
@@ -787,6 +787,14 @@ def dedupe(x: Layers) -> DataFrame:
 _REGISTRY["dedupe_by_key"] = _REGISTRY.pop("dedupe")
 
 
+@query
+def silver_trips_few_copies(x: Layers) -> DataFrame:
+    """Silver trips, of which only rows with repeated keys are shuffled."""
+    return comparable_rows(
+        silver.silver_trips(_bronze(x), x.scope, lineage=False, unique_rows=dedupe_few_copies)
+    )
+
+
 @query
 def having_duplicates(x: Layers) -> DataFrame:
     """Trip keys that occur more than once before deduplication."""

@@ -165,7 +165,8 @@ def header_report(
 ) -> DataFrame:
     """Per file: does its header equal ``expected`` in order, and how many records follow.
 
-    Header and records are read as CSV, with quoting, and blank lines are no records.  Files are
+    Header and records are those of a CSV reader with one record a line: cells may be quoted, blank
+    lines are no records.  Every file is read once, by all tasks that have a split of it, and
     reduced on the cluster, so none is gathered into one task.  An empty file has neither.
     """
     paths = paths if isinstance(paths, str) else list(paths)
@@ -174,17 +175,15 @@ def header_report(
         found = spark.read.format(kind)
         if pattern:
             found = found.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-        return found
+        return found.load(paths)
 
-    text = reader("text").load(paths)
-    # the listing knows empty files too, which no scan opens
+    text = reader("text")
+    # the listing that Spark plans the read by knows empty files too, which no scan opens
     listed = spark.createDataFrame([(path,) for path in text.inputFiles()], "path string")
     same = lambda path: F.regexp_replace(path, "^file:/+", "file:///").alias("source_file")
     files = listed.select(same("path"))
     lines = text.select(
-        same("_metadata.file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("value"),
+        same("_metadata.file_path"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
     # one column more than expected tells a longer header
     schema = ", ".join(f"c{i} string" for i in range(len(expected) + 1))
@@ -198,19 +197,17 @@ def header_report(
     # read order and verdict in one number: the smallest belongs to the first line, and a
     # number (unlike a struct) keeps this a hash aggregate
     verdict = F.monotonically_increasing_id() * 2 + F.when(is_header, 0).otherwise(1)
-    headers = (
+    counted = (
         lines.withColumn("verdict", F.when(F.col("block") == 0, verdict))
         .groupBy("source_file")
-        .agg(F.min("verdict").alias("verdict"))
+        .agg(
+            F.min("verdict").alias("verdict"),
+            # the reader trims all characters up to the blank, and takes the first line for the header
+            F.count_if(F.col("value").rlike(r"[^\x00-\x20]")).alias("filled"),
+        )
     )
-    records = (
-        reader("csv").schema(schema).option("header", True).option("sep", sep)
-        .option("enforceSchema", True).load(paths)
-        .groupBy(same("_metadata.file_path"))
-        .agg(F.count("*").alias("data_rows"))
-    )
-    report = files.join(headers, "source_file", "left").join(records, "source_file", "left")
-    rows = F.coalesce("data_rows", F.lit(0))
+    report = files.join(counted, "source_file", "left")
+    rows = F.greatest(F.coalesce("filled", F.lit(0)) - 1, F.lit(0)).cast("long")
     return report.select(
         "source_file",
         F.coalesce(F.col("verdict") % 2 == 0, F.lit(False)).alias("header_ok"),
