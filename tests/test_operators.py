@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tripmart.operators import aggregates as A
 from tripmart.operators import lookups as L
 from tripmart.operators.dedupe import dedupe_by_key, dedupe_few_copies
+from tripmart.plans.checks import money_differs
 
 
 def test_dedupe_keeps_the_same_row_whatever_the_order(spark, rows):
@@ -237,3 +238,33 @@ def test_equal_tables_exchange_no_keys(spark, tmp_path):
     assert exchanged_rows(L.keyset_differences(left, right, ["k"], buckets=32)) < 2_000
     # a single deviation exchanges one bucket in 32 of either side
     assert exchanged_rows(L.keyset_differences(left, right.filter("k NOT LIKE '0000%'"), ["k"], buckets=4096)) < 2_000 * 50
+
+
+def test_money_adds_up_to_the_cent(spark):
+    cents = F.expr("id % 9973 * 7 - 31000")
+    df = spark.range(1_000_000).select((F.col("id") % 3).alias("k"), cents.alias("cents"), (cents / 100).alias("money"))
+    exact = {r.k: r.c / 100 for r in df.groupBy("k").agg(F.sum("cents").alias("c")).collect()}
+    for parts in (1, 7):
+        dealt = df.repartition(parts, F.rand(parts))
+        assert {r.k: r.m for r in dealt.groupBy("k").agg(A.money_sum("money").alias("m")).collect()} == exact
+
+
+def test_money_beyond_the_limit_and_no_numbers(spark):
+    def total(*amounts):
+        df = spark.createDataFrame([(a,) for a in amounts], "m double")
+        return df.agg(A.money_sum("m")).first()[0]
+
+    assert total() is None and total(None, None) is None
+    assert total(0.1, None, 0.2) == 0.3 and total(-0.0) == 0.0
+    assert total(1e300, 1.0, -1e300) == 1.0
+    assert total(float("inf"), 1.0) == float("inf") and str(total(float("nan"), 1.0)) == "nan"
+
+
+def test_many_rows_of_cents_show_a_cent_too_much(spark):
+    n = 10**8  # with 10**9 it takes a minute
+    fares = spark.range(0, n, 1, 8).select((F.expr("id % 10000") / 100).alias("m"))
+    more = fares.union(spark.range(1).select(F.lit(0.01)))
+    whole, off = (df.agg(A.money_sum("m").alias("m")).first().m for df in (fares, more))
+    assert whole == n // 10000 * sum(range(10000)) / 100
+    sides = spark.createDataFrame([(whole, whole), (whole, off)], "a double, b double")
+    assert [r.d for r in sides.select(money_differs(F.col("a"), F.col("b")).alias("d")).collect()] == [False, True]

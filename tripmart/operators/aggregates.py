@@ -9,8 +9,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Money is added up in whole ten-thousandths, apart from amounts beyond the limit and what is no number.
+MONEY_UNITS = 10_000
+MONEY_LIMIT = 1e11
+
+
+def money_units(column: str) -> Column:
+    """Sum of an amount in whole ten-thousandths as a bigint; overflow is an error, not a wrong sum."""
+    amount = F.col(column)
+    whole = F.rint(amount * MONEY_UNITS).cast("bigint")
+    return F.sum(F.when(F.abs(amount) < MONEY_LIMIT, whole))
+
+
+def money_rest(column: str) -> Column:
+    """Sum of the amounts that ``money_units`` leaves out; null where there are none, as there should be."""
+    amount = F.col(column)
+    return F.sum(F.when(~(F.abs(amount) < MONEY_LIMIT), amount))
+
+
+def money_of(units: Column, rest: Column) -> Column:
+    """The amount as a double again, null if there was none."""
+    exact = units / F.lit(float(MONEY_UNITS))
+    return F.coalesce(exact + rest, exact, rest)
+
+
+def money_sum(column: str) -> Column:
+    """Sum of amounts, the same to the last bit in whatever order and partitions they are added.
+
+    Each amount counts to a ten-thousandth; a sum of doubles drifts with the number of rows.
+    """
+    return money_of(money_units(column), money_rest(column))
+
+
 def total_or_zero(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0.0))
+    return F.coalesce(money_sum(column), F.lit(0.0))
 
 
 def profile(df: DataFrame, conditions: Mapping[str, Column], **others: Column) -> DataFrame:

@@ -18,6 +18,7 @@ from tripmart.operators.aggregates import (
     duplicate_group_count,
     duplicate_groups,
     grand_share,
+    money_sum,
     null_conditions,
     overview,
     profile,
@@ -140,7 +141,7 @@ def payment_distribution(trips: DataFrame) -> DataFrame:
 def business_metrics(trips: DataFrame) -> DataFrame:
     return trips.agg(
         F.count("*").alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue_raw"),
+        money_sum("total_amount").alias("total_revenue_raw"),
         F.avg("total_amount").alias("avg_total_amount_raw"),
         F.avg("trip_distance").alias("avg_trip_distance_raw"),
     )
@@ -410,7 +411,7 @@ def zone_coverage(trips: DataFrame, zones: DataFrame) -> DataFrame:
 def daily_snapshot(trips: DataFrame, k: int | None = 31) -> DataFrame:
     days = trips.groupBy("pickup_date").agg(
         F.count("*").alias("trip_count"),
-        F.round(F.sum("total_amount"), 2).alias("total_revenue"),
+        F.round(money_sum("total_amount"), 2).alias("total_revenue"),
         F.round(F.avg("trip_distance"), 2).alias("avg_trip_distance"),
         F.round(F.avg("trip_duration_minutes"), 2).alias("avg_trip_duration_minutes"),
     )
@@ -421,14 +422,14 @@ def daily_snapshot(trips: DataFrame, k: int | None = 31) -> DataFrame:
 def payment_mix_snapshot(trips: DataFrame, k: int = 50) -> DataFrame:
     mix = trips.groupBy("pickup_date", "payment_type_code").agg(
         F.count("*").alias("trip_count"),
-        F.round(F.sum("total_amount"), 2).alias("total_revenue"),
+        F.round(money_sum("total_amount"), 2).alias("total_revenue"),
     )
     return mix.orderBy("pickup_date", F.desc("trip_count"), "payment_type_code").limit(k)
 
 
 def _place_totals(fact: DataFrame) -> DataFrame:
     return fact.groupBy("pickup_location_id").agg(
-        F.count("*").alias("trip_count"), F.round(F.sum("total_amount"), 2).alias("total_revenue")
+        F.count("*").alias("trip_count"), F.round(money_sum("total_amount"), 2).alias("total_revenue")
     )
 
 
@@ -464,7 +465,7 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
         fact.groupBy("pickup_year", "pickup_month")
         .agg(
             F.count("*").alias("trip_count"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
+            F.round(money_sum("total_amount"), 2).alias("total_revenue"),
         )
         .orderBy("pickup_year", "pickup_month")
     )
@@ -476,7 +477,7 @@ def fact_vs_silver_totals(trips: DataFrame, fact: DataFrame) -> DataFrame:
     def totals(df: DataFrame, name: str) -> DataFrame:
         return df.agg(
             F.count("*").alias(f"{name}_row_count"),
-            F.round(F.sum("total_amount"), 2).alias(f"{name}_total_amount_sum"),
+            F.round(money_sum("total_amount"), 2).alias(f"{name}_total_amount_sum"),
         )
 
     return side_by_side(totals(trips, "silver_trips"), totals(fact, "fact_trips"))
@@ -497,7 +498,7 @@ def negative_fact_days(fact: DataFrame) -> DataFrame:
         .groupBy("pickup_date")
         .agg(
             F.count("*").alias("negative_total_amount_trip_count"),
-            F.round(F.sum("total_amount"), 2).alias("negative_total_amount_sum"),
+            F.round(money_sum("total_amount"), 2).alias("negative_total_amount_sum"),
         )
         .orderBy("pickup_date")
     )
@@ -594,7 +595,7 @@ def mart_snapshots(marts: Mapping[str, DataFrame]) -> DataFrame:
 def top_zones_mart(zone_mart: DataFrame, k: int = 20) -> DataFrame:
     totals = zone_mart.groupBy("pickup_location_id", "borough", "zone").agg(
         F.sum("trip_count").alias("trip_count"),
-        F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+        F.round(money_sum("total_revenue"), 2).alias("total_revenue"),
         F.sum("negative_total_amount_trip_count").alias("negative_total_amount_trip_count"),
     )
     return top_by(totals, ["trip_count", "total_revenue"], ["pickup_location_id"], k)

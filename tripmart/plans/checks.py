@@ -20,6 +20,10 @@ from tripmart.functions import parsing
 from tripmart.functions.keys import payment_code, payment_label
 from tripmart.operators.aggregates import (
     duplicate_groups,
+    money_of,
+    money_rest,
+    money_sum,
+    money_units,
     null_conditions,
     profile,
     row_counts,
@@ -421,8 +425,8 @@ def zone_vs_dim_zone(mart: DataFrame, dim_zone: DataFrame, null_safe: bool = Fal
 
 
 def money_differs(left: Column, right: Column) -> Column:
-    """Beyond a cent and beyond what summing doubles in another order may change."""
-    return differing(left, right, tolerance=S.MONEY_TOLERANCE, relative=S.MONEY_RELATIVE)
+    """Off by a cent or more, whatever the amount; meant for sums by ``money_sum``, which do not drift."""
+    return differing(left, right, tolerance=S.MONEY_DRIFT)
 
 
 def reconcile_mart(
@@ -437,20 +441,21 @@ def reconcile_mart(
         fact = fact.withColumn("payment_type_code", payment_code(F.col("payment_type_code")))
     per_group = fact.groupBy(*grain).agg(
         F.count("*").alias("n"),
-        F.sum("total_amount").alias("money"),
+        money_units("total_amount").alias("units"),
+        money_rest("total_amount").alias("rest"),
         F.count_if(F.col("total_amount") < 0).alias("negative"),
     )
     zero = F.lit(0)
     expected = per_group.agg(
         F.count("*").alias("expected_rows"),
         F.coalesce(F.sum("n"), zero).alias("fact_rows"),
-        F.coalesce(F.sum("money"), F.lit(0.0)).alias("fact_total_amount"),
+        F.coalesce(money_of(F.sum("units"), F.sum("rest")), F.lit(0.0)).alias("fact_total_amount"),
         *([F.coalesce(F.sum("negative"), zero).alias("fact_negatives")] if negatives else []),
     )
     found = mart.agg(
         F.count("*").alias("mart_rows"),
         F.coalesce(F.sum("trip_count"), zero).alias("mart_trips"),
-        F.coalesce(F.sum("total_revenue"), F.lit(0.0)).alias("mart_revenue"),
+        F.coalesce(money_sum("total_revenue"), F.lit(0.0)).alias("mart_revenue"),
         *(
             [F.coalesce(F.sum("negative_total_amount_trip_count"), zero).alias("mart_negatives")]
             if negatives
@@ -474,7 +479,7 @@ def day_share_sums(mix: DataFrame) -> DataFrame:
     return mix.groupBy("pickup_date").agg(
         F.sum("payment_trip_share_pct").alias("trip_share_sum"),
         F.sum("payment_revenue_share_pct").alias("revenue_share_sum"),
-        F.sum("total_revenue").alias("daily_revenue_sum"),
+        money_sum("total_revenue").alias("daily_revenue_sum"),
     )
 
 
@@ -513,10 +518,9 @@ def share_checks(mix: DataFrame, dataset: str = "mart_daily_payment_mix") -> Dat
 
 def daily_totals(mart: DataFrame, negatives: bool) -> DataFrame:
     """A finer mart rolled up to days."""
-    sums = {"trip_count": "trip_count", "total_revenue": "total_revenue"}
-    if negatives:
-        sums["negative_total_amount_trip_count"] = "negative_total_amount_trip_count"
-    return mart.groupBy("pickup_date").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    counts = ["trip_count", *(["negative_total_amount_trip_count"] if negatives else [])]
+    return mart.groupBy("pickup_date").agg(
+        *[F.sum(c).alias(c) for c in counts], money_sum("total_revenue").alias("total_revenue"))
 
 
 def cross_mart_mismatches(demand: DataFrame, other: DataFrame, negatives: bool = True) -> DataFrame:
@@ -526,7 +530,7 @@ def cross_mart_mismatches(demand: DataFrame, other: DataFrame, negatives: bool =
         exact["negative_total_amount_trip_count"] = "negative_total_amount_trip_count"
     return full_outer_mismatches(
         demand, other, ["pickup_date"], exact, {"total_revenue": "total_revenue"},
-        S.MONEY_TOLERANCE, S.MONEY_RELATIVE,
+        S.MONEY_DRIFT,
     )
 
 
@@ -667,7 +671,9 @@ def marts_vs_fact(marts: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:
     keys = list(dict.fromkeys(k for name in marts for k in S.UNIQUE_KEYS[name]))
     measures = ["trips", "money", "negative"]
     finest = coded.groupBy(*keys).agg(
-        F.count("*").alias("trips"), F.sum("total_amount").alias("money"),
+        F.count("*").alias("trips"),
+        money_units("total_amount").alias("units"),
+        money_rest("total_amount").alias("rest"),
         F.count_if(F.col("total_amount") < 0).alias("negative"),
     )
     # one bit per key, the first key in the highest place; a set bit is a key summed over
@@ -684,7 +690,9 @@ def marts_vs_fact(marts: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:
     ]
     rolled = finest.groupingSets(list(grains.values()), *keys).agg(
         F.grouping_id(*[F.col(k) for k in keys]).alias("grain"),
-        *[F.sum(m).alias(m) for m in measures],
+        F.sum("trips").alias("trips"),
+        money_of(F.sum("units"), F.sum("rest")).alias("money"),
+        F.sum("negative").alias("negative"),
     )
     parts = [
         rolled.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.aggregates import top_by
+from tripmart.operators.aggregates import money_sum, top_by
 
 
 def kpi_summary(demand: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def kpi_summary(demand: DataFrame) -> DataFrame:
     trips = F.sum("trip_count")
     return demand.agg(
         trips.alias("total_trips"),
-        F.sum("total_revenue").alias("total_revenue"),
-        F.try_divide(F.sum("total_revenue"), trips).alias("avg_revenue_per_trip"),
+        money_sum("total_revenue").alias("total_revenue"),
+        F.try_divide(money_sum("total_revenue"), trips).alias("avg_revenue_per_trip"),
         F.try_divide(F.sum("total_trip_duration_minutes"), trips).alias("avg_duration_minutes"),
     )
 
@@ -55,9 +55,9 @@ def weather_effect(weather_mart: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("days"),
             trips.alias("trips"),
-            F.sum("total_revenue").alias("total_revenue"),
+            money_sum("total_revenue").alias("total_revenue"),
             F.avg("trip_count").alias("avg_trips_per_day"),
-            F.try_divide(F.sum("total_revenue"), trips).alias("avg_revenue_per_trip"),
+            F.try_divide(money_sum("total_revenue"), trips).alias("avg_revenue_per_trip"),
         )
         .orderBy("is_rainy_day", "is_snowy_day")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 from tripmart.functions.calendar import calendar_attributes
 from tripmart.functions.keys import payment_code, payment_label
-from tripmart.operators.aggregates import share_of_total
+from tripmart.operators.aggregates import money_sum, share_of_total
 from tripmart.operators.lookups import left_lookup
 from tripmart.schemas import Contract
 
@@ -25,6 +25,8 @@ TOTALS = {
     "total_passenger_count": "passenger_count",
     "total_trip_distance": "trip_distance",
     "total_trip_duration_minutes": "trip_duration_minutes",
+}
+MONEY_TOTALS = {
     "total_revenue": "total_amount",
     "total_fare_amount": "fare_amount",
     "total_tip_amount": "tip_amount",
@@ -40,14 +42,15 @@ AVERAGES = {
 
 
 def _measures(contract: Contract) -> list[Column]:
-    """Aggregates for the measure columns a mart's contract names."""
+    """Aggregates for the measure columns a mart's contract names; money is summed exactly."""
     known = {
-        "trip_count": "count(*)",
-        "negative_total_amount_trip_count": "count_if(total_amount < 0)",
-        **{name: f"sum({column})" for name, column in TOTALS.items()},
-        **{name: f"avg({column})" for name, column in AVERAGES.items()},
+        "trip_count": F.count("*"),
+        "negative_total_amount_trip_count": F.count_if(F.col("total_amount") < 0),
+        **{name: F.sum(column) for name, column in TOTALS.items()},
+        **{name: money_sum(column) for name, column in MONEY_TOTALS.items()},
+        **{name: F.avg(column) for name, column in AVERAGES.items()},
     }
-    return [F.expr(f"{known[n]} AS {n}") for n in contract.names if n in known]
+    return [known[n].alias(n) for n in contract.names if n in known]
 
 
 def _serve(df: DataFrame, contract: Contract) -> DataFrame:

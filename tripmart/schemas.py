@@ -490,7 +490,7 @@ PAYMENT_CODE_MISSING = -1
 
 KEY_SEPARATOR = "||"
 MONEY_TOLERANCE = 0.01
-MONEY_RELATIVE = 1e-9  # what the order of summation may change in a sum of doubles
+MONEY_DRIFT = 0.75 * MONEY_TOLERANCE  # less than a cent, which as a double may be a little below 0.01
 SHARE_TOLERANCE = 0.0001
 EXPORT_FILES = {
     "mart_daily_demand": 1,
