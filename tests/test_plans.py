@@ -57,6 +57,24 @@ def test_copies_are_dropped_before_the_trip_exchange(spark):
     assert "row_number(), 1, Partial" in below
 
 
+def test_trips_are_shuffled_without_what_follows_from_other_columns(spark):
+    """Neither the 64 digits of the id nor derived columns are below the exchange by trip key."""
+    trips = bronze.bronze_trips(bindings.trips_raw(spark, FOLDER, lineage=False))
+    df = silver.silver_trips(trips, bindings.DEFAULT_SCOPE, lineage=False)
+    sent = plan_of(df).split("Exchange hashpartitioning(trip_id")[1].split("Project [", 1)[1].split("]\n")[0]
+    assert "trip_duration_minutes" not in sent and "pickup_hour" not in sent
+    assert "unhex(" in sent
+
+
+def test_the_fact_is_read_from_stored_silver(spark):
+    """A report on the fact neither deals the trips again nor stores a second copy of them."""
+    layers = Layers(spark, FOLDER, storage=f"{spark.conf.get('spark.checkpoint.dir')}/own")
+    fact = layers.table("fact_trips")
+    assert any("/silver_trips/" in f for f in fact.inputFiles())
+    assert not any("/fact_trips/" in f for f in fact.inputFiles())
+    assert "hashpartitioning" not in plan_of(fact)
+
+
 def test_months_prune_folders(spark):
     layers = Layers(spark, FOLDER)
     stored = layers.table("silver_trips")

@@ -153,8 +153,12 @@ class Layers:
         return self._root
 
     def table(self, name: str) -> DataFrame:
-        """A layer table.  Bronze adds no shuffle to what it reads and stays a plan."""
-        if name.startswith("bronze_") or self.root() is None:
+        """A layer table.  Bronze adds no shuffle to what it reads and stays a plan.
+
+        So does the fact: it is stored silver with a broadcast date, and a copy of it would move and
+        write all trips once more.
+        """
+        if name.startswith("bronze_") or name == "fact_trips" or self.root() is None:
             return self._from_stored(name)
         path = self.stored_path(name)
         contract = S.CONTRACTS[name]
@@ -162,9 +166,16 @@ class Layers:
 
     def stored_path(self, name: str) -> str:
         """Where a layer is stored, after making sure that it is."""
-        return self.written(
-            name, lambda path: write_table(self._from_stored(name), path, BY_MONTH.get(name, ()))
-        )
+
+        def write(path: str) -> None:
+            # trips are dealt by month once, for silver, whose files the fact is made from
+            if name == "silver_trips":
+                rows = silver.silver_trips(self.plan("bronze_trips"), self.scope, spread=True)
+            else:
+                rows = self._from_stored(name)
+            write_table(rows, path, BY_MONTH.get(name, ()), rebalance=False)
+
+        return self.written(name, write)
 
     def written(self, name: str, write) -> str:
         """Run ``write(path)`` once per input state; later calls only return the path."""
