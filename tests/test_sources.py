@@ -257,3 +257,24 @@ def test_partition_folders(spark, tmp_path):
 
 def test_bronze_of_repeated_trips_keeps_them(spark):
     assert bronze.bronze_trips(trips(spark, {}, {})).count() == 2
+
+
+def test_landing_files_are_packed_and_read_back(spark):
+    """Text files of all inputs are compressed, and trips are dealt before they become text."""
+    from tripmart import bindings
+    from tripmart.store import Layers
+
+    folder = "/root/testdata/sf0.001"
+    layers = Layers(spark, folder)
+    for name, raw in (("trips", layers.trips_raw()), ("weather", layers.weather_raw()), ("zones", layers.zones_raw())):
+        landed = layers.landed(name)
+        assert landed.inputFiles() and all(f.endswith(".csv.gz") for f in landed.inputFiles())
+        assert landed.count() == raw.count()
+    text = bindings.trips_text(spark, folder).drop("source_file")
+    assert landed_trips(layers, text).exceptAll(text).isEmpty()
+
+
+def landed_trips(layers, like):
+    """Landed trips with text as it was before blanks at its ends were dropped."""
+    df = layers.landed("trips").withColumn("store_and_fwd_flag", F.concat(F.lit(" "), F.trim("store_and_fwd_flag"), F.lit(" ")))
+    return df.select(*like.columns)

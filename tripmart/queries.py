@@ -25,7 +25,7 @@ from tripmart.plans import checks as K
 from tripmart.sources import readers, writers
 from tripmart.sources.scope import in_months
 from tripmart.sources.tables import VersionedTable, month_partitions
-from tripmart.store import Layers
+from tripmart.store import LANDED, Layers
 
 Query = Callable[[Layers], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -103,19 +103,19 @@ def _raw_zones(layers: Layers) -> DataFrame:
 
 @query
 def scan_csv_trips(x: Layers) -> DataFrame:
-    rows = readers.read_trips_csv(x.spark, x.landing("trips"), pattern="*.csv")
+    rows = readers.read_trips_csv(x.spark, x.landing("trips"), pattern=LANDED)
     return comparable_rows(bronze.bronze_trips(rows))
 
 
 @query
 def scan_csv_weather(x: Layers) -> DataFrame:
-    rows = readers.read_weather_csv(x.spark, x.landing("weather"), pattern="*.csv")
+    rows = readers.read_weather_csv(x.spark, x.landing("weather"), pattern=LANDED)
     return comparable_rows(bronze.bronze_weather(rows))
 
 
 @query
 def scan_csv_zones(x: Layers) -> DataFrame:
-    rows = readers.read_zones_csv(x.spark, x.landing("zones"), pattern="*.csv")
+    rows = readers.read_zones_csv(x.spark, x.landing("zones"), pattern=LANDED)
     return comparable_rows(bronze.bronze_zones(rows))
 
 
@@ -131,7 +131,7 @@ def scan_csv_untyped_count(x: Layers) -> DataFrame:
 @query
 def scan_csv_glob(x: Layers) -> DataFrame:
     """All month folders below one root, found recursively."""
-    rows = readers.read_csv(x.spark, x.landing("trips"), pattern="*.csv", label="trips")
+    rows = readers.read_csv(x.spark, x.landing("trips"), pattern=LANDED, label="trips")
     files = rows.groupBy("source_file").agg(F.count("*").alias("n"))
     months = readers.month_of_file(files, MONTH_FOLDER)
     return months.groupBy("file_month").agg(F.sum("n").alias("row_count"))
@@ -140,7 +140,7 @@ def scan_csv_glob(x: Layers) -> DataFrame:
 @query
 def month_from_filename(x: Layers) -> DataFrame:
     """Does the month named by a file's path agree with the rows in the file?"""
-    rows = readers.read_trips_csv(x.spark, x.landing("trips"), pattern="*.csv")
+    rows = readers.read_trips_csv(x.spark, x.landing("trips"), pattern=LANDED)
     month = F.substring("tpep_pickup_datetime", 1, 7).alias("month")
     files = rows.groupBy("source_file", month).agg(F.count("*").alias("n"))
     other = F.when(F.col("month") != F.col("file_month"), F.col("n")).otherwise(0)
@@ -173,7 +173,7 @@ def view_parquet_hive(x: Layers) -> DataFrame:
 def view_csv_inferred(x: Layers) -> DataFrame:
     """Types come from the data: sums and date ranges only work if inference found them."""
     weather = readers.read_csv(
-        x.spark, x.landing("weather"), pattern="*.csv", infer=True, lineage=False
+        x.spark, x.landing("weather"), pattern=LANDED, infer=True, lineage=False
     )
     weather.createOrReplaceTempView("v_weather_csv")
     return x.spark.sql("""
@@ -243,7 +243,7 @@ def check_source_headers(x: Layers) -> DataFrame:
     parts = []
     for name, (names, sanitized) in expected.items():
         report = readers.header_report(
-            x.spark, x.landing(name), names, sanitized, pattern="*.csv"
+            x.spark, x.landing(name), names, sanitized, pattern=LANDED
         )
         parts.append(
             report.agg(

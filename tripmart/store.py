@@ -23,6 +23,7 @@ from tripmart.sources.writers import write_table
 
 # Daily tables are small; only trips gain from month folders here.
 BY_MONTH = {n: S.PARTITIONS[n] for n in ("silver_trips", "fact_trips")}
+LANDED = "*.csv.gz"  # files of ``Layers.landing``
 
 _RUN = uuid.uuid4().hex
 _LOCK = threading.RLock()
@@ -191,26 +192,29 @@ class Layers:
         return f"{self.root() or self._no_folder()}/scratch/{name}-{uuid.uuid4().hex}"
 
     def landing(self, name: str) -> str:
-        """Raw text files of an input, as the source system would deliver them."""
+        """Raw text files of an input, as the source system would deliver them, packed.
+
+        Trips are dealt by month before their values become text, which takes more room.
+        """
 
         def write(path: str) -> None:
             if name == "trips":
                 month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
-                df = bindings.trips_text(self.spark, self.folder).withColumn("month", month)
-                df.drop("source_file").hint("rebalance", "month").write.mode("overwrite").partitionBy(
-                    "month"
-                ).option("header", True).csv(path)
+                raw = bindings.trips_raw(self.spark, self.folder, lineage=False).drop("source_file")
+                dealt = raw.withColumn("month", month).hint("rebalance", "month")
+                writer = bindings.as_text(dealt, S.TRIPS_RAW.names).write.partitionBy("month")
             else:
                 df = self.weather_raw() if name == "weather" else self.zones_raw()
-                df.drop("source_file").write.mode("overwrite").option("header", True).option(
+                writer = df.drop("source_file").write.option(
                     "ignoreLeadingWhiteSpace", False
-                ).option("ignoreTrailingWhiteSpace", False).csv(path)
+                ).option("ignoreTrailingWhiteSpace", False)
+            writer.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
 
         return self.written(f"landing_{name}", write)
 
     def landed(self, name: str) -> DataFrame:
         """Every landing file of an input, untyped."""
-        return read_csv(self.spark, self.landing(name), pattern="*.csv", label=name)
+        return read_csv(self.spark, self.landing(name), pattern=LANDED, label=name)
 
     @staticmethod
     def _no_folder():
