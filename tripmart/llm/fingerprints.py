@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import join_same, numbered, stored
 
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GROUPS = 32  # subsets of each size, told apart by the hash's lowest five bits
 _DRAWN = 0b11 << 5  # bits that are 0 in the hash of every drawn term
@@ -27,8 +27,12 @@ _KEYS = ["id", "version"]
 
 
 def term_hashes(text: Column, seed: int = 0) -> Column:
-    """Distinct seeded hashes of a text's words; A-Z are lower-cased."""
-    words = F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    """Distinct seeded hashes of a text's words; A-Z are lower-cased.
+
+    Texts are split at what lies between words, a third of the work of extracting each word; that
+    leaves an empty word where a text begins or ends with such characters.
+    """
+    words = F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), "")
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)))
 
 
