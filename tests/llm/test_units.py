@@ -1,6 +1,8 @@
 import random
 
-from tripmart.llm.units import remove_passages, repeated_passages
+from pyspark.sql import functions as F
+
+from tripmart.llm.units import _asked_words, remove_passages, repeated_passages
 
 
 def prose(rng, n):
@@ -63,3 +65,18 @@ def test_short_passages_go_whole_and_split_runs_are_not_lost(spark):
     assert one not in left[2001] and two not in left[2001] and frequent not in left[2001]
     assert left[3000].count("pong") < 30 and left[3001].count("pong") == 0
     assert len(left[3001].split()) == 60
+
+
+def test_python_steps_on_texts_run_in_tasks_of_their_own(spark):
+    """However few rows are asked for: a task with both steps holds two workers."""
+    rows = spark.createDataFrame([(1, 7, "é one two\nthree four"), (2, 7, "one"), (None, 8, "Five six seven")],
+                                 "id long, version long, text string")
+    asked = spark.sql("""SELECT 1L AS id, 7L AS version, array(struct(1L AS unit, 0 AS side, 2 AS most), struct(0L AS unit, 1 AS side, 128 AS most)) AS asked
+        UNION ALL SELECT NULL, 8L, array(struct(0L AS unit, 0 AS side, 128 AS most))""")
+    words = _asked_words(rows, asked, 4, 0)
+    between = words._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1]
+    assert "Exchange" in between and "Broadcast" not in between
+    got = {(r.id, r.unit, r.side): [(w.begin, w.end) for w in r.words] for r in words.collect()}
+    assert got == {(1, 1, 0): [(6, 9), (2, 5)], (1, 0, 1): [(10, 15), (16, 20)], (None, 0, 0): []}
+    skipped = _asked_words(rows, asked, 4, 1).filter(F.col("side") == 1).first()
+    assert [(w.begin, w.end) for w in skipped.words] == [(16, 20)]

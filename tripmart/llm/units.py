@@ -27,6 +27,7 @@ _UNITS = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int
 _UNITS_DDL = "id long, version long, unit long, digest long, begin long, end long, n_words long, before int, after int"
 _LONGEST = 64  # words of a unit
 _FLAGS = 29  # most bits of the table of repeated digests, 64 MB; when full it only lets more units pass
+_CHARS = 250_000  # characters of the texts that a task holds as arrays at a time
 _SPACING = 16  # least words between boundaries at equal keys
 _NEAR = 4  # words to both sides of a unit that tell whether it is worth extending
 _EDGES = pa.list_(pa.struct([("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())]))
@@ -86,7 +87,7 @@ def _digests(reach: int):
     """The digest of every unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(arrow_rows(batches), 0):
+        for part in chunks(arrow_rows(batches), 0, _CHARS):
             words = Words([t for (t,) in part])
             if len(words):
                 first = unit_starts(words, reach)
@@ -100,7 +101,7 @@ def _cut(reach: int, known):
     """The units whose digest has its flag set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(arrow_rows(batches), 2):
+        for part in chunks(arrow_rows(batches), 2, _CHARS):
             words = Words([t for *_, t in part])
             if not len(words):
                 continue
@@ -136,7 +137,7 @@ def _edges(reach: int, skip: int):
     schema = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("unit", pa.int64()), ("side", pa.int32()), ("words", _EDGES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(arrow_rows(batches), 2):
+        for part in chunks(arrow_rows(batches), 2, _CHARS):
             words = Words([r[2] for r in part])
             if not len(words):
                 continue
@@ -145,7 +146,7 @@ def _edges(reach: int, skip: int):
             of = np.searchsorted(words.text_of[first], np.arange(len(part)))
             points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
             base = points[words.text_at[:-1]]
-            keys, out = words.keys.view(np.int64), []
+            asks, spans = [], []
             for k, (doc, version, _, asked) in enumerate(part):
                 for ask in asked:
                     unit, side, most = ask["unit"], ask["side"], ask["most"]
@@ -154,11 +155,17 @@ def _edges(reach: int, skip: int):
                         at = np.arange(first[u] - 1 - skip, max(words.first[k], first[u] - most) - 1, -1)
                     else:
                         at = np.arange(end[u] + skip, min(words.first[k] + words.counts[k], end[u] + most))
-                    listed = zip(keys[at].tolist(), (points[words.begin[at]] - base[k]).tolist(), (points[words.end[at]] - base[k]).tolist(), strict=True)
-                    out.append((doc, version, unit, side, [{"key": a, "begin": b, "end": c} for a, b, c in listed]))
-            if out:
+                    asks.append((doc, version, unit, side))
+                    spans.append(at)
+            if asks:
+                at, edge = np.concatenate(spans), np.cumsum([0, *map(len, spans)])
+                start = base[words.text_of[at]]
+                listed = pa.StructArray.from_arrays(
+                    [pa.array(words.keys.view(np.int64)[at]), pa.array(points[words.begin[at]] - start),
+                     pa.array(points[words.end[at]] - start)], fields=list(_EDGES.value_type))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+                    [pa.array(c, t) for c, t in zip(zip(*asks, strict=True), schema.types, strict=False)]
+                    + [pa.ListArray.from_arrays(pa.array(edge, pa.int32()), listed)], schema=schema)
 
     return run
 
@@ -191,6 +198,18 @@ _PART = ["id", "version", "run", "part"]
 _LOOK = 16  # words next to a passage that are compared at first
 
 
+def _asked_words(rows: DataFrame, asked: DataFrame, reach: int, skip: int) -> DataFrame:
+    """(id, version, unit, side, words) for everything asked of the texts in ``rows``.
+
+    Always dealt, also where few rows are asked for: next to a broadcast both Python steps would run in
+    one task, with two workers for every core of an executor.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
+    few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
+    return join_same(few, asked.hint("merge"), ["id", "version"]).select("id", "version", "text", "asked").mapInArrow(
+        _edges(reach, skip), f"id long, version long, unit long, side int, words {_EDGE_LIST}")
+
+
 def _equal_ends(rows: DataFrame, parts: DataFrame, reach: int) -> DataFrame:
     """(id, version, run, part, side0, side1): words next to a part that equal those next to its first copy.
 
@@ -208,11 +227,7 @@ def _equal_ends(rows: DataFrame, parts: DataFrame, reach: int) -> DataFrame:
         asked = stored(
             both.groupBy(*unit, "side").agg(F.max("most").alias("most"))
             .groupBy("id", "version").agg(F.collect_list(F.struct("unit", "side", "most")).alias("asked")), "asked-edges")
-        known = rows.sparkSession.sparkContext.broadcast(bit_table(asked.select(F.xxhash64("id", "version").alias("key"))))
-        few = rows.withColumn("key", F.xxhash64("id", "version")).mapInArrow(_flagged(known), "id long, version long, text string")
-        edges = stored(
-            join_same(few, asked, ["id", "version"]).select("id", "version", "text", "asked").mapInArrow(
-                _edges(reach, skip), f"id long, version long, unit long, side int, words {_EDGE_LIST}"), "passage-edges")
+        edges = stored(_asked_words(rows, asked, reach, skip), "passage-edges")
         # rows equal in id and text give the same words
         if not edges.groupBy(*unit, "side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
             edges = edges.dropDuplicates([*unit, "side"])
