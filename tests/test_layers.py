@@ -241,3 +241,23 @@ def test_layers_of_nothing_are_empty(spark, small):
     assert marts.mart_weather_impact(none, small["dim_weather"]).count() == 0
     assert marts.mart_zone_demand(none, small["dim_zone"]).count() == 0
     assert gold.dim_date(small["silver_trips"].limit(0)).count() == 0
+
+
+def test_trips_for_a_write_by_month_are_those_of_silver(spark, rows):
+    """Found by the values of the key instead of its id: as text, so that 0.0 and -0.0 are two and null is one."""
+    zero = [{"total_amount": t, "trip_distance": d, "fare_amount": f} for t in ("0.0", "-0.0", None, "NaN")
+            for d in ("0.0", "-0.0", None, "1e-7", "0.1") for f in ("2.0", "1.0")]
+    days = [{"vendorid": v, "tpep_pickup_datetime": f"2023-0{m}-01 0{m}:00:00", "tpep_dropoff_datetime": "2023-03-09 00:00:00",
+             "total_amount": "123456789.01"} for m in (1, 2, 3) for v in ("1", None) for _ in range(2)]
+    raw = bronze.bronze_trips(trips(spark, *zero, *days)).withColumn("bronze_loaded_at", F.lit(None).cast("timestamp"))
+    want = silver.silver_trips(raw, SCOPE).drop("silver_loaded_at")
+    got = silver.silver_trips(raw, SCOPE, spread=True).drop("silver_loaded_at")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert repr(rows(got)) == repr(rows(want)) and got.count() == 20 + 6
+
+
+def test_trips_for_a_write_by_month_are_shuffled_without_an_id(spark):
+    raw = bronze.bronze_trips(trips(spark, {}))
+    plan = silver.silver_trips(raw, SCOPE, spread=True)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("rebalance") if "rebalance" in plan else plan.index("REBALANCE"):]
+    assert "sha2(" not in below and "row_number(), 1, Partial" in below

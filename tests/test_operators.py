@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tripmart.operators import aggregates as A
 from tripmart.operators import lookups as L
 from tripmart.operators.dedupe import dedupe_by_key, dedupe_few_copies
+from tripmart.plans.audit import except_counts
 from tripmart.plans.checks import money_differs
 
 
@@ -240,6 +241,32 @@ def test_equal_tables_exchange_no_keys(spark, tmp_path):
     assert exchanged_rows(L.keyset_differences(left, right.filter("k NOT LIKE '0000%'"), ["k"], buckets=4096)) < 2_000 * 50
 
 
+def test_except_counts_are_those_of_except(spark):
+    """Keys of any text, null, and copies; upper case, odd and no digits are not the bytes they resemble."""
+    texts = ["", "ab", "AB", "Ab", "abc", "0abc", "0ABC", "zz", None, "ab", None, "\u00e9", "00", "0", " ab", "a" * 64]
+    frames = [spark.createDataFrame([(x,) for x in t], "k string")
+              for t in (texts, texts[1::2], texts[::3] + ["cd", "c", "cd"], [None], [])]
+    numbers = [spark.createDataFrame([(x,) for x in t], "k int") for t in ([1, 2, 2, None], [10, 2])]
+    for a in frames:
+        for b in frames:
+            assert except_counts(a, b, "k", "x", "y").first() == (a.subtract(b).count(), b.subtract(a).count())
+    assert except_counts(*numbers, "k", "x", "y").first() == (2, 1)
+    as_text = spark.createDataFrame([("2",), ("12",)], "k string")
+    assert except_counts(numbers[0], as_text, "k", "x", "y").first() == (2, 1)
+
+
+def test_except_counts_exchange_each_side_once(spark):
+    """Copies go before the exchange, and no side goes through another one after it."""
+    left = digest_rows(spark, 20_000)
+    twice, right = left.unionByName(left).repartition(1), left.filter("k < '8'")
+    df = except_counts(twice, right, "k", "x", "y")
+    few = 200  # counts of tasks, and the rows of the test's own repartition on top
+    assert exchanged_rows(df) <= 40_000 + 20_000 + right.count() + few
+    assert df.first() == (20_000 - right.count(), 0)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "unhex(" in plan
+
+
 def test_money_adds_up_to_the_cent(spark):
     cents = F.expr("id % 9973 * 7 - 31000")
     df = spark.range(1_000_000).select((F.col("id") % 3).alias("k"), cents.alias("cents"), (cents / 100).alias("money"))

@@ -1,6 +1,7 @@
 """The physical plans must keep the properties that matter on large inputs."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,39 @@ def test_the_fact_is_read_from_stored_silver(spark):
     assert "hashpartitioning" not in plan_of(fact)
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_what_is_shuffled_for_a_stored_layer_goes_with_its_write(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    layers = Layers(spark, FOLDER, storage=f"{spark.conf.get('spark.checkpoint.dir')}/steps")
+    layers.root()
+    before, known = spark.conf.get(name), shuffle_files(spark)
+    layers.stored_path("silver_trips")
+    until = time.time() + 20
+    while shuffle_files(spark) - known and time.time() < until:  # removed in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - known
+    assert spark.conf.get(name) == before
+    assert layers.table("silver_trips").count() == layers.plan("silver_trips").count()
+    scratch = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{layers.root()}/scratch")
+    assert scratch.filter("length > 0").isEmpty()
+
+
+def test_early_values_are_those_of_raw_trips(spark, rows, no_auto_broadcast):
+    """The key's columns without what their values are made of; few suppliers are no shuffle of trips."""
+    names = ["vendorid", "total_amount", "trip_distance"]
+    want = bindings.trips_raw(spark, FOLDER, lineage=False).select(names)
+    got = bindings.trips_raw(spark, FOLDER, lineage=False, early=["total_amount"], few_suppliers=True).select(names)
+    assert rows(got) == rows(want)
+    plan = plan_of(got)
+    moved = plan[:plan.index("Exchange hashpartitioning(l_orderkey")]
+    assert "l_returnflag" in plan and "l_returnflag" not in moved
+    assert "hashpartitioning(l_suppkey" in plan_of(want) and "hashpartitioning(l_suppkey" not in plan
+
+
 def test_months_prune_folders(spark):
     layers = Layers(spark, FOLDER)
     stored = layers.table("silver_trips")

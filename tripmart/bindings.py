@@ -8,6 +8,8 @@ something to do: some amounts and codes are null, one order in 97 appears twice,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,8 @@ TRIP_VALUES = {
     "airport_fee": "NULL",
 }
 
+SUPPLIERS_BOUND = 1_000_000  # sent to every executor, a key and a nation each
+
 INPUTS = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
 
 
@@ -54,10 +58,19 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFrame:
+def trips_raw(
+    spark: SparkSession,
+    folder: str,
+    lineage: bool = True,
+    early: Sequence[str] = (),
+    few_suppliers: bool = False,
+) -> DataFrame:
     """Typed raw trips with ``source_file`` (null, and never read, without ``lineage``).
 
     Customers join orders before lines come in, so the wide line rows move once, on the order key.
+    ``early`` names values made of line columns only: they are worked out before the lines move, which
+    spares readers of few columns what the values are made of.  ``few_suppliers`` counts the suppliers
+    by their footers: up to ``SUPPLIERS_BOUND`` are broadcast, so that trips do not move on their key too.
     """
     c = F.col
     lines = read(spark, folder, "lineitem")
@@ -65,14 +78,21 @@ def trips_raw(spark: SparkSession, folder: str, lineage: bool = True) -> DataFra
         lines = with_source_file(lines)
     else:
         lines = lines.withColumn("source_file", F.lit(None).cast("string"))
+    values = {f.name: f"CAST({TRIP_VALUES[f.name]} AS {f.type})" for f in S.TRIPS_RAW}
+    for name in early:
+        lines = lines.withColumn(f"_{name}", F.expr(values[name]))
+        values[name] = f"_{name}"
     orders = read(spark, folder, "orders").join(
         read(spark, folder, "customer"), c("o_custkey") == c("c_custkey")
     )
+    suppliers = read(spark, folder, "supplier")
+    if few_suppliers and suppliers.count() <= SUPPLIERS_BOUND:
+        suppliers = F.broadcast(suppliers)
     rows = lines.join(orders, c("l_orderkey") == c("o_orderkey")).join(
-        read(spark, folder, "supplier"), c("l_suppkey") == c("s_suppkey")
+        suppliers, c("l_suppkey") == c("s_suppkey")
     )
     return rows.selectExpr(
-        *[f"CAST({TRIP_VALUES[f.name]} AS {f.type}) AS {f.name}" for f in S.TRIPS_RAW],
+        *[f"{value} AS {name}" for name, value in values.items()],
         "source_file",
         "explode(array_repeat(1, CASE WHEN l_orderkey % 97 = 0 THEN 2 ELSE 1 END)) AS _copy",
     ).drop("_copy")

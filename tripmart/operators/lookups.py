@@ -101,6 +101,15 @@ def keyset_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     )
 
 
+def packed_key(key: str) -> dict[str, Column]:
+    """A text key as two columns that are equal where it is: the bytes of small hex digits, any other text as it is.
+
+    Digests in hex take half the room as bytes, and no codec makes their digits shorter.
+    """
+    in_hex = F.coalesce(F.lower(F.hex(F.unhex(key))) == F.col(key), F.lit(False))
+    return {"_bytes": F.when(in_hex, F.unhex(key)), "_text": F.when(~in_hex, F.col(key))}
+
+
 DIGEST_BUCKETS = 4096
 
 

@@ -27,7 +27,13 @@ from tripmart.operators.aggregates import (
     stacked,
     top_by,
 )
-from tripmart.operators.lookups import left_lookup, orphan_rows, unmatched_counts
+from tripmart.operators.lookups import (
+    keyset_difference,
+    left_lookup,
+    orphan_rows,
+    packed_key,
+    unmatched_counts,
+)
 from tripmart.plans import checks as K
 from tripmart.sources.scope import Scope
 
@@ -484,12 +490,16 @@ def fact_vs_silver_totals(trips: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def except_counts(left: DataFrame, right: DataFrame, key: str, missing: str, unexpected: str):
-    """Keys only on the left and only on the right, by EXCEPT both ways."""
-    a, b = left.select(key), right.select(key)
-    return side_by_side(
-        a.subtract(b).agg(F.count("*").alias(missing)),
-        b.subtract(a).agg(F.count("*").alias(unexpected)),
-    )
+    """Distinct keys only on the left and only on the right, as EXCEPT both ways counts them.
+
+    Each side is exchanged once, as bytes where keys are hex digits, after its copies are dropped on the map
+    side. Null is a key like any other.
+    """
+    keys = {key: F.col(key)}
+    if all(df.schema[key].dataType.simpleString() == "string" for df in (left, right)):
+        keys = packed_key(key)
+    sides = [df.select(*[c.alias(n) for n, c in keys.items()]) for df in (left, right)]
+    return keyset_difference(*sides, list(keys)).select(F.col("only_left").alias(missing), F.col("only_right").alias(unexpected))
 
 
 def negative_fact_days(fact: DataFrame) -> DataFrame:

@@ -91,16 +91,26 @@ def silver_trips(
     ``lineage=False`` leaves out the file path and load time, which plans that go straight on to the
     fact do not need.  From a stored ``bronze`` with few copies ``unique_rows=dedupe_few_copies``
     shuffles the copies only.  ``spread=True`` rebalances the months for a partitioned write while the
-    rows are still narrow; the id is worked out again after it.
+    rows are still narrow: no id is shuffled then, copies are found by what it is made of, and it is worked
+    out after both shuffles.
     """
     extra = ["source_file"] if lineage else []
-    carried = ["trip_id", *S.TRIP_KEY, "pickup_date", *TIE_BREAK, *(LINEAGE if lineage else [])]
-    trips = clean_trips(bronze, scope).withColumn("trip_id", F.unhex("trip_id")).select(*carried)
-    unique = unique_rows(trips, ["trip_id"], [*TIE_BREAK, *extra])
+    carried = [*S.TRIP_KEY, "pickup_date", *TIE_BREAK, *(LINEAGE if lineage else [])]
+    trips = clean_trips(bronze, scope)
     if spread:
+        texts = [c for c in S.TRIP_KEY if S.SILVER_TRIPS.types[c] == "double"]
+        # as in the id: 0.0 and -0.0 are two values; the text of a double reads back as the same one
+        narrow = trips.select(*carried).withColumns({c: F.col(c).cast("string") for c in texts})
+        grain = sorted(S.TRIP_KEY, key=lambda c: c not in texts[::-1][:1])  # sorts by few equal values first
+        unique = unique_rows(narrow, grain, [*TIE_BREAK, *extra])
+        unique = unique.withColumns({c: F.col(c).cast("double") for c in texts})
         months = {"pickup_year": F.year("pickup_date"), "pickup_month": F.month("pickup_date")}
-        unique = unique.drop("trip_id").withColumns(months).hint("rebalance", *months)
-    digits = surrogate_key(S.TRIP_KEY) if spread else F.lower(F.hex("trip_id"))
+        unique = unique.withColumns(months).hint("rebalance", *months)
+        digits = surrogate_key(S.TRIP_KEY)
+    else:
+        packed = trips.withColumn("trip_id", F.unhex("trip_id")).select("trip_id", *carried)
+        unique = unique_rows(packed, ["trip_id"], [*TIE_BREAK, *extra])
+        digits = F.lower(F.hex("trip_id"))
     keyed = derive_trip_columns(unique).withColumn("trip_id", digits)
     names = [n for n in S.SILVER_TRIPS.names if lineage or n not in LINEAGE]
     return keyed.withColumn("silver_loaded_at", F.current_timestamp()).select(*names)

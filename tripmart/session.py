@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,24 @@ def shared_folder(spark: SparkSession) -> str | None:
     return _OWN[0]
 
 
+@contextmanager
+def in_steps(spark: SparkSession) -> Iterator[None]:
+    """For tables made in several writes: the shuffle files of each go when it has ended, not when the driver
+    happens to collect its garbage, and what it wrote is read in small parts, which are sorted in memory."""
+    wanted = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "16m",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import bindings, schemas as S
+from tripmart.operators.dedupe import dedupe_by_key
 from tripmart.plans import bronze, gold, marts, silver
-from tripmart.session import shared_folder
+from tripmart.session import in_steps, shared_folder
 from tripmart.sources.readers import read_csv
 from tripmart.sources.scope import Scope
 from tripmart.sources.writers import write_table
@@ -169,21 +170,39 @@ class Layers:
         """Where a layer is stored, after making sure that it is."""
 
         def write(path: str) -> None:
-            # trips are dealt by month once, for silver, whose files the fact is made from
             if name == "silver_trips":
-                rows = silver.silver_trips(self.plan("bronze_trips"), self.scope, spread=True)
+                self._write_silver(path)
             else:
-                rows = self._from_stored(name)
-            write_table(rows, path, BY_MONTH.get(name, ()), rebalance=False)
+                write_table(self._from_stored(name), path, BY_MONTH.get(name, ()), rebalance=False)
 
         return self.written(name, write)
 
+    def _write_silver(self, path: str) -> None:
+        """Silver trips in two steps, so that what is shuffled to make trips is gone when they are deduplicated.
+
+        Clean trips lie in a scratch folder between the steps, which is emptied afterwards. Trips are dealt by
+        month once, for silver, whose files the fact is made from.
+        """
+        clean = self.scratch("clean")
+
+        def stored_then_unique(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+            df.write.option("compression", "zstd").parquet(clean)
+            return dedupe_by_key(self.spark.read.schema(df.schema).parquet(clean), keys, order)
+
+        raw = bindings.trips_raw(self.spark, self.folder, few_suppliers=True)
+        rows = silver.silver_trips(
+            bronze.bronze_trips(raw), self.scope, unique_rows=stored_then_unique, spread=True
+        )
+        write_table(rows, path, BY_MONTH["silver_trips"], rebalance=False)
+        self.spark.createDataFrame([], "line string").write.mode("overwrite").text(clean)
+
     def written(self, name: str, write) -> str:
         """Run ``write(path)`` once per input state; later calls only return the path."""
         path = f"{self.root() or self._no_folder()}/{name}"
         with _LOCK:
             if path not in _WRITTEN:
-                write(path)
+                with in_steps(self.spark):
+                    write(path)
                 _WRITTEN[path] = path
         return path
 
